@@ -254,3 +254,17 @@ ORACLE["dash_kpis"] = _with(*SY_CHAIN, RP_GLOBAL_YEAR, RP_COVERAGE) + (
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+# ---- sources ----------------------------------------------------------------------
+RUN_TS_SQL = "'2024-01-01 00:00:00' AS ingested_at"
+RAW_OBS_COLS = '"ID", "DATE", "DATA_VALUE", "M_FLAG", "Q_FLAG", "S_FLAG", "OBS_TIME", "ELEMENT", "YEAR"'
+
+ORACLE["src_parquet_hive"] = _with(RAW_OBS) + f"SELECT {RAW_OBS_COLS} FROM raw_obs"
+ORACLE["part_prune"] = _with(RAW_OBS) + f'SELECT {RAW_OBS_COLS} FROM raw_obs WHERE "YEAR" = 1997'
+ORACLE["src_fixed_width"] = _with(RAW_STATIONS) + f"SELECT *, {RUN_TS_SQL} FROM raw_stations"
+ORACLE["src_regexp"] = _with(RAW_COUNTRIES) + f"SELECT code, name, {RUN_TS_SQL} FROM raw_countries"
+for _k in ("src_csv", "src_csv_header", "src_tsv", "src_json_lines"):
+    ORACLE[_k] = _with(RAW_OBS) + f"SELECT {RAW_OBS_COLS}, {RUN_TS_SQL} FROM raw_obs"
+ORACLE["src_orc"] = _with(RAW_OBS) + f"SELECT {RAW_OBS_COLS} FROM raw_obs"
+ORACLE["src_arrow"] = _with(RAW_OBS) + f"SELECT {RAW_OBS_COLS} FROM raw_obs"
+ORACLE["src_seed"] = _with(SEEDS) + "SELECT flag_type, id, description FROM seeds"

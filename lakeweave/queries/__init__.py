@@ -1,3 +1,3 @@
 """Query keys, grouped by area. Importing this package registers them all."""
 
-from lakeweave.queries import layers  # noqa: F401
+from lakeweave.queries import layers, sources  # noqa: F401

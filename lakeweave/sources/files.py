@@ -20,6 +20,9 @@ from lakeweave.specs import ColumnSpec, FileFormat, SourceSpec
 # Settings understood in a spec. Anything else is rejected rather than ignored.
 _KNOWN_SETTINGS = {"format_regexp", "format_regexp_skip_unmatched", "use_hive_partitioning", "path_glob"}
 
+# Fixed value: NULL marker of the CSV and tab-separated formats (an empty field is '').
+NULL_MARKER = "\\N"
+
 _NAMED_FORMATS = {
     FileFormat.PARQUET,
     FileFormat.CSV_WITH_NAMES,
@@ -71,12 +74,14 @@ def _raw_frame(spark: SparkSession, spec: SourceSpec, root: str, path: str) -> D
         return read_arrow_files(spark, path, _declared_schema(spec))
     if fmt in (FileFormat.CSV, FileFormat.TSV):
         sep = "\t" if fmt == FileFormat.TSV else ","
-        return r.schema(_positional_schema(ncols)).csv(path, sep=sep, header=False, mode="FAILFAST")
+        return r.schema(_positional_schema(ncols)).csv(
+            path, sep=sep, header=False, mode="FAILFAST", nullValue=NULL_MARKER
+        )
     if fmt == FileFormat.CSV_WITH_NAMES:
         schema = T.StructType([T.StructField(c.name, T.StringType()) for c in spec.columns or ()])
         if not spec.columns:
-            return r.csv(path, header=True, mode="FAILFAST")
-        return r.schema(schema).csv(path, header=True, mode="FAILFAST", enforceSchema=False)
+            return r.csv(path, header=True, mode="FAILFAST", nullValue=NULL_MARKER)
+        return r.schema(schema).csv(path, header=True, mode="FAILFAST", enforceSchema=False, nullValue=NULL_MARKER)
     if fmt == FileFormat.JSON_EACH_ROW:
         schema = _declared_schema(spec)
         return (r.schema(schema) if schema else r).json(path, mode="FAILFAST")
