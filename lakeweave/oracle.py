@@ -268,3 +268,51 @@ for _k in ("src_csv", "src_csv_header", "src_tsv", "src_json_lines"):
 ORACLE["src_orc"] = _with(RAW_OBS) + f"SELECT {RAW_OBS_COLS} FROM raw_obs"
 ORACLE["src_arrow"] = _with(RAW_OBS) + f"SELECT {RAW_OBS_COLS} FROM raw_obs"
 ORACLE["src_seed"] = _with(SEEDS) + "SELECT flag_type, id, description FROM seeds"
+
+# ---- loads and partitions ----------------------------------------------------------
+ORACLE["sink_full_refresh"] = ORACLE["cleansed_stations"]
+ORACLE["sink_partition_replace"] = _with(RAW_OBS) + (
+    f'SELECT {RAW_OBS_COLS} FROM raw_obs WHERE NOT ("YEAR" = 1997 AND "Q_FLAG" IS NOT NULL)'
+)
+ORACLE["sink_insert_overwrite"] = ORACLE["cleansed_observations"]
+
+API_RECORDS = """api_rec AS (
+  SELECT r.*, p.pages FROM (
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS "YEAR", CAST(floor(o_orderkey / 1000) + 1 AS INTEGER) AS page,
+           o_orderkey AS id, CAST(year(o_orderdate) AS VARCHAR) AS date, o_totalprice AS value
+    FROM orders) r
+  JOIN (SELECT CAST(year(o_orderdate) AS INTEGER) AS "YEAR", CAST(max(floor(o_orderkey / 1000) + 1) AS INTEGER) AS pages
+        FROM orders GROUP BY 1) p ON r."YEAR" = p."YEAR")"""
+ORACLE["sink_append"] = _with(API_RECORDS) + (
+    'SELECT id, date, round(value, 6) AS value, "YEAR" FROM api_rec UNION ALL '
+    'SELECT id, date, round(value, 6) AS value, "YEAR" FROM api_rec'
+)
+ORACLE["sink_replace"] = _with(API_RECORDS) + 'SELECT id, date, round(value, 6) AS value, "YEAR" FROM api_rec'
+ORACLE["src_api_pages"] = _with(API_RECORDS) + 'SELECT "YEAR", page, pages, id, date, round(value, 6) AS value FROM api_rec'
+ORACLE["src_api_completeness"] = _with(API_RECORDS) + (
+    'SELECT "YEAR", max(pages) AS declared_pages, count(DISTINCT page) AS landed_pages, '
+    'CAST(max(pages) - count(DISTINCT page) AS BIGINT) AS missing_pages, '
+    '(max(pages) - count(DISTINCT page)) = 0 AS complete FROM api_rec GROUP BY "YEAR"'
+)
+ORACLE["src_landing_manifest"] = _with(API_RECORDS) + (
+    'SELECT "YEAR", count(DISTINCT page) AS files, count(DISTINCT page) AS pages FROM api_rec GROUP BY "YEAR"'
+)
+
+ORDER_BOUNDS = "b AS (SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders)"
+ORACLE["part_time_keys"] = _with(ORDER_BOUNDS) + (
+    "SELECT 'year' AS period, strftime(t, '%Y') AS partition_key "
+    "FROM (SELECT unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi), INTERVAL 1 YEAR)) AS t FROM b) "
+    "UNION ALL SELECT 'month', strftime(t, '%Y-%m') "
+    "FROM (SELECT unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH)) AS t FROM b)"
+)
+ORACLE["part_multi_keys"] = _with(ORDER_BOUNDS) + (
+    "SELECT strftime(t, '%Y') AS \"YEAR\", s AS \"S_FLAG\" "
+    "FROM (SELECT unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi), INTERVAL 1 YEAR)) AS t FROM b), "
+    "(SELECT unnest(['F', 'O']) AS s)"
+)
+ORACLE["part_missing"] = (
+    "WITH b AS (SELECT (SELECT min(o_orderdate) FROM orders) AS lo, (SELECT max(l_shipdate) FROM lineitem) AS hi) "
+    "SELECT strftime(t, '%Y-%m') AS partition_key "
+    "FROM (SELECT unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH)) AS t FROM b) "
+    "WHERE strftime(t, '%Y-%m') NOT IN (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') FROM orders)"
+)
