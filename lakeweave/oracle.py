@@ -316,3 +316,98 @@ ORACLE["part_missing"] = (
     "FROM (SELECT unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH)) AS t FROM b) "
     "WHERE strftime(t, '%Y-%m') NOT IN (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') FROM orders)"
 )
+
+# ---- data quality -------------------------------------------------------------------
+ORACLE["dq_not_null"] = _with(*OBS_CHAIN) + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS failures FROM c_obs"
+    for c in ("station_id", "observation_date", "measure", "quality_flag")
+)
+
+
+def _dup_count(model: str, src: str, cols: str) -> str:
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in cols.split(","))
+    return (
+        f"SELECT '{model}' AS model, '{cols}' AS column_name, "
+        f"CAST((SELECT count(*) FROM (SELECT {cols} FROM {src} WHERE {nn} GROUP BY {cols} HAVING count(*) > 1)) AS BIGINT) AS failures"
+    )
+
+
+ORACLE["dq_unique"] = _with(RAW_STATIONS, C_STATIONS) + " UNION ALL ".join(
+    [
+        _dup_count("customer", "customer", "c_custkey"),
+        _dup_count("orders", "orders", "o_orderkey"),
+        _dup_count("lineitem", "lineitem", "l_orderkey"),
+        _dup_count("cleansed.stations", "c_stations", "id"),
+    ]
+)
+
+
+def _orphans(child: str, ccol: str, parent: str, pcol: str) -> str:
+    return (
+        f"CAST((SELECT count(*) FROM {child} WHERE {ccol} IS NOT NULL AND {ccol} NOT IN "
+        f"(SELECT {pcol} FROM {parent} WHERE {pcol} IS NOT NULL)) AS BIGINT)"
+    )
+
+
+ORACLE["dq_relationships"] = _with(RAW_COUNTRIES, C_COUNTRIES, RAW_STATIONS, C_STATIONS, *OBS_CHAIN, RAW_INVENTORY, C_INVENTORY) + (
+    " UNION ALL ".join(
+        [
+            f"SELECT 'cleansed.observations' AS model, 'station_id' AS column_name, 'cleansed.stations' AS parent, {_orphans('c_obs', 'station_id', 'c_stations', 'id')} AS failures",
+            f"SELECT 'cleansed.inventory', 'station_id', 'cleansed.stations', {_orphans('c_inventory', 'station_id', 'c_stations', 'id')}",
+            f"SELECT 'cleansed.stations', 'country_id', 'cleansed.countries', {_orphans('c_stations', 'country_id', 'c_countries', 'id')}",
+            f"SELECT 'lineitem', 'l_orderkey', 'orders', {_orphans('lineitem', 'l_orderkey', 'orders', 'o_orderkey')}",
+        ]
+    )
+)
+ORACLE["dq_unique_combo"] = (
+    "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem "
+    "WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"
+)
+
+# (model, relation in the SQL chain, column, test[, parent model, parent relation, parent column])
+_SUITE = [
+    ("cleansed.countries", "c_countries", "id", "not_null"), ("cleansed.countries", "c_countries", "id", "unique"),
+    ("cleansed.states", "c_states", "id", "not_null"), ("cleansed.states", "c_states", "id", "unique"),
+    ("cleansed.stations", "c_stations", "id", "not_null"), ("cleansed.stations", "c_stations", "id", "unique"),
+    ("cleansed.stations", "c_stations", "country_id", "relationships", "c_countries", "id"),
+    ("cleansed.inventory", "c_inventory", "station_id", "not_null"),
+    ("cleansed.inventory", "c_inventory", "station_id", "relationships", "c_stations", "id"),
+    ("cleansed.inventory", "c_inventory", "element", "not_null"),
+    ("cleansed.observations", "c_obs", "station_id", "not_null"),
+    ("cleansed.observations", "c_obs", "station_id", "relationships", "c_stations", "id"),
+    ("cleansed.observations", "c_obs", "observation_date", "not_null"),
+    ("cleansed.observations", "c_obs", "measure", "not_null"),
+    ("curated.stations", "cu_stations", "id", "not_null"), ("curated.stations", "cu_stations", "id", "unique"),
+    ("curated.observations", "cu_obs", "station_id", "not_null"), ("curated.observations", "cu_obs", "measure", "not_null"),
+    ("curated.station_year", "cu_sy", "station_id", "not_null"),
+    ("curated.station_year", "cu_sy", "observation_year,station_id", "unique_combination"),
+    ("reporting.country_year", "rp_country_year", "observation_year", "not_null"),
+    ("reporting.country_year", "rp_country_year", "country_id", "not_null"),
+    ("reporting.global_year", "rp_global_year", "observation_year", "not_null"),
+    ("reporting.global_year", "rp_global_year", "observation_year", "unique"),
+    ("reporting.snow_cold", "rp_snow_cold", "observation_year", "not_null"),
+    ("reporting.snow_cold", "rp_snow_cold", "country_id", "not_null"),
+    ("reporting.station_coverage", "rp_coverage", "country_id", "not_null"),
+    ("reporting.station_coverage", "rp_coverage", "country_id", "unique"),
+] + [
+    (f"raw.{s}", f"(SELECT * FROM seeds WHERE flag_type = '{s}')", "id", t)
+    for s in ("measurement_flags", "quality_flags", "source_flags")
+    for t in ("not_null", "unique")
+]
+
+
+def _suite_row(entry) -> str:
+    model, rel, col, test = entry[:4]
+    if test == "not_null":
+        f = f"CAST((SELECT count(*) FROM {rel} WHERE {col} IS NULL) AS BIGINT)"
+    elif test in ("unique", "unique_combination"):
+        nn = " AND ".join(f"{c} IS NOT NULL" for c in col.split(","))
+        f = f"CAST((SELECT count(*) FROM (SELECT {col} FROM {rel} WHERE {nn} GROUP BY {col} HAVING count(*) > 1)) AS BIGINT)"
+    else:
+        f = _orphans(rel, col, entry[4], entry[5])
+    return f"SELECT '{model}' AS model, '{col}' AS column_name, '{test}' AS test, {f} AS failures"
+
+
+ORACLE["dq_suite"] = _with(
+    *SY_CHAIN, RAW_INVENTORY, C_INVENTORY, RP_COUNTRY_YEAR, RP_GLOBAL_YEAR, RP_SNOW_COLD, RP_COVERAGE, SEEDS
+) + " UNION ALL ".join(_suite_row(e) for e in _SUITE)
