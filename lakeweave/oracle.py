@@ -411,3 +411,29 @@ def _suite_row(entry) -> str:
 ORACLE["dq_suite"] = _with(
     *SY_CHAIN, RAW_INVENTORY, C_INVENTORY, RP_COUNTRY_YEAR, RP_GLOBAL_YEAR, RP_SNOW_COLD, RP_COVERAGE, SEEDS
 ) + " UNION ALL ".join(_suite_row(e) for e in _SUITE)
+
+# ---- metric layer -------------------------------------------------------------------
+ORACLE["sem_measures_by_dimension"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
+    'SELECT country_name, measure, count(*) AS "count", CAST(sum(observation_value) AS BIGINT) AS observation_value '
+    "FROM cu_obs GROUP BY country_name, measure"
+)
+ORACLE["sem_filter_equals"] = _with(*STATIONS_CHAIN) + (
+    'SELECT country_name, state_name, count(*) AS "count" FROM cu_stations '
+    "WHERE country_id IN ('01', '05', '10') GROUP BY country_name, state_name"
+)
+ORACLE["sem_filter_bool"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
+    'SELECT measure, count(*) AS "count" FROM cu_obs '
+    "WHERE quality_flag IN ('X') OR (measurement_flag IN ('T') AND source_flag IN ('O')) GROUP BY measure"
+)
+ORACLE["sem_filter_measure"] = _with(*SY_CHAIN) + (
+    'SELECT * FROM (SELECT country_name, count(*) AS "count", CAST(sum(observation_count) AS BIGINT) AS observation_count '
+    'FROM cu_sy GROUP BY country_name) WHERE "count" > 300'
+)
+ORACLE["sem_time_dimension"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
+    "SELECT measure, strftime(CAST(date_trunc('year', observation_date) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') "
+    'AS observation_date_year, count(*) AS "count" FROM cu_obs GROUP BY 1, 2'
+)
+ORACLE["sem_order_limit"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
+    'SELECT station_id, count(*) AS "count" FROM cu_obs GROUP BY station_id '
+    'ORDER BY "count" DESC, station_id ASC LIMIT 10'
+)
