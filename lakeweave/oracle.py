@@ -437,3 +437,9 @@ ORACLE["sem_order_limit"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
     'SELECT station_id, count(*) AS "count" FROM cu_obs GROUP BY station_id '
     'ORDER BY "count" DESC, station_id ASC LIMIT 10'
 )
+
+# ---- incremental stream ----------------------------------------------------------------
+ORACLE["stream_incremental_cleanse"] = (
+    "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, trim(event_type) AS event_type, "
+    "round(value, 6) AS value, props, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS event_date FROM events"
+)

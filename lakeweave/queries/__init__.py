@@ -1,3 +1,3 @@
 """Query keys, grouped by area. Importing this package registers them all."""
 
-from lakeweave.queries import api, layers, loads, metrics, quality, sources  # noqa: F401
+from lakeweave.queries import api, layers, loads, metrics, quality, sources, streams  # noqa: F401
