@@ -163,11 +163,14 @@ class Lakehouse:
         for k, v in partition.items():
             cond = F.col(k).isNull() | (F.col(k) != F.lit(v))
             outside = cond if outside is None else outside | cond
-        guarded = df.withColumn(
-            "__guard", F.when(outside, F.raise_error(F.lit(f"row outside partition {partition}")))
-        ).drop("__guard")
+        # the guard is folded into the key columns, so it is evaluated when staging
+        err = F.raise_error(F.lit(f"row outside partition {partition}"))
+        guarded = df.select(
+            *[c for c in df.columns if c not in keys],
+            *[F.when(outside, err).otherwise(F.col(k)).alias(k) for k in keys],
+        )
         self.ensure_table(layer, table, df, keys)
-        staging, staged = self._stage(guarded.select(*[c for c in df.columns if c not in keys], *keys))
+        staging, staged = self._stage(guarded)
         try:
             self._validate(staged, checks)
             view = f"__stage_{uuid.uuid4().hex[:10]}"
