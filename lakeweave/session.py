@@ -17,6 +17,10 @@ JOB_CONFS = {
     # test scale). Measured at sf0.1 on local[8]: broadcasting a 600k-row pruned fact
     # (under the default 10 MB estimate) is slower than a parallel sort-merge join.
     "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
+    # Let AQE replace a sort-merge join by a shuffled hash join when every post-shuffle
+    # partition of the build side is measured under 64 MB (a run-time check, so large
+    # partitions keep the spill-safe sort-merge join).
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
 }
 
 

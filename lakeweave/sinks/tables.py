@@ -56,6 +56,7 @@ class Lakehouse:
         self.spark = spark
         self.root = (root or f"{shared_root(spark)}/lakehouse").rstrip("/")
         self.namespace = namespace
+        self._databases: set[str] = set()
 
     @staticmethod
     def scratch(spark: SparkSession) -> "Lakehouse":
@@ -68,7 +69,9 @@ class Lakehouse:
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
         db = f"{self.namespace}{layer}"
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{self.root}/{layer}'")
+        if db not in self._databases:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{self.root}/{layer}'")
+            self._databases.add(db)
         return db
 
     def name(self, layer: str, table: str) -> str:
@@ -85,13 +88,11 @@ class Lakehouse:
 
     # K2 / K6: create with the staging schema if missing ----------------------------
     def ensure_table(self, layer: str, table: str, like: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        """Create an empty external table with ``like``'s schema (DDL only, no job)."""
         if self.exists(layer, table):
             return
         cols = [c for c in like.columns if c not in partition_by] + list(partition_by)
-        w = like.select(*cols).limit(0).write.format("parquet").option("path", self._new_location(layer, table))
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.saveAsTable(self.name(layer, table))
+        self._create_external(self.name(layer, table), self._new_location(layer, table), like.select(*cols), partition_by, recover=False)
 
     def _stage(self, df: DataFrame, partition_by: Sequence[str] = ()) -> tuple[str, DataFrame]:
         """K1: materialize into a fresh folder so checks and publish read the same rows."""
@@ -138,11 +139,13 @@ class Lakehouse:
         self.spark.catalog.refreshTable(name.replace("`", ""))
         return self.spark.table(name)
 
-    def _create_external(self, name: str, loc: str, df: DataFrame, partition_by: Sequence[str]) -> None:
+    def _create_external(
+        self, name: str, loc: str, df: DataFrame, partition_by: Sequence[str], recover: bool = True
+    ) -> None:
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         part = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if partition_by else ""
         self.spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet{part} LOCATION '{loc}'")
-        if partition_by:
+        if partition_by and recover:
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
     # K1 + K2 + K4 + K5: partition replace -------------------------------------------
