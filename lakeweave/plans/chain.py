@@ -1,4 +1,4 @@
-"""The weather pipeline for one table directory, wired in lineage order.
+"""The weather layers for one table directory, wired in lineage order.
 
 Every property is a lazy DataFrame; nothing runs until an action. Layers are not
 persisted here, so Catalyst plans each requested output end to end (column pruning
@@ -15,7 +15,7 @@ from lakeweave.plans import cleansed, curated, reporting
 from lakeweave.plans.raw import RawTables
 
 
-class Pipeline:
+class LayerChain:
     def __init__(self, spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None):
         self.spark, self.sf_dir, self.years = spark, sf_dir, years
         self.raw = RawTables(spark, sf_dir)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeweave.operators import partitions as P
 from lakeweave.plans import bindings
 from lakeweave.plans.api_pages import api_records
-from lakeweave.plans.pipeline import Pipeline
+from lakeweave.plans.chain import LayerChain
 from lakeweave.registry import register
 from lakeweave.sinks.tables import Lakehouse
 from lakeweave.specs import StaticPartition, TimePartition
@@ -22,7 +22,7 @@ OBS_ORDER = ["observation_date", "station_id", "measure"]
 def sink_full_refresh(spark, d):
     """cleansed.stations refreshed twice; the second publish replaces the first."""
     lh = Lakehouse.scratch(spark)
-    stations = Pipeline(spark, d).stations
+    stations = LayerChain(spark, d).stations
     lh.full_refresh("cleansed", "stations", stations)
     lh.full_refresh("cleansed", "stations", stations)
     return lh.table("cleansed", "stations")
@@ -47,11 +47,11 @@ def sink_insert_overwrite(spark, d):
     1997 (window 1997-01-01..1997-12-31 -> YEAR between 1997 and 1997) rewrites only
     that year; all other years stay."""
     lh = Lakehouse.scratch(spark)
-    p = Pipeline(spark, d)
+    p = LayerChain(spark, d)
     lh.insert_overwrite("cleansed", "observations", p.observations, ["observation_year"], OBS_ORDER)
     part = TimePartition("YEAR", datetime(1995, 1, 1))
     years = P.year_bounds(P.key_window("1997", part))
-    inc = Pipeline(spark, d, years=years).observations
+    inc = LayerChain(spark, d, years=years).observations
     lh.insert_overwrite("cleansed", "observations", inc, ["observation_year"], OBS_ORDER)
     return lh.table("cleansed", "observations")
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from lakeweave.plans.metrics import MetricService
-from lakeweave.plans.pipeline import Pipeline
+from lakeweave.plans.chain import LayerChain
 from lakeweave.registry import register
 
 OBS, SY, ST = "noaa_ghcn_observations", "noaa_ghcn_station_year", "noaa_ghcn_stations"
 
 
 def service(spark, d) -> MetricService:
-    p = Pipeline(spark, d)
+    p = LayerChain(spark, d)
     return MetricService(
         {
             "curated.observations": p.curated_observations,

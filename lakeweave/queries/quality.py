@@ -8,7 +8,7 @@ from lakeweave.operators import quality as Q
 from lakeweave.plans import bindings
 from lakeweave.plans.build import build_all
 from lakeweave.plans.checks import DECLARED_CHECKS
-from lakeweave.plans.pipeline import Pipeline
+from lakeweave.plans.chain import LayerChain
 from lakeweave.plans.raw import RawTables
 from lakeweave.registry import register
 from lakeweave.sinks.tables import Lakehouse
@@ -17,7 +17,7 @@ from lakeweave.sinks.tables import Lakehouse
 @register("dq_not_null")
 def dq_not_null(spark, d):
     """Declared not-null columns of cleansed observations plus quality_flag (mostly NULL)."""
-    obs = Pipeline(spark, d).observations
+    obs = LayerChain(spark, d).observations
     return Q.not_null_failures(obs, ["station_id", "observation_date", "measure", "quality_flag"])
 
 
@@ -29,7 +29,7 @@ def dq_unique(spark, d):
         ("customer", "c_custkey", t("customer")),
         ("orders", "o_orderkey", t("orders")),
         ("lineitem", "l_orderkey", t("lineitem")),
-        ("cleansed.stations", "id", Pipeline(spark, d).stations),
+        ("cleansed.stations", "id", LayerChain(spark, d).stations),
     ]
     out = None
     for model, col, df in cases:
@@ -44,7 +44,7 @@ def dq_unique(spark, d):
 def dq_relationships(spark, d):
     """Orphan child rows: bound observations and inventory vs stations (orphans from the
     left-out stations), stations vs countries and line items vs orders (clean)."""
-    p = Pipeline(spark, d)
+    p = LayerChain(spark, d)
     cases = [
         ("cleansed.observations", "station_id", "cleansed.stations", p.observations, p.stations, "id"),
         ("cleansed.inventory", "station_id", "cleansed.stations", p.inventory, p.stations, "id"),

@@ -38,20 +38,28 @@ def write_files(df: DataFrame, fmt: FileFormat, path: str, partition_by: Sequenc
 
 
 def write_arrow_files(df: DataFrame, path: str) -> None:
-    """Each task writes its rows as one Arrow IPC file; only file names come back."""
+    """Each task writes its rows as one Arrow IPC file; only file names come back.
+
+    Safe under task retries and speculation: the final name depends only on the
+    partition id, each attempt writes to its own temporary name and then moves it into
+    place, so a re-run attempt replaces (never duplicates) its partition's file.
+    """
     target = path.rstrip("/")
-    schema = df.schema
 
     def write_part(batches):
         import pyarrow as pa
         import pyarrow.fs as pafs
+        from pyspark import TaskContext
 
+        ctx = TaskContext.get()
+        pid, attempt = ctx.partitionId(), ctx.attemptNumber()
         fs, base = pafs.FileSystem.from_uri(target)
         fs.create_dir(base, recursive=True)
-        name = f"{base}/part-{uuid.uuid4().hex}.arrow"
+        final = f"{base}/part-{pid:05d}.arrow"
+        tmp = f"{base}/_tmp-{pid:05d}-{attempt}-{uuid.uuid4().hex[:8]}.arrow"
         writer = None
         n = 0
-        with fs.open_output_stream(name) as out:
+        with fs.open_output_stream(tmp) as out:
             for b in batches:
                 if writer is None:
                     writer = pa.ipc.new_file(out, b.schema)
@@ -60,9 +68,9 @@ def write_arrow_files(df: DataFrame, path: str) -> None:
             if writer is not None:
                 writer.close()
         if writer is None:
-            fs.delete_file(name)
+            fs.delete_file(tmp)
             return
-        yield pa.record_batch([pa.array([name]), pa.array([n], pa.int64())], names=["file", "rows"])
+        fs.move(tmp, final)
+        yield pa.record_batch([pa.array([final]), pa.array([n], pa.int64())], names=["file", "rows"])
 
-    del schema
     df.mapInArrow(write_part, "file string, rows long").collect()

@@ -3,7 +3,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from lakeweave.plans import curated, reporting
-from lakeweave.plans.pipeline import Pipeline
+from lakeweave.plans.chain import LayerChain
 from tests.conftest import SF_SMALL
 
 
@@ -81,7 +81,7 @@ def _plan(df) -> str:
 
 
 def test_plan_partial_aggregation_and_pushdown(spark):
-    p = Pipeline(spark, SF_SMALL)
+    p = LayerChain(spark, SF_SMALL)
     plan = _plan(p.station_year)
     assert "partial_" in plan or "HashAggregate" in plan
     # the QC filter reaches the line-item scan (quality_flag IS NULL pushed through the joins)
