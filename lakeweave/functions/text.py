@@ -1,4 +1,8 @@
-"""Text slicing for line-oriented sources."""
+"""Text slicing for line-oriented sources.
+
+Each rule is written once as SQL text (``*_sql``) so a whole projection can go to
+Spark in one ``selectExpr`` call; the Column form wraps the same text.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +10,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def byte_substring(line: Column | str, pos: int, length: int) -> Column:
+def q(name: str) -> str:
+    """Quote a column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def byte_substring_sql(line: str, pos: int, length: int) -> str:
     """1-based substring counted in UTF-8 bytes, like the warehouse's ``substring``.
 
     Spark's ``substring`` counts characters; a fixed-width layout counts bytes, so
     a multi-byte character earlier on the line would shift every later field.
     Slice the binary form, then decode. A line shorter than the layout gives ''.
     """
-    col = F.col(line) if isinstance(line, str) else line
-    return F.decode(F.substring(col.cast("binary"), pos, length), "UTF-8")
+    return f"decode(substring(cast({q(line)} as binary), {int(pos)}, {int(length)}), 'UTF-8')"
 
 
-def fixed_width_columns(line: Column | str, layout: dict[str, tuple[int, int]]) -> list[Column]:
+def byte_substring(line: str, pos: int, length: int) -> Column:
+    return F.expr(byte_substring_sql(line, pos, length))
+
+
+def fixed_width_sql(line: str, layout: dict[str, tuple[int, int]]) -> list[str]:
     """One untrimmed string column per ``name -> (pos, len)``; typing happens later."""
-    return [byte_substring(line, pos, length).alias(name) for name, (pos, length) in layout.items()]
+    return [f"{byte_substring_sql(line, p, n)} AS {q(name)}" for name, (p, n) in layout.items()]
+
+
+def fixed_width_columns(line: str, layout: dict[str, tuple[int, int]]) -> list[Column]:
+    return [F.expr(e) for e in fixed_width_sql(line, layout)]
 
 
 def regex_columns(line: Column | str, pattern: str, names: list[str]) -> list[Column]:

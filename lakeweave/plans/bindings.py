@@ -18,7 +18,7 @@ Binding rules:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Element recorded by line number 1..7.
@@ -54,60 +54,56 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def _code2(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 2, "0")
+def _code2(col: str) -> str:
+    return f"lpad(cast({col} as string), 2, '0')"
 
 
-def station_id(nationkey: Column, custkey: Column) -> Column:
+def station_id_sql(nationkey: str, custkey: str) -> str:
     """11 chars: 2-char country code + 9-digit station number."""
-    return F.concat(_code2(nationkey), F.lpad(custkey.cast("string"), 9, "0"))
+    return f"concat({_code2(nationkey)}, lpad(cast({custkey} as string), 9, '0'))"
 
 
-def _fixed(value: Column, width: int) -> Column:
+def _fixed(value: str, width: int) -> str:
     """Right-align a value's text in ``width`` characters."""
-    return F.lpad(value.cast("string"), width, " ")
+    return f"lpad(cast({value} as string), {width}, ' ')"
 
 
-def latitude_text(custkey: Column) -> Column:
-    tenths = (custkey * 37) % 1800 - 900
-    return _fixed((tenths.cast("decimal(12,1)") / 10).cast("decimal(8,4)"), 8)
+def latitude_text_sql(custkey: str) -> str:
+    return _fixed(f"cast(cast(({custkey} * 37) % 1800 - 900 as decimal(12,1)) / 10 as decimal(8,4))", 8)
 
 
-def longitude_text(custkey: Column) -> Column:
-    tenths = (custkey * 91) % 3600 - 1800
-    return _fixed((tenths.cast("decimal(12,1)") / 10).cast("decimal(9,4)"), 9)
+def longitude_text_sql(custkey: str) -> str:
+    return _fixed(f"cast(cast(({custkey} * 91) % 3600 - 1800 as decimal(12,1)) / 10 as decimal(9,4))", 9)
 
 
 def country_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
-    return n.select(F.concat(_code2(F.col("n_nationkey")), F.lit(" "), F.col("n_name")).alias("line"))
+    return n.selectExpr(f"concat({_code2('n_nationkey')}, ' ', n_name) AS line")
 
 
 def state_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "region")
-    return r.select(F.concat(_code2(F.col("r_regionkey")), F.lit(" "), F.col("r_name")).alias("line"))
+    return r.selectExpr(f"concat({_code2('r_regionkey')}, ' ', r_name) AS line")
 
 
 def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    k = F.col("c_custkey")
-    blank = lambda w: F.lit(" " * w)
     fields = [
-        station_id(F.col("c_nationkey"), k),
-        latitude_text(k),
-        longitude_text(k),
-        _fixed(F.floor("c_acctbal").cast("decimal(6,1)"), 6),
-        F.when(F.col("c_mktsegment") == "BUILDING", _code2(F.col("n_regionkey"))).otherwise(blank(2)),
-        F.rpad(F.col("c_name"), 30, " "),
-        F.when(k % 10 == 0, F.lit("GSN")).otherwise(blank(3)),
-        F.when(k % 15 == 0, F.lit("HCN")).otherwise(blank(3)),
-        F.lpad((k % 100000).cast("string"), 5, "0"),
+        station_id_sql("c_nationkey", "c_custkey"),
+        latitude_text_sql("c_custkey"),
+        longitude_text_sql("c_custkey"),
+        _fixed("cast(floor(c_acctbal) as decimal(6,1))", 6),
+        f"CASE WHEN c_mktsegment = 'BUILDING' THEN {_code2('n_regionkey')} ELSE '  ' END",
+        "rpad(c_name, 30, ' ')",
+        "CASE WHEN c_custkey % 10 = 0 THEN 'GSN' ELSE '   ' END",
+        "CASE WHEN c_custkey % 15 = 0 THEN 'HCN' ELSE '   ' END",
+        "lpad(cast(c_custkey % 100000 as string), 5, '0')",
     ]
     return (
-        c.filter(k % 50 != 49)
-        .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(F.concat_ws(" ", *fields).alias("line"))
+        c.filter("c_custkey % 50 != 49")
+        .join(n, c["c_nationkey"] == n["n_nationkey"], "left")
+        .selectExpr(f"concat_ws(' ', {', '.join(fields)}) AS line")
     )
 
 
@@ -123,26 +119,21 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"
     )
-    oc = o.join(c, o.o_custkey == c.c_custkey, "inner")
-    x = li.join(oc, li.l_orderkey == oc.o_orderkey, "inner")
-    d = F.col("o_orderdate")
-    element = F.try_element_at(F.array(*[F.lit(e) for e in ELEMENTS_BY_LINE]), F.col("l_linenumber"))
-    qty10 = (F.floor("l_quantity") * 10).cast("int")
-    obs_time = (
-        F.when(F.col("l_orderkey") % 4 == 1, F.lit(""))
-        .when(F.col("l_orderkey") % 4 == 2, F.lit("700"))
-        .when(F.col("l_orderkey") % 4 == 3, F.lit("2400"))
-    )
-    return x.select(
-        station_id(F.col("c_nationkey"), F.col("o_custkey")).alias("ID"),
-        (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).alias("DATE"),
-        F.when(element == "TMIN", qty10 - 250).otherwise(qty10).alias("DATA_VALUE"),
-        F.when(F.col("l_quantity") == 1, F.lit("T")).alias("M_FLAG"),
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.lit("X")).alias("Q_FLAG"),
-        F.col("l_linestatus").alias("S_FLAG"),
-        obs_time.alias("OBS_TIME"),
-        element.alias("ELEMENT"),
-        F.year(d).alias("YEAR"),
+    oc = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
+    x = li.join(oc, li["l_orderkey"] == oc["o_orderkey"], "inner")
+    elements = ", ".join(f"'{e}'" for e in ELEMENTS_BY_LINE)
+    element = f"try_element_at(array({elements}), l_linenumber)"
+    qty10 = "cast(floor(l_quantity) * 10 as int)"
+    return x.selectExpr(
+        f"{station_id_sql('c_nationkey', 'o_custkey')} AS ID",
+        "year(o_orderdate) * 10000 + month(o_orderdate) * 100 + dayofmonth(o_orderdate) AS DATE",
+        f"CASE WHEN {element} = 'TMIN' THEN {qty10} - 250 ELSE {qty10} END AS DATA_VALUE",
+        "CASE WHEN l_quantity = 1 THEN 'T' END AS M_FLAG",
+        "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'X' END AS Q_FLAG",
+        "l_linestatus AS S_FLAG",
+        "CASE l_orderkey % 4 WHEN 1 THEN '' WHEN 2 THEN '700' WHEN 3 THEN '2400' END AS OBS_TIME",
+        f"{element} AS ELEMENT",
+        "year(o_orderdate) AS YEAR",
     )
 
 
@@ -151,16 +142,16 @@ def inventory_lines(raw_obs: DataFrame) -> DataFrame:
     per = raw_obs.groupBy("ID", "ELEMENT").agg(
         F.min("YEAR").alias("first_year"), F.max("YEAR").alias("last_year")
     )
-    k = F.substring("ID", 3, 9).cast("bigint")
+    k = "cast(substring(ID, 3, 9) as bigint)"
     fields = [
-        F.col("ID"),
-        latitude_text(k),
-        longitude_text(k),
-        F.rpad(F.col("ELEMENT"), 4, " "),
-        F.col("first_year").cast("string"),
-        F.col("last_year").cast("string"),
+        "ID",
+        latitude_text_sql(k),
+        longitude_text_sql(k),
+        "rpad(ELEMENT, 4, ' ')",
+        "cast(first_year as string)",
+        "cast(last_year as string)",
     ]
-    return per.select(F.concat_ws(" ", *fields).alias("line"))
+    return per.selectExpr(f"concat_ws(' ', {', '.join(fields)}) AS line")
 
 
 def seed_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -6,12 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweave.functions.time import observed_at, parse_yyyymmdd
+from lakeweave.functions.time import observed_at_sql, parse_yyyymmdd_sql
 
 
 def code_names(raw: DataFrame) -> DataFrame:
     """countries / states: (id, name)."""
-    return raw.select(F.trim("code").alias("id"), F.trim("name").alias("name"))
+    return raw.selectExpr("trim(code) AS id", "trim(name) AS name")
 
 
 countries = code_names
@@ -19,28 +19,28 @@ states = code_names
 
 
 def stations(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        F.trim("station_id").alias("id"),
-        F.trim("latitude").cast("decimal(9,6)").alias("latitude"),
-        F.trim("longitude").cast("decimal(9,6)").alias("longitude"),
-        F.trim("elevation").cast("decimal(8,1)").alias("elevation"),
-        F.trim("state").alias("state_id"),
-        F.substring("station_id", 1, 2).alias("country_id"),
-        F.trim("name").alias("name"),
-        F.trim("gsn_flag").alias("gsn_flag"),
-        F.trim("hcn_crn_flag").alias("hcn_crn_flag"),
-        F.trim("wmo_id").alias("wmo_id"),
+    return raw.selectExpr(
+        "trim(station_id) AS id",
+        "cast(trim(latitude) as decimal(9,6)) AS latitude",
+        "cast(trim(longitude) as decimal(9,6)) AS longitude",
+        "cast(trim(elevation) as decimal(8,1)) AS elevation",
+        "trim(state) AS state_id",
+        "substring(station_id, 1, 2) AS country_id",
+        "trim(name) AS name",
+        "trim(gsn_flag) AS gsn_flag",
+        "trim(hcn_crn_flag) AS hcn_crn_flag",
+        "trim(wmo_id) AS wmo_id",
     )
 
 
 def inventory(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        F.trim("station_id").alias("station_id"),
-        F.trim("latitude").cast("decimal(9,6)").alias("latitude"),
-        F.trim("longitude").cast("decimal(9,6)").alias("longitude"),
-        F.trim("element").alias("element"),
-        F.col("first_year").cast("int").alias("first_year"),
-        F.col("last_year").cast("int").alias("last_year"),
+    return raw.selectExpr(
+        "trim(station_id) AS station_id",
+        "cast(trim(latitude) as decimal(9,6)) AS latitude",
+        "cast(trim(longitude) as decimal(9,6)) AS longitude",
+        "trim(element) AS element",
+        "cast(first_year as int) AS first_year",
+        "cast(last_year as int) AS last_year",
     )
 
 
@@ -48,18 +48,18 @@ def observations(raw: DataFrame, years: tuple[int, int] | None = None) -> DataFr
     """Typed observations. ``years`` = inclusive (first, last) window on the YEAR
     partition column; applied before anything else so the scan prunes partitions."""
     if years is not None:
-        raw = raw.filter(F.col("YEAR").between(years[0], years[1]))
-    day = parse_yyyymmdd(F.col("DATE"))
-    return raw.select(
-        F.col("YEAR").cast("int").alias("observation_year"),
-        F.col("ID").cast("string").alias("station_id"),
-        day.alias("observation_date"),
-        observed_at(day, F.col("OBS_TIME")).alias("observed_at"),
-        F.col("DATA_VALUE").cast("int").alias("observation_value"),
-        F.col("M_FLAG").alias("measurement_flag"),
-        F.col("Q_FLAG").alias("quality_flag"),
-        F.col("S_FLAG").alias("source_flag"),
-        F.col("ELEMENT").cast("string").alias("measure"),
+        raw = raw.filter(F.col("YEAR").between(int(years[0]), int(years[1])))
+    day = parse_yyyymmdd_sql("DATE")
+    return raw.selectExpr(
+        "cast(YEAR as int) AS observation_year",
+        "cast(ID as string) AS station_id",
+        f"{day} AS observation_date",
+        f"{observed_at_sql(day, 'OBS_TIME')} AS observed_at",
+        "cast(DATA_VALUE as int) AS observation_value",
+        "M_FLAG AS measurement_flag",
+        "Q_FLAG AS quality_flag",
+        "S_FLAG AS source_flag",
+        "cast(ELEMENT as string) AS measure",
     )
 
 

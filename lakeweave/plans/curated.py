@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweave.functions.units import normalized_value
-from lakeweave.operators.aggregates import avg_if, min_if, sum_if
+from lakeweave.functions.units import normalized_value_sql
 from lakeweave.operators.joins import lookup
 
 STATION_YEAR_KEYS = ["observation_year", "station_id", "country_id", "country_name"]
@@ -32,28 +31,32 @@ def observations(cleansed_obs: DataFrame, curated_stations: DataFrame) -> DataFr
         "id",
         {c: c for c in ["country_id", "country_name", "state_id", "latitude", "longitude", "elevation"]},
     )
-    return joined.select(
+    return joined.selectExpr(
         "observation_year", "observation_date", "observed_at", "station_id", "measure",
         "observation_value",
-        normalized_value(F.col("measure"), F.col("observation_value")).alias("observation_value_normalized"),
+        f"{normalized_value_sql('measure', 'observation_value')} AS observation_value_normalized",
         "measurement_flag", "quality_flag", "source_flag",
         "country_id", "country_name", "state_id", "latitude", "longitude", "elevation",
     )
 
 
+def _when(measure: str, value: str) -> str:
+    return f"CASE WHEN measure = '{measure}' THEN {value} END"
+
+
 def station_year_from_obt(curated_obs: DataFrame) -> DataFrame:
     """Station-year fact read from a persisted one-big-table (single partial+final agg)."""
-    v, m = F.col("observation_value_normalized"), F.col("measure")
+    v = "observation_value_normalized"
     return (
-        curated_obs.filter(F.col("quality_flag").isNull())
+        curated_obs.filter("quality_flag IS NULL")
         .groupBy(*STATION_YEAR_KEYS)
         .agg(
-            avg_if(v, m == "TMAX").alias("avg_tmax_celsius"),
-            avg_if(v, m == "TMIN").alias("avg_tmin_celsius"),
-            min_if(v, m == "TMIN").alias("min_tmin_celsius"),
-            sum_if(v, m == "PRCP").alias("total_precip_mm"),
-            sum_if(v, m == "SNOW").alias("total_snowfall_mm"),
-            F.count(F.lit(1)).alias("observation_count"),
+            F.expr(f"avg({_when('TMAX', v)}) AS avg_tmax_celsius"),
+            F.expr(f"avg({_when('TMIN', v)}) AS avg_tmin_celsius"),
+            F.expr(f"min({_when('TMIN', v)}) AS min_tmin_celsius"),
+            F.expr(f"sum({_when('PRCP', v)}) AS total_precip_mm"),
+            F.expr(f"sum({_when('SNOW', v)}) AS total_snowfall_mm"),
+            F.expr("count(1) AS observation_count"),
         )
     )
 
@@ -68,30 +71,27 @@ def station_year(cleansed_obs: DataFrame, curated_stations: DataFrame) -> DataFr
     second aggregation merges the partials per full key, so a duplicated station id
     would still count exactly as the row-level join would.
     """
-    v, m = normalized_value(F.col("measure"), F.col("observation_value")), F.col("measure")
-    tmax, tmin = F.when(m == "TMAX", v), F.when(m == "TMIN", v)
+    v = normalized_value_sql("measure", "observation_value")
     partial = (
-        cleansed_obs.filter(F.col("quality_flag").isNull())
+        cleansed_obs.filter("quality_flag IS NULL")
         .groupBy("observation_year", "station_id")
         .agg(
-            F.sum(tmax).alias("tmax_sum"), F.count(tmax).alias("tmax_n"),
-            F.sum(tmin).alias("tmin_sum"), F.count(tmin).alias("tmin_n"),
-            F.min(tmin).alias("tmin_min"),
-            sum_if(v, m == "PRCP").alias("prcp_sum"),
-            sum_if(v, m == "SNOW").alias("snow_sum"),
-            F.count(F.lit(1)).alias("n"),
+            F.expr(f"sum({_when('TMAX', v)}) AS tmax_sum"),
+            F.expr(f"count({_when('TMAX', v)}) AS tmax_n"),
+            F.expr(f"sum({_when('TMIN', v)}) AS tmin_sum"),
+            F.expr(f"count({_when('TMIN', v)}) AS tmin_n"),
+            F.expr(f"min({_when('TMIN', v)}) AS tmin_min"),
+            F.expr(f"sum({_when('PRCP', v)}) AS prcp_sum"),
+            F.expr(f"sum({_when('SNOW', v)}) AS snow_sum"),
+            F.expr("count(1) AS n"),
         )
     )
     joined = lookup(partial, curated_stations, "station_id", "id", {"country_id": "country_id", "country_name": "country_name"})
-
-    def mean(s: str, n: str):
-        return F.when(F.sum(n) > 0, F.sum(s) / F.sum(n))
-
     return joined.groupBy(*STATION_YEAR_KEYS).agg(
-        mean("tmax_sum", "tmax_n").alias("avg_tmax_celsius"),
-        mean("tmin_sum", "tmin_n").alias("avg_tmin_celsius"),
-        F.min("tmin_min").alias("min_tmin_celsius"),
-        F.sum("prcp_sum").alias("total_precip_mm"),
-        F.sum("snow_sum").alias("total_snowfall_mm"),
-        F.sum("n").cast("bigint").alias("observation_count"),
+        F.expr("CASE WHEN sum(tmax_n) > 0 THEN sum(tmax_sum) / sum(tmax_n) END AS avg_tmax_celsius"),
+        F.expr("CASE WHEN sum(tmin_n) > 0 THEN sum(tmin_sum) / sum(tmin_n) END AS avg_tmin_celsius"),
+        F.expr("min(tmin_min) AS min_tmin_celsius"),
+        F.expr("sum(prcp_sum) AS total_precip_mm"),
+        F.expr("sum(snow_sum) AS total_snowfall_mm"),
+        F.expr("cast(sum(n) as bigint) AS observation_count"),
     )

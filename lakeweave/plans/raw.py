@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakeweave.plans import bindings
 from lakeweave.plans.layouts import CODE_NAME_REGEXP, INVENTORY_LAYOUT, STATION_LAYOUT
@@ -12,13 +11,14 @@ from lakeweave.sources.files import read_layout_lines
 
 def parse_code_name(lines: DataFrame) -> DataFrame:
     """``^(.{2}) (.+)$`` -> (code, name); a non-matching line fails the job."""
-    v = F.col("line")
-    guarded = F.when(v.rlike(CODE_NAME_REGEXP), v).otherwise(
-        F.raise_error(F.concat(F.lit("line does not match regexp: "), v))
+    pattern = "'" + CODE_NAME_REGEXP.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    guarded = (
+        f"CASE WHEN line RLIKE {pattern} THEN line "
+        f"ELSE raise_error(concat('line does not match regexp: ', line)) END"
     )
-    return lines.select(
-        F.regexp_extract(guarded, CODE_NAME_REGEXP, 1).alias("code"),
-        F.regexp_extract(guarded, CODE_NAME_REGEXP, 2).alias("name"),
+    return lines.selectExpr(
+        f"regexp_extract({guarded}, {pattern}, 1) AS code",
+        f"regexp_extract({guarded}, {pattern}, 2) AS name",
     )
 
 

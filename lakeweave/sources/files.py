@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeweave.functions.text import byte_substring
+from lakeweave.functions.text import byte_substring, fixed_width_sql
 from lakeweave.specs import ColumnSpec, FileFormat, SourceSpec
 
 # Settings understood in a spec. Anything else is rejected rather than ignored.
@@ -162,4 +162,4 @@ def read_source(
 
 def read_layout_lines(lines: DataFrame, layout: dict[str, tuple[int, int]], line_col: str = "line") -> DataFrame:
     """Fixed-width parse of an existing ``line`` column (untrimmed strings)."""
-    return lines.select(*[byte_substring(line_col, p, n).alias(name) for name, (p, n) in layout.items()])
+    return lines.selectExpr(*fixed_width_sql(line_col, layout))
