@@ -9,6 +9,7 @@ from lakeweave.plans.bindings import table
 from lakeweave.registry import register
 from lakeweave.session import fresh_dir
 from lakeweave.sinks.tables import Lakehouse
+from lakeweave.sources.files import ntz_literal
 from lakeweave.streaming.incremental import incremental_partition_refresh
 
 
@@ -25,8 +26,8 @@ def stream_incremental_cleanse(spark, d):
     run = lambda: incremental_partition_refresh(
         spark, lh, raw, E.RAW_EVENT_SCHEMA, "event_date", E.cleanse, "cleansed", "events", ckpt, ["ts", "event_id"]
     )
-    E.land(ev.filter(F.col("ts") < F.lit(cut)), raw)
+    E.land(ev.filter(F.col("ts") < ntz_literal(cut)), raw)
     run()
-    E.land(ev.filter(F.col("ts") >= F.lit(cut)), raw)
+    E.land(ev.filter(F.col("ts") >= ntz_literal(cut)), raw)
     run()
     return run()  # nothing new: a no-op that returns the table

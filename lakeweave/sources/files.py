@@ -156,10 +156,20 @@ def read_source(
     keep = [F.col(p) for p in spec.partition_columns if p in raw.columns and p not in declared]
     if ingested_at is None:
         raise ValueError("declared columns need the run's ingested_at timestamp")
-    audit = F.lit(ingested_at).cast("timestamp_ntz").alias("ingested_at")
+    audit = ntz_literal(ingested_at).alias("ingested_at")
     return raw.select(*cols, *keep, audit)
 
 
+def ntz_literal(ts: datetime) -> Column:
+    """A TIMESTAMP_NTZ literal from its wall-clock text: independent of both the Python
+    process's and the session's time zone (aware datetimes are taken in UTC)."""
+    if ts.tzinfo is not None:
+        from datetime import timezone
+
+        ts = ts.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def read_layout_lines(lines: DataFrame, layout: dict[str, tuple[int, int]], line_col: str = "line") -> DataFrame:
     """Fixed-width parse of an existing ``line`` column (untrimmed strings)."""
     return lines.selectExpr(*fixed_width_sql(line_col, layout))
