@@ -8,8 +8,8 @@ executors and survives the loss of any of them.
 Load modes:
   full_refresh       stage into a new versioned folder, validate, then publish by
                      pointing the table at it (catalog swap; readers see old or new)
-  replace_partition  stage one partition tuple, validate, then static
-                     ``INSERT OVERWRITE ... PARTITION (k=v)``: exactly that tuple is
+  replace_partition  write one partition tuple into a new folder, validate, then swap
+                     the partition's location in the catalog: exactly that tuple is
                      replaced, an empty slice clears it, re-running is idempotent
   insert_overwrite   dynamic partition overwrite: only partitions present in the
                      incoming rows are replaced
@@ -94,16 +94,6 @@ class Lakehouse:
         cols = [c for c in like.columns if c not in partition_by] + list(partition_by)
         self._create_external(self.name(layer, table), self._new_location(layer, table), like.select(*cols), partition_by, recover=False)
 
-    def _stage(self, df: DataFrame, partition_by: Sequence[str] = ()) -> tuple[str, DataFrame]:
-        """K1: materialize into a fresh folder so checks and publish read the same rows."""
-        path = f"{self.root}/_staging/{uuid.uuid4().hex[:12]}"
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        staged = self.spark.read.parquet(path)
-        return path, staged.select(*df.columns)
-
     @staticmethod
     def _validate(staged: DataFrame, checks: Sequence[Check]) -> None:
         for check in checks:
@@ -148,7 +138,7 @@ class Lakehouse:
         if partition_by and recover:
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
-    # K1 + K2 + K4 + K5: partition replace -------------------------------------------
+    # K1 + K2 + K4: partition replace ---------------------------------------------
     def replace_partition(
         self,
         layer: str,
@@ -157,36 +147,37 @@ class Lakehouse:
         partition: dict[str, object],
         checks: Sequence[Check] = (),
     ) -> DataFrame:
-        """Replace exactly one partition tuple with ``df``'s rows (static overwrite).
-
-        Rows outside the tuple are rejected; an empty ``df`` clears the partition.
+        """Replace exactly one partition tuple with ``df``'s rows.
+
+        The slice is written once, into a new versioned folder of that partition, and
+        validated there; publishing is a catalog swap of the partition's location
+        (``ALTER TABLE ... PARTITION (k=v) SET LOCATION``), so readers see the old or
+        the new slice, never a mix, and no data is copied. Rows outside the tuple fail
+        the write; an empty ``df`` clears the partition; re-running is idempotent.
+        Superseded folders stay for readers that started before the swap.
         """
         keys = list(partition)
+        self.ensure_table(layer, table, df, keys)
+        name = self.name(layer, table)
+        target_cols = [c for c in self.table(layer, table).columns if c not in keys]
         outside = None
         for k, v in partition.items():
             cond = F.col(k).isNull() | (F.col(k) != F.lit(v))
             outside = cond if outside is None else outside | cond
-        # the guard is folded into the key columns, so it is evaluated when staging
         err = F.raise_error(F.lit(f"row outside partition {partition}"))
-        guarded = df.select(
-            *[c for c in df.columns if c not in keys],
-            *[F.when(outside, err).otherwise(F.col(k)).alias(k) for k in keys],
-        )
-        self.ensure_table(layer, table, df, keys)
-        staging, staged = self._stage(guarded)
-        try:
-            self._validate(staged, checks)
-            view = f"__stage_{uuid.uuid4().hex[:10]}"
-            staged.createOrReplaceTempView(view)
-            target_cols = [c for c in self.table(layer, table).columns if c not in keys]
-            spec = ", ".join(f"`{k}` = {_lit_sql(v)}" for k, v in partition.items())
-            self.spark.sql(
-                f"INSERT OVERWRITE TABLE {self.name(layer, table)} PARTITION ({spec}) "
-                f"SELECT {', '.join(f'`{c}`' for c in target_cols)} FROM {view}"
-            )
-            self.spark.catalog.dropTempView(view)
-        finally:
-            self._drop_path(staging)
+        # the guard rides on a written column, so it is evaluated by the write itself
+        first, rest = target_cols[0], target_cols[1:]
+        slice_df = df.select(F.when(outside, err).otherwise(F.col(first)).alias(first), *rest)
+        folder = "/".join(f"{k}={v}" for k, v in partition.items())
+        loc = f"{self.root}/{layer}/{table}/_partitions/{folder}/v-{uuid.uuid4().hex[:12]}"
+        slice_df.write.mode("overwrite").parquet(loc)
+        if checks:
+            staged = self.spark.read.schema(slice_df.schema).parquet(loc)
+            self._validate(staged.select("*", *[F.lit(v).alias(k) for k, v in partition.items()]), checks)
+        spec = ", ".join(f"`{k}` = {_lit_sql(v)}" for k, v in partition.items())
+        self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
+        self.spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{loc}'")
+        self.spark.catalog.refreshTable(name.replace("`", ""))
         return self.table(layer, table)
 
     # K11 + K12: incremental insert overwrite ----------------------------------------
@@ -240,10 +231,3 @@ class Lakehouse:
         if not self.exists(dst_layer, dst):
             self.full_refresh(dst_layer, dst, self.table(src_layer, src))
         return self.table(dst_layer, dst)
-
-    def _drop_path(self, path: str) -> None:
-        """Delete a staging folder through the Hadoop FileSystem of the path."""
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(p, True)
