@@ -40,6 +40,12 @@ def land_pages(records: DataFrame, path: str) -> None:
         F.first("pages").alias("pages"),
         F.sort_array(F.collect_list(F.struct("id", "date", "value"))).alias("records"),
     )
+    # a page is one block of PAGE_SIZE unique order keys; fail loudly if the key ever
+    # stops being unique rather than emitting an oversized page
+    too_big = F.size("records") > PAGE_SIZE
+    pages = pages.withColumn(
+        "records", F.when(too_big, F.raise_error(F.lit("page exceeds PAGE_SIZE records"))).otherwise(F.col("records"))
+    )
     doc = F.concat(
         F.lit("["),
         F.to_json(F.struct(F.col("page"), F.col("pages"))),

@@ -105,3 +105,33 @@ def test_plan_top_k(spark):
 
     df = raw_queries()["sem_order_limit"](spark, SF_SMALL)
     assert "TakeOrderedAndProject" in _plan(df)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.sampled_from(["S1", "S2", "S3", "S4"]), st.sampled_from(["TMAX", "TMIN", "PRCP", "SNOW"]),
+                  st.integers(-400, 400), st.booleans()),
+        min_size=1, max_size=40,
+    )
+)
+def test_two_stage_mean_property(spark, readings):
+    """Country mean = unweighted mean over stations of each station's mean (QC-passing),
+    computed directly in Python."""
+    rows = [(2024, s, date(2024, 1, 1), None, v, None, "X" if bad else None, "a", m) for s, m, v, bad in readings]
+    sy = curated.station_year(_obs(spark, rows), _stations(spark))
+    got = {r.country_id: r.avg_tmax_celsius for r in reporting.country_year(sy).collect()}
+    country = {"S1": "01", "S2": "01", "S3": "02", "S4": None}
+    per_station: dict = {}
+    for s, m, v, bad in readings:
+        if not bad and m == "TMAX":
+            per_station.setdefault(s, []).append(v / 10.0)
+    by_country: dict = {}
+    for s, vals in per_station.items():
+        by_country.setdefault(country[s], []).append(sum(vals) / len(vals))
+    for c, means in by_country.items():
+        assert abs(got[c] - sum(means) / len(means)) < 1e-9
