@@ -141,3 +141,15 @@ def test_fixed_width_format_parse_round_trip(spark, rows):
     lines = spark.createDataFrame([(fmt(i, n),) for i, n in rows], "line string")
     parsed = read_layout_lines(lines, {"id": (1, 11), "name": (13, 30)}).collect()
     assert [(r.id.strip(), r.name.rstrip()) for r in parsed] == [(i, n.rstrip()) for i, n in rows]
+
+
+def test_seed_ids_are_case_sensitive(spark, tmp_root):
+    from lakeweave.operators.quality import duplicate_values
+    from lakeweave.sources.seeds import read_seed
+
+    spark.createDataFrame([("A", "upper"), ("a", "lower"), ("B", "b")], "id string, description string").write.csv(
+        f"{tmp_root}/flags", header=True
+    )
+    seed = read_seed(spark, f"{tmp_root}/flags")
+    assert sorted(r.id for r in seed.collect()) == ["A", "B", "a"]
+    assert duplicate_values(seed, ["id"]).count() == 0
