@@ -32,13 +32,3 @@ def byte_substring(line: str, pos: int, length: int) -> Column:
 def fixed_width_sql(line: str, layout: dict[str, tuple[int, int]]) -> list[str]:
     """One untrimmed string column per ``name -> (pos, len)``; typing happens later."""
     return [f"{byte_substring_sql(line, p, n)} AS {q(name)}" for name, (p, n) in layout.items()]
-
-
-def fixed_width_columns(line: str, layout: dict[str, tuple[int, int]]) -> list[Column]:
-    return [F.expr(e) for e in fixed_width_sql(line, layout)]
-
-
-def regex_columns(line: Column | str, pattern: str, names: list[str]) -> list[Column]:
-    """Capture groups of ``pattern`` become columns in order."""
-    col = F.col(line) if isinstance(line, str) else line
-    return [F.regexp_extract(col, pattern, i + 1).alias(n) for i, n in enumerate(names)]

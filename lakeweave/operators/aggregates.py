@@ -1,25 +1,12 @@
-"""Conditional aggregates with NULL (never 0 or NaN) when nothing matches."""
+"""Aggregate helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
-def avg_if(x: Column, cond: Column) -> Column:
-    return F.avg(F.when(cond, x))
-
-
-def min_if(x: Column, cond: Column) -> Column:
-    return F.min(F.when(cond, x))
-
-
-def sum_if(x: Column, cond: Column) -> Column:
-    """NULL when no row matches (``sum`` of nothing), not 0."""
-    return F.sum(F.when(cond, x))
 
 
 def any_not_null(*cols: Column) -> Column:
+    """True when at least one of ``cols`` is not NULL."""
     out = cols[0].isNotNull()
     for c in cols[1:]:
         out = out | c.isNotNull()

@@ -5,7 +5,6 @@ driver except, when no schema is declared, the schema of one file."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
