@@ -135,3 +135,27 @@ def test_two_stage_mean_property(spark, readings):
         by_country.setdefault(country[s], []).append(sum(vals) / len(vals))
     for c, means in by_country.items():
         assert abs(got[c] - sum(means) / len(means)) < 1e-9
+
+
+def test_plan_small_dimensions_broadcast(spark):
+    plan = _plan(LayerChain(spark, SF_SMALL).curated_stations)
+    assert plan.count("BroadcastHashJoin") >= 2  # countries and states lookups
+
+
+def test_plan_partial_then_final_aggregate(spark):
+    df = LayerChain(spark, SF_SMALL).station_year
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in text and "HashAggregate" in text
+
+
+def test_plan_qc_filter_pushed_into_persisted_obt(spark):
+    from lakeweave.plans import curated as C
+    from lakeweave.sinks.tables import Lakehouse
+
+    lh = Lakehouse.scratch(spark)
+    chain = LayerChain(spark, SF_SMALL)
+    obt = lh.full_refresh("curated", "observations", chain.curated_observations, partition_by=["observation_year"])
+    sy = C.station_year_from_obt(obt)
+    text = sy._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNull(quality_flag)]" in text
+    assert sy.count() == chain.station_year.count()
