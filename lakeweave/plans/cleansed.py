@@ -18,12 +18,33 @@ countries = code_names
 states = code_names
 
 
-def stations(raw: DataFrame) -> DataFrame:
+def _cast(text: str, type_name: str, strict: bool) -> str:
+    return f"{'cast' if strict else 'try_cast'}({text} as {type_name})"
+
+
+# typed columns of the station list and the inventory: column -> (text expression, type)
+STATION_CASTS = {
+    "latitude": ("trim(latitude)", "decimal(9,6)"),
+    "longitude": ("trim(longitude)", "decimal(9,6)"),
+    "elevation": ("trim(elevation)", "decimal(8,1)"),
+}
+INVENTORY_CASTS = {
+    "latitude": ("trim(latitude)", "decimal(9,6)"),
+    "longitude": ("trim(longitude)", "decimal(9,6)"),
+    "first_year": ("first_year", "int"),
+    "last_year": ("last_year", "int"),
+}
+
+
+def stations(raw: DataFrame, strict: bool = True) -> DataFrame:
+    """``strict`` (default): a malformed number fails the load (ANSI cast). Otherwise
+    it becomes NULL; count those with ``cast_rejects``."""
+    c = {k: _cast(t, ty, strict) for k, (t, ty) in STATION_CASTS.items()}
     return raw.selectExpr(
         "trim(station_id) AS id",
-        "cast(trim(latitude) as decimal(9,6)) AS latitude",
-        "cast(trim(longitude) as decimal(9,6)) AS longitude",
-        "cast(trim(elevation) as decimal(8,1)) AS elevation",
+        f"{c['latitude']} AS latitude",
+        f"{c['longitude']} AS longitude",
+        f"{c['elevation']} AS elevation",
         "trim(state) AS state_id",
         "substring(station_id, 1, 2) AS country_id",
         "trim(name) AS name",
@@ -33,17 +54,27 @@ def stations(raw: DataFrame) -> DataFrame:
     )
 
 
-def inventory(raw: DataFrame) -> DataFrame:
+def inventory(raw: DataFrame, strict: bool = True) -> DataFrame:
+    c = {k: _cast(t, ty, strict) for k, (t, ty) in INVENTORY_CASTS.items()}
     return raw.selectExpr(
         "trim(station_id) AS station_id",
-        "cast(trim(latitude) as decimal(9,6)) AS latitude",
-        "cast(trim(longitude) as decimal(9,6)) AS longitude",
+        f"{c['latitude']} AS latitude",
+        f"{c['longitude']} AS longitude",
         "trim(element) AS element",
-        "cast(first_year as int) AS first_year",
-        "cast(last_year as int) AS last_year",
+        f"{c['first_year']} AS first_year",
+        f"{c['last_year']} AS last_year",
     )
 
 
+def cast_rejects(raw: DataFrame, casts: dict[str, tuple[str, str]]) -> DataFrame:
+    """(column_name, rejects): values present in the text but not castable, in one pass."""
+    exprs = [
+        f"count_if({t} IS NOT NULL AND {t} != '' AND try_cast({t} as {ty}) IS NULL) AS `{k}`"
+        for k, (t, ty) in casts.items()
+    ]
+    return raw.selectExpr(*exprs).unpivot([], list(casts), "column_name", "rejects")
+
+
 def observations(raw: DataFrame, years: tuple[int, int] | None = None) -> DataFrame:
     """Typed observations. ``years`` = inclusive (first, last) window on the YEAR
     partition column; applied before anything else so the scan prunes partitions."""

@@ -159,3 +159,22 @@ def test_plan_qc_filter_pushed_into_persisted_obt(spark):
     text = sy._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNull(quality_flag)]" in text
     assert sy.count() == chain.station_year.count()
+
+
+def test_strict_casts_fail_tolerant_casts_count_rejects(spark):
+    import pytest
+
+    from lakeweave.plans import cleansed as CL
+
+    raw = spark.createDataFrame(
+        [("US000000001", "  12.5000", " -70.0000", "  10.0", "  ", "A", "", "", "00001"),
+         ("US000000002", "  abc    ", " -71.0000", "      ", "  ", "B", "", "", "00002")],
+        "station_id string, latitude string, longitude string, elevation string, state string, name string, "
+        "gsn_flag string, hcn_crn_flag string, wmo_id string",
+    )
+    with pytest.raises(Exception):
+        CL.stations(raw).collect()
+    got = {r.id: r.latitude for r in CL.stations(raw, strict=False).collect()}
+    assert got["US000000002"] is None and float(got["US000000001"]) == 12.5
+    rej = {r.column_name: r.rejects for r in CL.cast_rejects(raw, CL.STATION_CASTS).collect()}
+    assert rej == {"latitude": 1, "longitude": 0, "elevation": 0}  # blank elevation is not a reject
