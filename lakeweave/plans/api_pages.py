@@ -71,18 +71,34 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def completeness(spark: SparkSession, path: str, base_page: int = 1) -> DataFrame:
-    """Per partition: declared page count vs distinct pages landed in
-    [base_page, declared]. Reads only the meta of each page; one aggregation."""
+    """Per partition: expected pages vs distinct pages landed, in one aggregation over
+    page meta (records are counted, never gathered).
+
+    With a declared total (``$[0].pages``) the expected pages are base..total. Without
+    one, paging stops at the first empty page: the expected pages are base..the last
+    landed page, and the partition is complete only if that last page is empty.
+    """
     raw = spark.read.option("basePath", path).text(path)
-    meta = raw.select("YEAR", "page", F.get_json_object("value", "$[0].pages").cast("int").alias("pages"))
-    in_range = F.col("page").between(F.lit(base_page), F.col("pages"))
+    meta = raw.selectExpr(
+        "YEAR",
+        "page",
+        "cast(get_json_object(value, '$[0].pages') as int) AS pages",
+        "json_array_length(get_json_object(value, '$[1]')) AS n_records",
+    )
+    in_range = F.expr(f"page >= {int(base_page)} AND (pages IS NULL OR page <= pages)")
     per = meta.groupBy("YEAR").agg(
-        F.max("pages").alias("declared_pages"),
+        F.max("pages").alias("declared"),
+        F.max("page").alias("last_page"),
+        F.max_by("n_records", "page").alias("last_records"),
         F.count_distinct(F.when(in_range, F.col("page"))).alias("landed_pages"),
     )
-    missing = (F.col("declared_pages") - F.lit(base_page) + 1 - F.col("landed_pages")).cast("bigint")
-    return per.select(
-        "YEAR", "declared_pages", "landed_pages", missing.alias("missing_pages"), (missing == 0).alias("complete")
+    expected = f"coalesce(declared, last_page) - {int(base_page)} + 1"
+    return per.selectExpr(
+        "YEAR",
+        "coalesce(declared, last_page) AS declared_pages",
+        "landed_pages",
+        f"cast({expected} - landed_pages as bigint) AS missing_pages",
+        f"({expected} - landed_pages) = 0 AND (declared IS NOT NULL OR last_records = 0) AS complete",
     )
 
 

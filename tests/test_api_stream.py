@@ -56,3 +56,21 @@ def test_copy_table_with_data_skips_existing(spark):
     assert lh.copy_table("raw", "src", "curated", "dst").count() == 4
     lh.full_refresh("raw", "src", spark.range(9))
     assert lh.copy_table("raw", "src", "curated", "dst").count() == 4  # target existed: untouched
+
+
+def test_completeness_without_declared_total_needs_trailing_empty_page(spark, tmp_root):
+    import json
+
+    def page(year, p, recs):
+        doc = json.dumps([{"page": p}, recs])
+        spark.createDataFrame([(doc,)], "value string").coalesce(1).write.mode("overwrite").text(
+            f"{tmp_root}/YEAR={year}/page={p}"
+        )
+
+    rec = [{"id": 1, "date": "2020", "value": 1.0}]
+    page(2020, 1, rec), page(2020, 2, rec), page(2020, 3, [])  # stopped at the empty page
+    page(2021, 1, rec), page(2021, 2, rec)  # no empty page yet: not complete
+    page(2022, 1, rec), page(2022, 3, [])  # page 2 missing
+    got = {r.YEAR: (r.declared_pages, r.landed_pages, r.missing_pages, r.complete)
+           for r in api_pages.completeness(spark, tmp_root).collect()}
+    assert got == {2020: (3, 3, 0, True), 2021: (2, 2, 0, False), 2022: (3, 2, 1, False)}
