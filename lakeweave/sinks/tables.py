@@ -92,7 +92,9 @@ class Lakehouse:
         if self.exists(layer, table):
             return
         cols = [c for c in like.columns if c not in partition_by] + list(partition_by)
-        self._create_external(self.name(layer, table), self._new_location(layer, table), like.select(*cols), partition_by, recover=False)
+        self._create_external(
+            self.name(layer, table), self._new_location(layer, table), like.select(*cols), partition_by, recover=False
+        )
 
     @staticmethod
     def _validate(staged: DataFrame, checks: Sequence[Check]) -> None:
@@ -117,7 +119,8 @@ class Lakehouse:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(loc)
-        self._validate(self.spark.read.parquet(loc), checks)
+        if checks:
+            self._validate(self.spark.read.schema(df.schema).parquet(loc), checks)
         name = self.name(layer, table)
         if not self.exists(layer, table):
             self._create_external(name, loc, df, partition_by)
@@ -196,7 +199,7 @@ class Lakehouse:
         No repartition: a hot partition value is never funneled into a single task.
         """
         self.ensure_table(layer, table, df, partition_by)
-        cols = [c for c in self.table(layer, table).columns]
+        cols = self.table(layer, table).columns
         out = df.select(*cols).sortWithinPartitions(*partition_by, *order_by)
         with session_conf(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             out.write.mode("overwrite").insertInto(self.name(layer, table).replace("`", ""))

@@ -68,3 +68,10 @@ def test_append_duplicates_replace_does_not(spark):
     assert lh.load("raw", "a", df, "append").count() == 2
     lh.load("raw", "r", df, "replace")
     assert lh.load("raw", "r", df, "replace").count() == 1
+
+
+def test_full_refresh_of_empty_result(spark):
+    lh = Lakehouse.scratch(spark)
+    lh.full_refresh("curated", "t", spark.range(3))
+    empty = spark.range(10).filter("id < 0")
+    assert lh.full_refresh("curated", "t", empty, checks=[lambda df: df.count()]).count() == 0
