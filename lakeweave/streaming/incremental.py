@@ -31,7 +31,14 @@ def incremental_partition_refresh(
     table: str,
     checkpoint: str,
     order_by: Sequence[str] = (),
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
+    """Run once over everything landed since the last run, then stop.
+
+    ``max_files_per_trigger`` bounds each micro-batch (a large backlog is processed in
+    several batches, each rebuilding only the partitions its files touch).
+    """
+
     def refresh(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
         # distinct partition values of this batch: bounded by the partition count
@@ -47,10 +54,11 @@ def incremental_partition_refresh(
         target = Lakehouse(session, lh.root, lh.namespace)
         target.insert_overwrite(layer, table, transform(whole), [partition_col], order_by)
 
+    reader = spark.readStream.schema(schema).option("basePath", raw_path)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     q = (
-        spark.readStream.schema(schema)
-        .option("basePath", raw_path)
-        .parquet(raw_path)
+        reader.parquet(raw_path)
         .writeStream.foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

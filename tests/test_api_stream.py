@@ -74,3 +74,17 @@ def test_completeness_without_declared_total_needs_trailing_empty_page(spark, tm
     got = {r.YEAR: (r.declared_pages, r.landed_pages, r.missing_pages, r.complete)
            for r in api_pages.completeness(spark, tmp_root).collect()}
     assert got == {2020: (3, 3, 0, True), 2021: (2, 2, 0, False), 2022: (3, 2, 1, False)}
+
+
+def test_stream_backlog_in_bounded_batches(spark, tmp_root):
+    rows = [(i, datetime(2024, 1, 1 + i % 3, 8), i, "view", float(i), "{}") for i in range(12)]
+    ev = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    raw, ckpt = f"{tmp_root}/raw", f"{tmp_root}/ckpt"
+    for k in range(3):  # three landings -> several files per day
+        E.land(ev.filter(F.col("event_id") % 3 == k), raw)
+    lh = Lakehouse.scratch(spark)
+    out = incremental_partition_refresh(
+        spark, lh, raw, E.RAW_EVENT_SCHEMA, "event_date", E.cleanse, "cleansed", "events", ckpt,
+        max_files_per_trigger=1,
+    )
+    assert sorted(r.event_id for r in out.collect()) == list(range(12))
