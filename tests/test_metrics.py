@@ -77,3 +77,12 @@ def test_describe_and_preview(svc):
     assert [c["name"] for c in d["cubes"]] == [c.name for c in CUBES]
     text = svc.preview({"measures": [f"{OBS}.count"], "dimensions": [f"{OBS}.measure"]})
     assert "Aggregate" in text
+
+
+def test_load_returns_rows_keyed_by_qualified_member(svc):
+    rows = svc.load(
+        {"measures": [f"{OBS}.count"], "dimensions": [f"{OBS}.country_id"],
+         "timeDimensions": [{"dimension": f"{OBS}.observation_date", "granularity": "year"}],
+         "order": {f"{OBS}.count": "desc"}, "limit": 5}
+    )
+    assert rows and set(rows[0]) == {f"{OBS}.count", f"{OBS}.country_id", f"{OBS}.observation_date.year"}
