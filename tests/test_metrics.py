@@ -86,3 +86,12 @@ def test_load_returns_rows_keyed_by_qualified_member(svc):
          "order": {f"{OBS}.count": "desc"}, "limit": 5}
     )
     assert rows and set(rows[0]) == {f"{OBS}.count", f"{OBS}.country_id", f"{OBS}.observation_date.year"}
+
+
+def test_describe_lists_qualified_members(svc):
+    cubes = {c["name"]: c for c in svc.describe()["cubes"]}
+    assert {"noaa_ghcn_stations", "noaa_ghcn_station_year", "noaa_ghcn_observations"} <= set(cubes)
+    names = {m["name"] for m in cubes["noaa_ghcn_stations"]["measures"]}
+    assert names == {"noaa_ghcn_stations.count"}
+    q = {"measures": [next(iter(names))]}
+    validate_query(MetricQuery.from_dict(q), SCHEMA)  # what describe lists is queryable
