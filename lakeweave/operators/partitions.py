@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeweave.specs import PartitionDef, SourceSpec, StaticPartition, TimePartition
+from lakeweave.specs import PartitionDef, StaticPartition, TimePartition
 
 # Strftime codes used in partition formats and their Spark patterns.
 _STRFTIME_TO_SPARK = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm"}
@@ -48,17 +48,19 @@ def multi_keys(time_key_frame: DataFrame, statics: Sequence[StaticPartition]) ->
     return out
 
 
-def resolve_partition_keys(spec: SourceSpec, partition_key: str | dict[str, str] | None) -> dict[str, str]:
-    """Partition values for one run. A partitioned table without a key is an error."""
+def resolve_partition_keys(spec, partition_key: str | dict[str, str] | None) -> dict[str, str]:
+    """Partition values for one run (file or API table spec). A partitioned table
+    without a key is an error."""
     if not spec.partitions:
         return {}
     if partition_key is None:
         raise ValueError(f"Table '{spec.name}' has partitions configured but no partition key was provided")
     if isinstance(partition_key, dict):
-        missing = [p for p in spec.partition_columns if p not in partition_key]
+        cols = [p.name for p in spec.partitions]
+        missing = [p for p in cols if p not in partition_key]
         if missing:
             raise ValueError(f"Table '{spec.name}': partition key lacks {missing}")
-        return {p: partition_key[p] for p in spec.partition_columns}
+        return {p: partition_key[p] for p in cols}
     return {spec.partitions[0].name: partition_key}
 
 

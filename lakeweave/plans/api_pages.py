@@ -56,17 +56,38 @@ def land_pages(records: DataFrame, path: str) -> None:
     pages.select("YEAR", "page", doc.alias("value")).write.mode("overwrite").partitionBy("YEAR", "page").text(path)
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Decode every landed page into one row per record, with the page's meta."""
+def jsonpath(selector: str) -> str:
+    """A spec selector (``[1]``, ``[0].pages``, ``data.items``) as a JSONPath."""
+    if selector.startswith("$"):
+        return selector
+    return "$" + (selector if selector.startswith("[") else "." + selector)
+
+
+def decode_pages(
+    spark: SparkSession,
+    path: str,
+    record_schema: str,
+    data_selector: str = "[1]",
+    total_path: str | None = "[0].pages",
+) -> DataFrame:
+    """One row per record of every landed page under ``path``, plus the partition and
+    page columns from the folder names and the declared total (NULL when the response
+    has none). Each page is one line, so files split and decode in parallel."""
     raw = spark.read.option("basePath", path).text(path)
+    keys = [c for c in raw.columns if c != "value"]
+    total = F.get_json_object("value", jsonpath(total_path)).cast("int") if total_path else F.lit(None).cast("int")
     decoded = raw.select(
-        "YEAR",
-        "page",
-        F.get_json_object("value", "$[0].pages").cast("int").alias("pages"),
-        F.from_json(F.get_json_object("value", "$[1]"), RECORD_SCHEMA).alias("records"),
+        *keys,
+        total.alias("pages"),
+        F.from_json(F.get_json_object("value", jsonpath(data_selector)), f"array<{record_schema}>").alias("records"),
     )
-    return decoded.select("YEAR", "page", "pages", F.explode("records").alias("r")).select(
-        "YEAR", "page", "pages", "r.id", "r.date", "r.value"
+    return decoded.select(*keys, "pages", F.explode("records").alias("r")).select(*keys, "pages", "r.*")
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Decode every landed page into one row per record, with the page's meta."""
+    return decode_pages(spark, path, RECORD_SCHEMA.removeprefix("array<").removesuffix(">")).select(
+        "YEAR", "page", "pages", "id", "date", "value"
     )
 
 

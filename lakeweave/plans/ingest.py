@@ -6,11 +6,13 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakeweave.operators.partitions import resolve_partition_keys
 from lakeweave.sinks.tables import Lakehouse
 from lakeweave.sources.files import read_source
-from lakeweave.specs import Source, SourceSpec
+from lakeweave.plans.api_pages import decode_pages
+from lakeweave.specs import ApiTableSpec, Source, SourceSpec
 
 
 def ingest_table(
@@ -43,3 +45,35 @@ def ingest_table(
     if params:
         return lh.replace_partition("raw", name, df, params)
     return lh.full_refresh("raw", name, df)
+
+
+def ingest_api_table(
+    lh: Lakehouse,
+    source: Source,
+    table: str,
+    landing_root: str,
+    record_schema: str,
+    partition_key: str | dict[str, str] | None = None,
+) -> DataFrame:
+    """Load the landed pages of one API table run into ``raw.<source>_<table>``.
+
+    Pages sit under ``landing_root/<source>/<table>[/K=v...]/page=<n>``; records are
+    selected with the table's ``data_selector``. The write disposition follows the
+    table: ``replace`` (full refresh) or ``append``, which stores a re-run twice.
+    """
+    spec = source.table(table)
+    if not isinstance(spec, ApiTableSpec):
+        raise TypeError(f"{table} is not an API table")
+    params = resolve_partition_keys(spec, partition_key)  # type: ignore[arg-type]
+    base = f"{landing_root.rstrip('/')}/{source.name}/{spec.name}"
+    run_path = base + ("/" + "/".join(f"{k}={v}" for k, v in params.items()) if params else "")
+    paging = spec.paging
+    pages = decode_pages(
+        lh.spark, run_path, record_schema,
+        paging.data_selector if paging and paging.data_selector else "[1]",
+        paging.total_path if paging else None,
+    )
+    records = pages.drop("page", "pages")
+    for k, v in params.items():
+        records = records.withColumn(k, F.lit(v))
+    return lh.load("raw", source.raw_table(spec.name), records, spec.write_disposition, list(params))
