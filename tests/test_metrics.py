@@ -95,3 +95,13 @@ def test_describe_lists_qualified_members(svc):
     assert names == {"noaa_ghcn_stations.count"}
     q = {"measures": [next(iter(names))]}
     validate_query(MetricQuery.from_dict(q), SCHEMA)  # what describe lists is queryable
+
+
+def test_cli_describe(capsys):
+    import json
+
+    from lakeweave.__main__ import main
+
+    assert main(["describe"]) == 0
+    out = json.loads(capsys.readouterr().out)
+    assert len(out["cubes"]) == 3
