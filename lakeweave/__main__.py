@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--tables", required=True)
     b.add_argument("--root", default=None)
     b.add_argument("--fail-on-checks", action="store_true")
+    b.add_argument("--fail-fast", action="store_true", help="check each model right after it is built")
     q = sub.add_parser("query", help="run a governed metric query (JSON)")
     q.add_argument("--tables", required=True)
     q.add_argument("query")
@@ -45,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
         from lakeweave.sinks.tables import Lakehouse
 
         lh = Lakehouse(spark, args.root) if args.root else Lakehouse(spark)
-        tables = build_all(lh, RawTables(spark, args.tables))
+        tables = build_all(lh, RawTables(spark, args.tables), DECLARED_CHECKS, fail_fast=args.fail_fast)
         results = run_suite(tables, DECLARED_CHECKS)
         for r in results.collect():
             print(f"{r.model:30s} {r.column_name:30s} {r.test:20s} {r.failures}")

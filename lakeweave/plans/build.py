@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from lakeweave.operators.quality import Check, assert_passing, run_suite
 from lakeweave.plans import bindings, cleansed, curated, reporting
 from lakeweave.plans.raw import RawTables
 from lakeweave.sinks.tables import Lakehouse
@@ -16,8 +17,29 @@ from lakeweave.sinks.tables import Lakehouse
 OBS_ORDER = ["observation_date", "station_id", "measure"]
 
 
-def build_all(lh: Lakehouse, raw: RawTables) -> dict[str, DataFrame]:
-    t: dict[str, DataFrame] = {}
+class _Tables(dict):
+    """Persisted tables by ``layer.name``; with ``fail_fast``, each model's declared
+    checks run as soon as it is stored and a failure stops everything downstream."""
+
+    def __init__(self, checks, fail_fast: bool):
+        super().__init__()
+        self.checks, self.fail_fast = checks or [], fail_fast
+
+    def __setitem__(self, key, df):
+        super().__setitem__(key, df)
+        if not self.fail_fast:
+            return
+        mine = [c for c in self.checks if c.model == key]
+        if mine:
+            assert_passing(run_suite(self, mine))
+
+
+def build_all(
+    lh: Lakehouse, raw: RawTables, checks: list[Check] | None = None, fail_fast: bool = False
+) -> dict[str, DataFrame]:
+    """Build every model in lineage order. With ``fail_fast`` the given checks run after
+    each model (as a build tool does) and the first failing model stops the build."""
+    t = _Tables(checks, fail_fast)
     fr = lh.full_refresh
     # raw
     t["raw.countries"] = fr("raw", "countries", raw.countries())
@@ -54,7 +76,7 @@ def build_all(lh: Lakehouse, raw: RawTables) -> dict[str, DataFrame]:
     t["reporting.station_coverage"] = fr(
         "reporting", "station_coverage", reporting.station_coverage(t["curated.stations"])
     )
-    return t
+    return dict(t)
 
 
 def bindings_inventory(raw: RawTables, raw_obs: DataFrame) -> DataFrame:

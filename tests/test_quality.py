@@ -34,3 +34,16 @@ def test_suite_and_verdict(spark):
 def test_unknown_test_rejected():
     with pytest.raises(ValueError):
         Q.Check("m", "accepted_values", ("c",))
+
+
+def test_build_fail_fast_stops_at_first_failing_model(spark):
+    from lakeweave.plans.build import build_all
+    from lakeweave.plans.checks import DECLARED_CHECKS
+    from lakeweave.plans.raw import RawTables
+    from lakeweave.sinks.tables import Lakehouse
+    from tests.conftest import SF_SMALL
+
+    lh = Lakehouse.scratch(spark)
+    with pytest.raises(AssertionError, match="cleansed.inventory.station_id relationships"):
+        build_all(lh, RawTables(spark, SF_SMALL), DECLARED_CHECKS, fail_fast=True)
+    assert lh.exists("cleansed", "inventory") and not lh.exists("curated", "stations")
