@@ -48,12 +48,13 @@ def write_arrow_files(df: DataFrame, path: str) -> None:
 
     def write_part(batches):
         import pyarrow as pa
-        import pyarrow.fs as pafs
         from pyspark import TaskContext
 
+        from lakeweave.sources.arrow import arrow_filesystem
+
         ctx = TaskContext.get()
         pid, attempt = ctx.partitionId(), ctx.attemptNumber()
-        fs, base = pafs.FileSystem.from_uri(target)
+        fs, base = arrow_filesystem(target)
         fs.create_dir(base, recursive=True)
         final = f"{base}/part-{pid:05d}.arrow"
         tmp = f"{base}/_tmp-{pid:05d}-{attempt}-{uuid.uuid4().hex[:8]}.arrow"

@@ -8,11 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def arrow_filesystem(uri: str):
+    """pyarrow filesystem + path for a Hadoop-style URI (``s3a://``/``s3n://`` are
+    pyarrow's ``s3://``; local paths and ``file:`` URIs pass through)."""
+    import pyarrow.fs as pafs
+
+    for hadoop_scheme in ("s3a://", "s3n://"):
+        if uri.startswith(hadoop_scheme):
+            uri = "s3://" + uri[len(hadoop_scheme):]
+    return pafs.FileSystem.from_uri(uri)
+
+
 def _open(path: str):
     import pyarrow as pa
-    import pyarrow.fs as pafs
 
-    fs, p = pafs.FileSystem.from_uri(path)
+    fs, p = arrow_filesystem(path)
     f = fs.open_input_file(p)
     try:
         return pa.ipc.open_file(f)
