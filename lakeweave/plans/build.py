@@ -58,7 +58,7 @@ def build_all(
         "cleansed", "observations", cleansed.observations(t["raw.observations"]), ["observation_year"], OBS_ORDER
     )
     for name in ("measurement_flags", "quality_flags", "source_flags"):
-        t[f"cleansed.{name}"] = lh.view("cleansed", name, cleansed.flags_view(t[f"raw.{name}"]))
+        t[f"cleansed.{name}"] = lh.view("cleansed", name, "raw", name)
     # curated
     t["curated.stations"] = fr(
         "curated", "stations", curated.stations(t["cleansed.stations"], t["cleansed.countries"], t["cleansed.states"])

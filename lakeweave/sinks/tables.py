@@ -223,11 +223,15 @@ class Lakehouse:
         raise ValueError(f"unknown write disposition {disposition!r}")
 
     # K10: view ------------------------------------------------------------------------
-    def view(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        """Session view over a lazy DataFrame (the seeds' passthrough models)."""
-        v = f"{self.database(layer)}__{name}"
-        df.createOrReplaceTempView(v)
-        return self.spark.table(v)
+    def view(self, layer: str, name: str, source_layer: str, source_table: str, columns: str = "*") -> DataFrame:
+        """Persistent catalog view over a persisted table (``SELECT <columns> FROM ...``).
+
+        Views bind late: a refresh of the source table shows through without touching
+        the view.
+        """
+        src = self.name(source_layer, source_table)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, name)} AS SELECT {columns} FROM {src}")
+        return self.table(layer, name)
 
     # K14: copy with data, skipped if the target exists ------------------------------
     def copy_table(self, src_layer: str, src: str, dst_layer: str, dst: str) -> DataFrame:

@@ -75,3 +75,13 @@ def test_full_refresh_of_empty_result(spark):
     lh.full_refresh("curated", "t", spark.range(3))
     empty = spark.range(10).filter("id < 0")
     assert lh.full_refresh("curated", "t", empty, checks=[lambda df: df.count()]).count() == 0
+
+
+def test_view_is_persistent_and_late_binding(spark):
+    lh = Lakehouse.scratch(spark)
+    lh.full_refresh("raw", "flags", spark.createDataFrame([("A", "x")], "id string, description string"))
+    v = lh.view("cleansed", "flags", "raw", "flags")
+    assert v.count() == 1
+    assert spark.catalog.tableExists(f"{lh.database('cleansed')}.flags")
+    lh.full_refresh("raw", "flags", spark.createDataFrame([("A", "x"), ("a", "y")], "id string, description string"))
+    assert lh.table("cleansed", "flags").count() == 2
