@@ -85,3 +85,14 @@ def test_view_is_persistent_and_late_binding(spark):
     assert spark.catalog.tableExists(f"{lh.database('cleansed')}.flags")
     lh.full_refresh("raw", "flags", spark.createDataFrame([("A", "x"), ("a", "y")], "id string, description string"))
     assert lh.table("cleansed", "flags").count() == 2
+
+
+def test_partitioned_full_refresh_replaces_all_partitions(spark):
+    lh = Lakehouse.scratch(spark)
+    a = spark.createDataFrame([(1, 2022), (2, 2023)], "id int, y int")
+    b = spark.createDataFrame([(3, 2023), (4, 2024)], "id int, y int")
+    lh.full_refresh("curated", "p", a, partition_by=["y"])
+    out = lh.full_refresh("curated", "p", b, partition_by=["y"])
+    assert sorted(tuple(r) for r in out.collect()) == [(3, 2023), (4, 2024)]
+    parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {lh.name('curated', 'p')}").collect())
+    assert parts == ["y=2023", "y=2024"]
