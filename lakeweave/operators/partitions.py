@@ -54,12 +54,12 @@ def resolve_partition_keys(spec, partition_key: str | dict[str, str] | None) ->
     if not spec.partitions:
         return {}
     if partition_key is None:
-        raise ValueError(f"Table '{spec.name}' has partitions configured but no partition key was provided")
+        raise ValueError(f"table {spec.name!r} is partitioned: a run needs a partition key")
     if isinstance(partition_key, dict):
         cols = [p.name for p in spec.partitions]
         missing = [p for p in cols if p not in partition_key]
         if missing:
-            raise ValueError(f"Table '{spec.name}': partition key lacks {missing}")
+            raise ValueError(f"table {spec.name!r}: the partition key lacks {missing}")
         return {p: partition_key[p] for p in cols}
     return {spec.partitions[0].name: partition_key}
 
