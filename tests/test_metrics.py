@@ -1,9 +1,9 @@
 import pytest
 
-from lakeweave.plans.metrics import CUBES, MetricQuery, MetricService, Schema, ValidationError, validate_query
+from lakeweave.plans.metrics import CUBES, MetricModel, MetricQuery, MetricService, ValidationError, validate_query
 
 OBS = "noaa_ghcn_observations"
-SCHEMA = Schema.of(CUBES)
+SCHEMA = MetricModel(CUBES)
 
 
 @pytest.fixture(scope="module")
