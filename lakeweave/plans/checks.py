@@ -18,6 +18,7 @@ def _rel(model: str, col: str, to_model: str, to_col: str) -> Check:
     return Check(model, "relationships", (col,), to_model, to_col)
 
 
+# The checks declared next to the models (model, column, test).
 DECLARED_CHECKS: list[Check] = [
     # cleansed
     *_nn("cleansed.countries", "id"), *_uq("cleansed.countries", "id"),
