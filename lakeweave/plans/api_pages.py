@@ -56,6 +56,12 @@ def land_pages(records: DataFrame, path: str) -> None:
     pages.select("YEAR", "page", doc.alias("value")).write.mode("overwrite").partitionBy("YEAR", "page").text(path)
 
 
+def _page_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per landed page file (a response may be pretty-printed over many lines;
+    a file is one page, so reading it whole is bounded by the page size)."""
+    return spark.read.option("basePath", path).text(path, wholetext=True)
+
+
 def jsonpath(selector: str) -> str:
     """A spec selector (``[1]``, ``[0].pages``, ``data.items``) as a JSONPath."""
     if selector.startswith("$"):
@@ -72,8 +78,8 @@ def decode_pages(
 ) -> DataFrame:
     """One row per record of every landed page under ``path``, plus the partition and
     page columns from the folder names and the declared total (NULL when the response
-    has none). Each page is one line, so files split and decode in parallel."""
-    raw = spark.read.option("basePath", path).text(path)
+    has none). Each page file is decoded by its own task."""
+    raw = _page_files(spark, path)
     keys = [c for c in raw.columns if c != "value"]
     total = F.get_json_object("value", jsonpath(total_path)).cast("int") if total_path else F.lit(None).cast("int")
     decoded = raw.select(
@@ -99,7 +105,7 @@ def completeness(spark: SparkSession, path: str, base_page: int = 1) -> DataFram
     one, paging stops at the first empty page: the expected pages are base..the last
     landed page, and the partition is complete only if that last page is empty.
     """
-    raw = spark.read.option("basePath", path).text(path)
+    raw = _page_files(spark, path)
     meta = raw.selectExpr(
         "YEAR",
         "page",

@@ -88,3 +88,13 @@ def test_stream_backlog_in_bounded_batches(spark, tmp_root):
         max_files_per_trigger=1,
     )
     assert sorted(r.event_id for r in out.collect()) == list(range(12))
+
+
+def test_pretty_printed_page(spark, tmp_root):
+    import json
+
+    doc = json.dumps([{"page": 1, "pages": 1}, [{"id": 7, "date": "2020", "value": 2.5}]], indent=2)
+    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.mode("overwrite").text(f"{tmp_root}/YEAR=2020/page=1")
+    rows = api_pages.read_pages(spark, tmp_root).collect()
+    assert [(r.YEAR, r.page, r.pages, r.id, r.value) for r in rows] == [(2020, 1, 1, 7, 2.5)]
+    assert api_pages.completeness(spark, tmp_root).first().complete
