@@ -119,7 +119,10 @@ def _regexp_frame(lines: DataFrame, spec: SourceSpec) -> DataFrame:
         guard = F.when(
             matched, F.col("value")
         ).otherwise(F.raise_error(F.concat(F.lit(f"Table '{spec.name}': line does not match regexp: "), F.col("value"))))
-    return lines.select(*[F.regexp_extract(guard, pattern, i + 1).alias(f"c{i + 1}") for i in range(n)])
+    # columns other than the line itself come from k=v folders and are kept
+    path_cols = [c for c in lines.columns if c != "value"]
+    groups = [F.regexp_extract(guard, pattern, i + 1).alias(f"c{i + 1}") for i in range(n)]
+    return lines.select(*groups, *path_cols)
 
 
 def _column(spec: SourceSpec, c: ColumnSpec, index: int) -> Column:
