@@ -33,6 +33,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **extra
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        # Throughput collector for the local driver JVM (which runs the tasks too):
+        # measured at sf0.1, the headline bench is ~30 % faster than with G1 and the
+        # write-heavy query no longer slows down when interleaved with others.
+        .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
     )
     for k, v in {**JOB_CONFS, **extra}.items():
         builder = builder.config(k, v)
