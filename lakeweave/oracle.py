@@ -2,13 +2,13 @@
 
 Written from the layer definitions, not from the Spark code: each text starts from
 the shared test tables (pre-registered views) and applies the binding rules, the
-layer logic and the output presentation (DOUBLE rounded to 6 places, DATE and
+layer logic and the output presentation (DOUBLE rounded to 9 then 6 places, DATE and
 TIMESTAMP as ISO text, DECIMAL as DOUBLE).
 """
 
 from __future__ import annotations
 
-R6 = "round({}, 6)"
+R6 = "round(round({}, 9), 6)"
 
 
 def _with(*ctes: str) -> str:
@@ -154,8 +154,8 @@ OBS_CHAIN = [RAW_OBS, C_OBS]
 SY_CHAIN = STATIONS_CHAIN + OBS_CHAIN + [CU_OBS, CU_SY]
 
 CU_STATIONS_OUT = """SELECT id, country_id, country_name, state_id, state_name,
-  round(CAST(latitude AS DOUBLE), 6) AS latitude, round(CAST(longitude AS DOUBLE), 6) AS longitude,
-  round(CAST(elevation AS DOUBLE), 6) AS elevation, name, gsn_flag, hcn_crn_flag, wmo_id FROM cu_stations"""
+  round(round(CAST(latitude AS DOUBLE), 9), 6) AS latitude, round(round(CAST(longitude AS DOUBLE), 9), 6) AS longitude,
+  round(round(CAST(elevation AS DOUBLE), 9), 6) AS elevation, name, gsn_flag, hcn_crn_flag, wmo_id FROM cu_stations"""
 
 
 def _ts(c: str) -> str:
@@ -167,7 +167,7 @@ def _d(c: str) -> str:
 
 
 def _r(c: str) -> str:
-    return f"round(CAST({c} AS DOUBLE), 6) AS {c}"
+    return f"round(round(CAST({c} AS DOUBLE), 9), 6) AS {c}"
 
 
 ORACLE: dict[str, str] = {}
@@ -224,15 +224,15 @@ SEEDS = """seeds AS (
 ORACLE["cleansed_flags"] = _with(SEEDS) + "SELECT flag_type, id, description FROM seeds"
 
 ORACLE["dash_country_tmax"] = _with(*SY_CHAIN, RP_COUNTRY_YEAR) + (
-    "SELECT country_name, round(avg(avg_tmax_celsius), 6) AS avg_tmax_celsius FROM rp_country_year "
+    "SELECT country_name, round(round(avg(avg_tmax_celsius), 9), 6) AS avg_tmax_celsius FROM rp_country_year "
     "GROUP BY country_name ORDER BY country_name LIMIT 10000"
 )
 ORACLE["dash_top_precip"] = _with(*SY_CHAIN, RP_COUNTRY_YEAR) + (
-    "SELECT country_name, round(avg(avg_yearly_precip_mm), 6) AS avg_yearly_precip_mm FROM rp_country_year "
+    "SELECT country_name, round(round(avg(avg_yearly_precip_mm), 9), 6) AS avg_yearly_precip_mm FROM rp_country_year "
     "GROUP BY country_name ORDER BY avg(avg_yearly_precip_mm) DESC NULLS LAST, country_name LIMIT 1000"
 )
 ORACLE["dash_snowiest"] = _with(*SY_CHAIN, RP_SNOW_COLD) + (
-    "SELECT country_name, round(avg(avg_yearly_snowfall_mm), 6) AS avg_yearly_snowfall_mm FROM rp_snow_cold "
+    "SELECT country_name, round(round(avg(avg_yearly_snowfall_mm), 9), 6) AS avg_yearly_snowfall_mm FROM rp_snow_cold "
     "GROUP BY country_name ORDER BY avg(avg_yearly_snowfall_mm) DESC NULLS LAST, country_name LIMIT 1000"
 )
 ORACLE["dash_coverage"] = _with(*STATIONS_CHAIN, RP_COVERAGE) + (
@@ -240,15 +240,15 @@ ORACLE["dash_coverage"] = _with(*STATIONS_CHAIN, RP_COVERAGE) + (
     "GROUP BY country_name ORDER BY sum(station_count) DESC NULLS LAST, country_name LIMIT 1000"
 )
 ORACLE["dash_trend"] = _with(*SY_CHAIN, RP_GLOBAL_YEAR) + (
-    "SELECT observation_year, round(avg(avg_tmax_celsius), 6) AS avg_tmax_celsius, "
-    "round(avg(avg_tmin_celsius), 6) AS avg_tmin_celsius FROM rp_global_year "
+    "SELECT observation_year, round(round(avg(avg_tmax_celsius), 9), 6) AS avg_tmax_celsius, "
+    "round(round(avg(avg_tmin_celsius), 9), 6) AS avg_tmin_celsius FROM rp_global_year "
     "GROUP BY observation_year ORDER BY observation_year LIMIT 10000"
 )
 ORACLE["dash_kpis"] = _with(*SY_CHAIN, RP_GLOBAL_YEAR, RP_COVERAGE) + (
     "SELECT (SELECT CAST(count(*) AS BIGINT) FROM rp_coverage) AS countries_covered, "
     "(SELECT CAST(sum(station_count) AS BIGINT) FROM rp_coverage) AS weather_stations, "
     "(SELECT CAST(sum(observation_count) AS BIGINT) FROM rp_global_year) AS observations, "
-    "(SELECT round(avg(avg_tmax_celsius), 6) FROM rp_global_year) AS global_avg_max_temp"
+    "(SELECT round(round(avg(avg_tmax_celsius), 9), 6) FROM rp_global_year) AS global_avg_max_temp"
 )
 
 
@@ -284,11 +284,11 @@ API_RECORDS = """api_rec AS (
   JOIN (SELECT CAST(year(o_orderdate) AS INTEGER) AS "YEAR", CAST(max(floor(o_orderkey / 1000) + 1) AS INTEGER) AS pages
         FROM orders GROUP BY 1) p ON r."YEAR" = p."YEAR")"""
 ORACLE["sink_append"] = _with(API_RECORDS) + (
-    'SELECT id, date, round(value, 6) AS value, "YEAR" FROM api_rec UNION ALL '
-    'SELECT id, date, round(value, 6) AS value, "YEAR" FROM api_rec'
+    'SELECT id, date, round(round(value, 9), 6) AS value, "YEAR" FROM api_rec UNION ALL '
+    'SELECT id, date, round(round(value, 9), 6) AS value, "YEAR" FROM api_rec'
 )
-ORACLE["sink_replace"] = _with(API_RECORDS) + 'SELECT id, date, round(value, 6) AS value, "YEAR" FROM api_rec'
-ORACLE["src_api_pages"] = _with(API_RECORDS) + 'SELECT "YEAR", page, pages, id, date, round(value, 6) AS value FROM api_rec'
+ORACLE["sink_replace"] = _with(API_RECORDS) + 'SELECT id, date, round(round(value, 9), 6) AS value, "YEAR" FROM api_rec'
+ORACLE["src_api_pages"] = _with(API_RECORDS) + 'SELECT "YEAR", page, pages, id, date, round(round(value, 9), 6) AS value FROM api_rec'
 ORACLE["src_api_completeness"] = _with(API_RECORDS) + (
     'SELECT "YEAR", max(pages) AS declared_pages, count(DISTINCT page) AS landed_pages, '
     'CAST(max(pages) - count(DISTINCT page) AS BIGINT) AS missing_pages, '
@@ -441,5 +441,5 @@ ORACLE["sem_order_limit"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
 # ---- incremental stream ----------------------------------------------------------------
 ORACLE["stream_incremental_cleanse"] = (
     "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, trim(event_type) AS event_type, "
-    "round(value, 6) AS value, props, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS event_date FROM events"
+    "round(round(value, 9), 6) AS value, props, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS event_date FROM events"
 )

@@ -1,7 +1,7 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per key.
 
 Outputs pass through ``present``: DECIMAL as DOUBLE, DATE/TIMESTAMP as ISO text and
-DOUBLE rounded to 6 places. Row order and last-bit float differences between
+DOUBLE rounded to 9 then 6 places. Row order and last-bit float differences between
 partitionings (and between engines) then do not change the checked values; the
 library functions themselves keep the native types.
 """
@@ -33,10 +33,10 @@ def present(df: DataFrame, decimals: int = 6) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         t = f.dataType
-        if isinstance(t, T.DecimalType):
-            c = F.round(c.cast("double"), decimals)
-        elif isinstance(t, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), decimals)
+        if isinstance(t, (T.DecimalType, T.DoubleType, T.FloatType)):
+            # two steps: the first absorbs last-bit differences of summation order, so a
+            # value on a rounding tie rounds the same way in every engine and run
+            c = F.round(F.round(c.cast("double"), decimals + 3), decimals)
         elif isinstance(t, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
