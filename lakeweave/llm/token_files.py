@@ -182,10 +182,19 @@ class Encoder:
         known = self.known
         if len(known) >= CACHE:
             known.clear()
-        new = {w for words in split if words for w in words if w not in known}
+        found = [words and list(map(known.get, words)) for words in split]
+        new = {w for words, got in zip(split, found) if got and None in got for w, g in zip(words, got) if g is None}
         if new:
             self._learn(list(new))
-        return [b"".join([known[w] for w in words]) if words is not None else self._whole(t) for t, words in zip(texts, split)]
+        out = []
+        for text, words, got in zip(texts, split, found):
+            if words is None:
+                out.append(self._whole(text))
+            elif got and None in got:
+                out.append(b"".join([known[w] if g is None else g for w, g in zip(words, got)]))
+            else:
+                out.append(b"".join(got))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -253,43 +262,50 @@ def write_token_files(
         if ends:
             yield close()
 
-    spec = "part int, seq long, n long, doc_ids array<long>, ends array<long>, codes binary"
-    ordered.mapInArrow(shards, spec).write.parquet(path)
+    ordered.mapInArrow(shards, _SHARD).write.parquet(path)
     return path
 
 
-def shards(spark: SparkSession, path: str) -> DataFrame:
-    """Shards with ``base``, the number of ids in all shards before them."""
-    spec = "part int, seq long, n long, doc_ids array<long>, ends array<long>, codes binary"
-    files = spark.read.schema(spec).parquet(path)
-    sizes = files.select("part", "seq", "n")
+_SHARD = "part int, seq long, n long, doc_ids array<long>, ends array<long>, codes binary"
+
+
+def shard_bases(spark: SparkSession, path: str) -> DataFrame:
+    """(part, seq, n, base): ``base`` is the number of ids in all shards before this one."""
+    sizes = spark.read.schema(_SHARD).parquet(path).select("part", "seq", "n")
     parts = partition_offsets(sizes.groupBy(F.col("part").alias("_part")).agg(F.sum("n").alias("total")), "total")
     inside = F.expr("sum(n) OVER (PARTITION BY part ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
     bases = sizes.withColumn("inside", F.coalesce(inside, F.lit(0))).join(parts, F.col("part") == F.col("_part"))
-    return files.join(bases.select("part", "seq", (F.col("base") + F.col("inside")).alias("base")), ["part", "seq"])
+    return bases.select("part", "seq", "n", (F.col("base") + F.col("inside")).alias("base"))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Per document, from the files: doc_id, start, n_tokens, ids_crc32."""
+    """Per document, from the files: doc_id, start, n_tokens, ids_crc32.
+
+    Shards are decoded where they are read; only the documents' rows meet the shard bases.
+    """
 
     def read(batches):
         for batch in batches:
-            for base, doc_ids, ends, data in zip(*(batch.column(c) for c in ("base", "doc_ids", "ends", "codes"))):
+            for part, seq, doc_ids, ends, data in zip(*(batch.column(c) for c in ("part", "seq", "doc_ids", "ends", "codes"))):
                 codes, bounds = Codes(data.as_buffer().to_pybytes()), np.r_[0, np.array(ends.as_py(), np.int64)]
                 ids = codes.slice(0, int(bounds[-1])).astype("<u4", copy=False)
                 crc = [zlib.crc32(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array([part.as_py()] * len(crc), pa.int32()),
+                        pa.array([seq.as_py()] * len(crc), pa.int64()),
                         pa.array(doc_ids.as_py(), pa.int64()),
-                        pa.array(bounds[:-1] + base.as_py()),
+                        pa.array(bounds[:-1]),
                         pa.array(np.diff(bounds)),
                         pa.array(crc, pa.int64()),
                     ],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"],
+                    ["part", "seq", "doc_id", "inside", "n_tokens", "ids_crc32"],
                 )
 
-    rows = shards(spark, path).select("base", "doc_ids", "ends", "codes")
-    return rows.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    files = spark.read.schema(_SHARD).parquet(path).select("part", "seq", "doc_ids", "ends", "codes")
+    rows = files.mapInArrow(read, "part int, seq long, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    placed = rows.join(shard_bases(spark, path).drop("n"), ["part", "seq"])
+    return placed.select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def tokens_at(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
@@ -299,7 +315,7 @@ def tokens_at(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     ``SHARD_IDS`` ids, an equi-join; a shard spans a few blocks.
     """
     block = f"cast(floor(position / {SHARD_IDS}) AS long)"
-    spans = shards(spark, path).withColumn(
+    spans = shard_bases(spark, path).withColumn(
         "block", F.explode(F.expr(f"sequence(cast(floor(base / {SHARD_IDS}) AS long), cast(floor((base + n - 1) / {SHARD_IDS}) AS long))"))
     )
     asked = wanted.select("position", F.expr(block).alias("block")).groupBy("block").agg(F.collect_set("position").alias("positions"))
@@ -314,4 +330,6 @@ def tokens_at(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
                     [pa.array(at + base.as_py()), pa.array(codes.get(at).astype(np.int64))], ["position", "id"]
                 )
 
-    return spans.join(asked, "block").select("base", "codes", "positions").mapInArrow(read, "position long, id long")
+    files = spark.read.schema(_SHARD).parquet(path).select("part", "seq", "codes")
+    wanted = spans.join(asked, "block").select("part", "seq", "base", "positions")
+    return files.join(wanted, ["part", "seq"]).select("base", "codes", "positions").mapInArrow(read, "position long, id long")
