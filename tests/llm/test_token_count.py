@@ -1,3 +1,5 @@
+import functools
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,6 +18,11 @@ def library(vocabulary, byte_fallback):
     return t
 
 
+@functools.cache
+def _pair():
+    return token_count.UnigramCounter(VOCABULARY), library(VOCABULARY, True)
+
+
 VOCABULARY = token_count.read_vocabulary(UNIGRAM_VOCABULARY)
 
 
@@ -40,8 +47,7 @@ def test_ties_and_unknown_runs(fallback, text):
 @settings(max_examples=200, deadline=None)
 @given(text=st.text(max_size=40))
 def test_any_text_with_byte_fallback(text):
-    counter = test_any_text_with_byte_fallback.__dict__.setdefault("counter", token_count.UnigramCounter(VOCABULARY))
-    reference = test_any_text_with_byte_fallback.__dict__.setdefault("library", library(VOCABULARY, True))
+    counter, reference = _pair()
     assert counter.text(text) == len(reference.encode(text).ids)
 
 

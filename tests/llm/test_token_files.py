@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -10,11 +11,20 @@ from lakeweave.llm.queries import END_ID, TOKENIZER, op6_token_files
 from .conftest import SF
 
 
-def library(text):
+@functools.cache
+def _library():
     from tokenizers import Tokenizer
 
-    cached = library.__dict__.setdefault("t", Tokenizer.from_file(TOKENIZER))
-    return cached.encode(text, add_special_tokens=False).ids
+    return Tokenizer.from_file(TOKENIZER)
+
+
+@functools.cache
+def _encoder():
+    return tf.Encoder(TOKENIZER)
+
+
+def library(text):
+    return _library().encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=150, deadline=None)
@@ -41,8 +51,7 @@ def test_large_shard_access():
 @settings(max_examples=400, deadline=None)
 @given(text=st.one_of(st.text(max_size=60), st.text(alphabet=" \n\t\u0085 ab'sÉ²½x!?_-0\x1c\x0b", max_size=60)))
 def test_words_encode_as_the_whole_text(text):
-    encoder = test_words_encode_as_the_whole_text.__dict__.setdefault("e", tf.Encoder(TOKENIZER))
-    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library(text)
+    assert np.frombuffer(_encoder().encode([text])[0], "<u4").tolist() == library(text)
 
 
 def test_every_short_character_and_added_token():
