@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import save
+
 FEATURES = (
     "words",
     "word_length",
@@ -197,8 +199,6 @@ def _scorer(model: QuadraticDiscriminant):
 
 def classify(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, predicted) per row; labels are learned only from rows where ``learn`` (on the id) holds."""
-    from .common import save
-
     stats = save(docs.select(F.col(id_col).alias("id"), document_statistics(F.col(text_col)).alias("x")), "quality")
     model = fit(_labelled(stats.withColumnRenamed("id", id_col).where(learn).withColumnRenamed(id_col, "id"), labels))
     scored = stats.select(F.col("id").alias("doc_id"), _scorer(model)("x").alias("score"))
@@ -206,8 +206,10 @@ def classify(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "d
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` with a score of at least 0.5, learned from all labels; columns are unchanged."""
-    known = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("id")).distinct()
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(known, "id", "left_semi")
-    model = fit(_labelled(own.select("id", document_statistics(F.col("text")).alias("x")), labels))
-    return docs.where(_scorer(model)(document_statistics(F.col(text_col))) >= 0.5)
+    """Rows of ``docs`` with a score of at least 0.5, learned from all labels; columns are unchanged.
+
+    Rows and statistics are written once, so the texts are neither read twice nor shuffled.
+    """
+    stats = save(docs.select(F.struct("*").alias("doc"), document_statistics(F.col(text_col)).alias("x")), "quality")
+    model = fit(_labelled(stats.select(F.col(f"doc.{id_col}").alias("id"), "x"), labels))
+    return stats.where(_scorer(model)("x") >= 0.5).select("doc.*")
