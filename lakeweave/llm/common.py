@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -27,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def release() -> None:
+    """Give a worker's free memory back, so that what one stage used doesn't add to the next one's."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def per_text(fn: Callable[[bytes], object], out: pa.DataType) -> Callable[[Column], Column]:
     """A column function from text to one value per row; ``fn`` gets UTF-8 bytes, null as empty.
 
@@ -36,7 +44,9 @@ def per_text(fn: Callable[[bytes], object], out: pa.DataType) -> Callable[[Colum
 
     @F.arrow_udf(returnType=spark_type)
     def run(column: pa.Array) -> pa.Array:
-        return pa.array([fn(x.as_buffer().to_pybytes() if x.is_valid else b"") for x in column], out)
+        values = pa.array([fn(x.as_buffer().to_pybytes() if x.is_valid else b"") for x in column], out)
+        release()
+        return values
 
     return lambda text: run(text.cast("binary"))
 
@@ -44,7 +54,9 @@ def per_text(fn: Callable[[bytes], object], out: pa.DataType) -> Callable[[Colum
 @F.arrow_udf(returnType=T.LongType())
 def _words(column: pa.Array) -> pa.Array:
     # bytes.split() cuts at exactly the characters \x20 and \x09-\x0D
-    return pa.array([len(x.as_py().split()) if x.is_valid else 0 for x in column], pa.int64())
+    counts = pa.array([len(x.as_py().split()) if x.is_valid else 0 for x in column], pa.int64())
+    release()
+    return counts
 
 
 def word_count(text: Column) -> Column:

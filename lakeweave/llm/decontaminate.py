@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import release
+
 # Places of the five tokens that each mask keeps.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 3, 6, 7))
 MIN_TOKENS = 10
@@ -161,7 +163,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 def _leaks(block) -> Column:
     @F.arrow_udf("boolean")
     def leaks(column: pa.Array) -> pa.Array:
-        return pa.array([bool(block.value.overlaps(_decode(x))) for x in column], pa.bool_())
+        found = pa.array([bool(block.value.overlaps(_decode(x))) for x in column], pa.bool_())
+        release()
+        return found
 
     return leaks
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import save
+from .common import release, save
 
 FEATURES = (
     "words",
@@ -122,6 +122,7 @@ def statistics(text: bytes) -> list[float]:
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def _statistics(column: pa.Array) -> pa.Array:
     rows = [statistics(bytes(x.as_buffer()) if x.is_valid else b"") for x in column]
+    release()
     return pa.array(rows, pa.list_(pa.float64()))
 
 

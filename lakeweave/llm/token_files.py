@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 
 from lakeweave.session import fresh_dir
 
-from .common import in_range_order, partition_offsets
+from .common import in_range_order, partition_offsets, release
 
 WIDTHS = (8, 8, 16)  # bits a level; whole bytes, 32 together
 SHARD_IDS = 1 << 20
-CACHE = 500_000
+CACHE = 200_000  # words in each of the two generations of a worker's cache
 _MAGIC = b"DAC1"
 _BLOCK = 512
 
@@ -160,6 +160,7 @@ class Encoder:
         )
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -179,13 +180,15 @@ class Encoder:
             _SPLIT.findall(t) if self.by_word and (t.isascii() or not _BEYOND.search(t)) and not any(a in t for a in self.added) else None
             for t in texts
         ]
-        known = self.known
-        if len(known) >= CACHE:
-            known.clear()
+        if len(self.known) >= CACHE:  # words still in use move to the new generation when they are met
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         found = [words and list(map(known.get, words)) for words in split]
         new = {w for words, got in zip(split, found) if got and None in got for w, g in zip(words, got) if g is None}
+        known.update({w: older[w] for w in new if w in older})
+        new = [w for w in new if w not in known]
         if new:
-            self._learn(list(new))
+            self._learn(new)
         out = []
         for text, words, got in zip(texts, split, found):
             if words is None:
@@ -261,6 +264,7 @@ def write_token_files(
                         doc_ids, ends, held, seq = [], [], [], seq + 1
         if ends:
             yield close()
+        release()
 
     ordered.mapInArrow(shards, _SHARD).write.parquet(path)
     return path
