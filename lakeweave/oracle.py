@@ -36,8 +36,7 @@ RAW_STATIONS = """station_lines AS (
     CASE WHEN c.c_custkey % 10 = 0 THEN 'GSN' ELSE '   ' END,
     CASE WHEN c.c_custkey % 15 = 0 THEN 'HCN' ELSE '   ' END,
     lpad(CAST(c.c_custkey % 100000 AS VARCHAR), 5, '0')) AS line
-  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE c.c_custkey % 50 <> 49),
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
 raw_stations AS (
   SELECT substring(line, 1, 11) AS station_id, substring(line, 13, 8) AS latitude,
          substring(line, 22, 9) AS longitude, substring(line, 32, 6) AS elevation,
@@ -159,7 +158,7 @@ CU_STATIONS_OUT = """SELECT id, country_id, country_name, state_id, state_name,
 
 
 def _ts(c: str) -> str:
-    return f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}"
+    return f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f') AS {c}"
 
 
 def _d(c: str) -> str:
@@ -256,7 +255,7 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
 
 # ---- sources ----------------------------------------------------------------------
-RUN_TS_SQL = "'2024-01-01 00:00:00' AS ingested_at"
+RUN_TS_SQL = "'2024-01-01 00:00:00.000000' AS ingested_at"
 RAW_OBS_COLS = '"ID", "DATE", "DATA_VALUE", "M_FLAG", "Q_FLAG", "S_FLAG", "OBS_TIME", "ELEMENT", "YEAR"'
 
 ORACLE["src_parquet_hive"] = _with(RAW_OBS) + f"SELECT {RAW_OBS_COLS} FROM raw_obs"
@@ -356,6 +355,7 @@ ORACLE["dq_relationships"] = _with(RAW_COUNTRIES, C_COUNTRIES, RAW_STATIONS, C_S
             f"SELECT 'cleansed.inventory', 'station_id', 'cleansed.stations', {_orphans('c_inventory', 'station_id', 'c_stations', 'id')}",
             f"SELECT 'cleansed.stations', 'country_id', 'cleansed.countries', {_orphans('c_stations', 'country_id', 'c_countries', 'id')}",
             f"SELECT 'lineitem', 'l_orderkey', 'orders', {_orphans('lineitem', 'l_orderkey', 'orders', 'o_orderkey')}",
+            f"SELECT 'documents', 'doc_id', 'labels', {_orphans('documents', 'doc_id', 'labels', 'doc_id')}",
         ]
     )
 )
@@ -430,7 +430,7 @@ ORACLE["sem_filter_measure"] = _with(*SY_CHAIN) + (
     'FROM cu_sy GROUP BY country_name) WHERE "count" > 300'
 )
 ORACLE["sem_time_dimension"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
-    "SELECT measure, strftime(CAST(date_trunc('year', observation_date) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') "
+    "SELECT measure, strftime(CAST(date_trunc('year', observation_date) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f') "
     'AS observation_date_year, count(*) AS "count" FROM cu_obs GROUP BY 1, 2'
 )
 ORACLE["sem_order_limit"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
@@ -440,6 +440,6 @@ ORACLE["sem_order_limit"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
 
 # ---- incremental stream ----------------------------------------------------------------
 ORACLE["stream_incremental_cleanse"] = (
-    "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, trim(event_type) AS event_type, "
+    "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, trim(event_type) AS event_type, "
     "round(round(value, 9), 6) AS value, props, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS event_date FROM events"
 )

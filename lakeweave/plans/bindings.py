@@ -8,10 +8,7 @@ feed the layer jobs directly or are landed as files by the source tests.
 Binding rules:
   countries    nation: code = 2-digit nation key, name = n_name
   states       region: code = 2-digit region key, name = r_name
-  stations     customer x nation; customers with c_custkey % 50 = 49 are left out of
-               the station list so that their observations are orphans (the
-               unmatched-join and relationships paths need them). Every observation
-               row is still kept.
+  stations     customer x nation, every customer
   observations lineitem x orders x customer, one reading per line item
   inventory    observations grouped by station and element
 """
@@ -59,8 +56,10 @@ def _code2(col: str) -> str:
 
 
 def station_id_sql(nationkey: str, custkey: str) -> str:
-    """11 chars: 2-char country code + 9-digit station number."""
-    return f"concat({_code2(nationkey)}, lpad(cast({custkey} as string), 9, '0'))"
+    """11 chars: 2-char country code + 9-digit station number; a number that doesn't fit the layout raises."""
+    number = f"lpad(cast({custkey} as string), 9, '0')"
+    wide = f"raise_error(concat('station number does not fit nine digits: ', {custkey}))"
+    return f"concat({_code2(nationkey)}, if({custkey} between 0 and 999999999, {number}, {wide}))"
 
 
 def _fixed(value: str, width: int) -> str:
@@ -101,8 +100,7 @@ def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lpad(cast(c_custkey % 100000 as string), 5, '0')",
     ]
     return (
-        c.filter("c_custkey % 50 != 49")
-        .join(n, c["c_nationkey"] == n["n_nationkey"], "left")
+        c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
         .selectExpr(f"concat_ws(' ', {', '.join(fields)}) AS line")
     )
 

@@ -42,14 +42,15 @@ def dq_unique(spark, d):
 
 @register("dq_relationships")
 def dq_relationships(spark, d):
-    """Orphan child rows: bound observations and inventory vs stations (orphans from the
-    left-out stations), stations vs countries and line items vs orders (clean)."""
+    """Orphan child rows: documents without a label, and the clean pairs observations and
+    inventory vs stations, stations vs countries, line items vs orders."""
     p = LayerChain(spark, d)
     cases = [
         ("cleansed.observations", "station_id", "cleansed.stations", p.observations, p.stations, "id"),
         ("cleansed.inventory", "station_id", "cleansed.stations", p.inventory, p.stations, "id"),
         ("cleansed.stations", "country_id", "cleansed.countries", p.stations, p.countries, "id"),
         ("lineitem", "l_orderkey", "orders", bindings.table(spark, d, "lineitem"), bindings.table(spark, d, "orders"), "o_orderkey"),
+        ("documents", "doc_id", "labels", bindings.table(spark, d, "documents"), bindings.table(spark, d, "labels"), "doc_id"),
     ]
     out = None
     for model, col, parent, child_df, parent_df, pcol in cases:

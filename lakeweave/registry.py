@@ -1,7 +1,7 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per key.
 
-Outputs pass through ``present``: DECIMAL as DOUBLE, DATE/TIMESTAMP as ISO text and
-DOUBLE rounded to 9 then 6 places. Row order and last-bit float differences between
+Outputs pass through ``present``: DECIMAL as DOUBLE, DATE as ISO text, TIMESTAMP as
+ISO text with microseconds and DOUBLE rounded to 9 then 6 places. Row order and last-bit float differences between
 partitionings (and between engines) then do not change the checked values; the
 library functions themselves keep the native types.
 """
@@ -40,7 +40,7 @@ def present(df: DataFrame, decimals: int = 6) -> DataFrame:
         elif isinstance(t, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 

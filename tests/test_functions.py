@@ -45,3 +45,14 @@ def test_normalized_value(spark):
     got = [r.x for r in df.select(normalized_value(F.col("m"), F.col("v")).alias("x")).collect()]
     assert got == [21.5, 0.7, 30.0, -0.5]
     assert dict(df.select(normalized_value(F.col("m"), F.col("v")).alias("x")).dtypes)["x"] == "double"
+
+
+def test_station_number_beyond_the_layout_raises(spark):
+    import pytest
+
+    from lakeweave.plans.bindings import station_id_sql
+
+    rows = spark.createDataFrame([(7, 999_999_999)], "n int, c long")
+    assert rows.selectExpr(station_id_sql("n", "c")).first()[0] == "07999999999"
+    with pytest.raises(Exception, match="nine digits"):
+        rows.selectExpr("n", "c + 1 AS c").selectExpr(station_id_sql("n", "c")).collect()

@@ -105,3 +105,28 @@ def test_cli_describe(capsys):
     assert main(["describe"]) == 0
     out = json.loads(capsys.readouterr().out)
     assert len(out["cubes"]) == 3
+
+
+def test_date_range_without_granularity_and_whole_days(svc):
+    q = {"measures": [f"{OBS}.count"], "timeDimensions": [{"dimension": f"{OBS}.observation_date", "dateRange": ["2024-01-01", "2024-03-01"]}]}
+    assert svc.query(q).first()[0] == 2
+    q["timeDimensions"][0]["dateRange"] = "2025-02-01"
+    assert svc.query(q).first()[0] == 1
+
+
+def test_filter_on_a_measure_that_is_not_selected(svc):
+    out = svc.query(
+        {"measures": [f"{OBS}.count"], "dimensions": [f"{OBS}.country_id"],
+         "filters": [{"member": f"{OBS}.observation_value", "operator": "gt", "values": [10]}]}
+    )
+    assert out.columns == ["country_id", "count"] and [tuple(r) for r in out.collect()] == [("01", 2)]
+
+
+def test_order_by_time_dimension_and_within_one_cube(svc):
+    period = {"dimension": f"{OBS}.observation_date", "granularity": "year"}
+    out = svc.query({"measures": [f"{OBS}.count"], "timeDimensions": [period], "order": {f"{OBS}.observation_date": "desc"}})
+    assert [r["count"] for r in out.collect()] == [1, 2]
+    with pytest.raises(ValidationError, match="one cube"):
+        svc.query({"measures": [f"{OBS}.count"], "order": {"noaa_ghcn_stations.count": "desc"}})
+    with pytest.raises(ValidationError, match="does not select"):
+        svc.query({"measures": [f"{OBS}.count"], "order": {f"{OBS}.country_id": "desc"}})
