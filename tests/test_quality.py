@@ -43,7 +43,13 @@ def test_build_fail_fast_stops_at_first_failing_model(spark):
     from lakeweave.sinks.tables import Lakehouse
     from tests.conftest import SF_SMALL
 
+    class ShortList(RawTables):
+        """A station list that lacks stations with readings."""
+
+        def stations(self):
+            return super().stations().filter("station_id NOT LIKE '%7'")
+
     lh = Lakehouse.scratch(spark)
     with pytest.raises(AssertionError, match="cleansed.inventory.station_id relationships"):
-        build_all(lh, RawTables(spark, SF_SMALL), DECLARED_CHECKS, fail_fast=True)
+        build_all(lh, ShortList(spark, SF_SMALL), DECLARED_CHECKS, fail_fast=True)
     assert lh.exists("cleansed", "inventory") and not lh.exists("curated", "stations")
