@@ -107,10 +107,10 @@ def write_archive(pages: DataFrame, path: str | None = None, min_revisit: int =
     firsts = rows.groupBy(*key).agg(F.min("page_id").alias("smallest"))
     revisits = F.expr(f"size >= {min_revisit} AND smallest IS NOT NULL AND NOT (page_id <=> smallest)")
     records = rows.join(firsts, key).withColumn("first", F.when(revisits, F.col("smallest")))
-    records.mapInArrow(_heads, "page_id long, sha256 binary, head binary").write.parquet(f"{path}/records")
+    records.mapInArrow(_heads, "page_id long, sha256 binary, head binary").write.option("compression", "zstd").parquet(f"{path}/records")
     stored = plain.select(F.coalesce("html", F.lit(b"")).alias("payload"))
     stored = stored.withColumn("sha256", F.unhex(F.sha2("payload", 256)))
-    stored.groupBy("sha256").agg(F.first("payload").alias("payload")).write.parquet(f"{path}/payloads")
+    stored.groupBy("sha256").agg(F.first("payload").alias("payload")).write.option("compression", "zstd").parquet(f"{path}/payloads")
     return path
 
 
