@@ -3,17 +3,21 @@
 A ``Lakehouse`` owns one root folder (by default under the shared folder named by
 ``spark.checkpoint.dir``) with one catalog database per layer. Tables are external
 Parquet tables whose data lives under that root, so every write is visible to all
-executors and survives the loss of any of them.
+executors and survives the loss of any of them. Readers name a view; the view shows one
+version, an external table with a name of its own.
 
 Load modes:
   full_refresh       stage into a new versioned folder, validate, then publish by
-                     pointing the table at it (catalog swap; readers see old or new)
+                     replacing the view (readers see old or new, never none); the
+                     schema follows the new rows
   replace_partition  write one partition tuple into a new folder, validate, then swap
                      the partition's location in the catalog: exactly that tuple is
                      replaced, an empty slice clears it, re-running is idempotent
   insert_overwrite   dynamic partition overwrite: only partitions present in the
                      incoming rows are replaced
   append             plain append (re-running duplicates rows)
+
+The last three raise if the rows' columns are not exactly the table's.
 """
 
 from __future__ import annotations
@@ -25,9 +29,11 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeweave.functions.paths import hive_path
 from lakeweave.session import shared_root
 
 LAYERS = ("temp", "raw", "cleansed", "curated", "reporting")
+VERSION = "lakeweave.version"  # property of a table's view: the version it shows
 
 Check = Callable[[DataFrame], None]
 
@@ -48,7 +54,7 @@ def session_conf(spark: SparkSession, key: str, value: str):
 def _lit_sql(v) -> str:
     if isinstance(v, (int, float)) and not isinstance(v, bool):
         return str(v)
-    return "'" + str(v).replace("'", "\\'") + "'"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 class Lakehouse:
@@ -86,16 +92,41 @@ class Lakehouse:
     def _new_location(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}/v-{uuid.uuid4().hex[:12]}"
 
-    # K2 / K6: create with the staging schema if missing ----------------------------
-    def ensure_table(self, layer: str, table: str, like: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """Create an empty external table with ``like``'s schema (DDL only, no job)."""
-        if self.exists(layer, table):
-            return
-        cols = [c for c in like.columns if c not in partition_by] + list(partition_by)
-        self._create_external(
-            self.name(layer, table), self._new_location(layer, table), like.select(*cols), partition_by, recover=False
+    def version(self, layer: str, table: str) -> str | None:
+        """Catalog name of the version that ``table`` shows now; None if there is none yet."""
+        if not self.exists(layer, table):
+            return None
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}").collect()
+        named = {r["key"]: r["value"] for r in found}
+        if VERSION not in named:
+            raise ValueError(f"{layer}.{table} is a view of another table and takes no rows")
+        return self.name(layer, named[VERSION])
+
+    def _publish(self, layer: str, table: str, loc: str, df: DataFrame, partition_by: Sequence[str], recover: bool = True) -> None:
+        """Register ``loc`` as a new version and point ``table`` at it in one catalog call."""
+        version = f"{table}__{uuid.uuid4().hex[:12]}"
+        self._create_external(self.name(layer, version), loc, df, partition_by, recover)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name(layer, table)} TBLPROPERTIES ('{VERSION}' = '{version}') "
+            f"AS SELECT * FROM {self.name(layer, version)}"
         )
 
+    # K2 / K6: create with the staging schema if missing ----------------------------
+    def ensure_table(self, layer: str, table: str, like: DataFrame, partition_by: Sequence[str] = ()) -> str:
+        """Name of the version to write into. A missing table is created empty with
+        ``like``'s schema (DDL only, no job); an existing one must have exactly its columns."""
+        version = self.version(layer, table)
+        if version is None:
+            cols = [c for c in like.columns if c not in partition_by] + list(partition_by)
+            self._publish(layer, table, self._new_location(layer, table), like.select(*cols), partition_by, recover=False)
+            return self.version(layer, table)
+        has, gets = ({c.lower(): c for c in columns} for columns in (self.spark.table(version).columns, like.columns))
+        if has.keys() != gets.keys():
+            extra = [gets[c] for c in gets.keys() - has.keys()]
+            missing = [has[c] for c in has.keys() - gets.keys()]
+            raise ValueError(f"{layer}.{table}: columns {sorted(extra)} are not in the table, {sorted(missing)} are not in the rows")
+        return version
+
     @staticmethod
     def _validate(staged: DataFrame, checks: Sequence[Check]) -> None:
         for check in checks:
@@ -107,10 +138,10 @@ class Lakehouse:
     ) -> DataFrame:
         """Build the new version in its own folder, validate it, then publish.
 
-        Unpartitioned: ``ALTER TABLE SET LOCATION`` swaps atomically in the catalog.
-        Partitioned: the table definition is re-created over the new folder and its
-        partitions recovered (metadata only). Old version folders are left in place
-        for readers that started before the swap.
+        The new version is a catalog table of its own, with ``df``'s columns and its
+        partitions recovered (metadata only); replacing the view that readers use is one
+        catalog call, so the table is never absent and its schema follows ``df``. Old
+        versions are left in place for readers that started before the swap; expire them by age.
         """
         cols = [c for c in df.columns if c not in partition_by] + list(partition_by)
         df = df.select(*cols)
@@ -121,16 +152,8 @@ class Lakehouse:
         w.parquet(loc)
         if checks:
             self._validate(self.spark.read.schema(df.schema).parquet(loc), checks)
-        name = self.name(layer, table)
-        if not self.exists(layer, table):
-            self._create_external(name, loc, df, partition_by)
-        elif partition_by:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self._create_external(name, loc, df, partition_by)
-        else:
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{loc}'")
-        self.spark.catalog.refreshTable(name.replace("`", ""))
-        return self.spark.table(name)
+        self._publish(layer, table, loc, df, partition_by)
+        return self.table(layer, table)
 
     def _create_external(
         self, name: str, loc: str, df: DataFrame, partition_by: Sequence[str], recover: bool = True
@@ -160,9 +183,8 @@ class Lakehouse:
         Superseded folders stay for readers that started before the swap.
         """
         keys = list(partition)
-        self.ensure_table(layer, table, df, keys)
-        name = self.name(layer, table)
-        target_cols = [c for c in self.table(layer, table).columns if c not in keys]
+        name = self.ensure_table(layer, table, df, keys)
+        target_cols = [c for c in self.spark.table(name).columns if c not in keys]
         outside = None
         for k, v in partition.items():
             cond = F.col(k).isNull() | (F.col(k) != F.lit(v))
@@ -171,8 +193,7 @@ class Lakehouse:
         # the guard rides on a written column, so it is evaluated by the write itself
         first, rest = target_cols[0], target_cols[1:]
         slice_df = df.select(F.when(outside, err).otherwise(F.col(first)).alias(first), *rest)
-        folder = "/".join(f"{k}={v}" for k, v in partition.items())
-        loc = f"{self.root}/{layer}/{table}/_partitions/{folder}/v-{uuid.uuid4().hex[:12]}"
+        loc = f"{hive_path(self.root, layer, table, '_partitions', keys=partition)}/v-{uuid.uuid4().hex[:12]}"
         slice_df.write.mode("overwrite").parquet(loc)
         if checks:
             staged = self.spark.read.schema(slice_df.schema).parquet(loc)
@@ -194,24 +215,28 @@ class Lakehouse:
     ) -> DataFrame:
         """Replace only the partitions present in ``df``; the first run creates the table.
 
-        Rows are sorted within each task by (partition, order_by) before the write, so
-        every file is clustered by the sort key and Parquet min/max statistics prune.
-        No repartition: a hot partition value is never funneled into a single task.
+        Rows are rebalanced by partition value, so the number of files follows the data's
+        size and not tasks x partitions; adaptive execution splits a hot value over several
+        tasks. Each task sorts by (partition, order_by), so every file is clustered by the
+        sort key and Parquet row-group statistics prune.
         """
-        self.ensure_table(layer, table, df, partition_by)
-        cols = self.table(layer, table).columns
-        out = df.select(*cols).sortWithinPartitions(*partition_by, *order_by)
+        name = self.ensure_table(layer, table, df, partition_by)
+        out = self._rebalanced(df.select(*self.spark.table(name).columns), partition_by)
         with session_conf(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            out.write.mode("overwrite").insertInto(self.name(layer, table).replace("`", ""))
-        self.spark.catalog.refreshTable(self.name(layer, table).replace("`", ""))
+            out.sortWithinPartitions(*partition_by, *order_by).write.mode("overwrite").insertInto(name.replace("`", ""))
+        self.spark.catalog.refreshTable(name.replace("`", ""))
         return self.table(layer, table)
 
+    @staticmethod
+    def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+        return df.hint("rebalance", *partition_by) if partition_by else df
+
     # K7 / K8 -------------------------------------------------------------------------
     def append(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        self.ensure_table(layer, table, df, partition_by)
-        cols = self.table(layer, table).columns
-        df.select(*cols).write.mode("append").insertInto(self.name(layer, table).replace("`", ""))
-        self.spark.catalog.refreshTable(self.name(layer, table).replace("`", ""))
+        name = self.ensure_table(layer, table, df, partition_by)
+        out = self._rebalanced(df.select(*self.spark.table(name).columns), partition_by)
+        out.write.mode("append").insertInto(name.replace("`", ""))
+        self.spark.catalog.refreshTable(name.replace("`", ""))
         return self.table(layer, table)
 
     def load(self, layer: str, table: str, df: DataFrame, disposition: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from lakeweave.sinks.tables import Lakehouse
@@ -94,5 +95,52 @@ def test_partitioned_full_refresh_replaces_all_partitions(spark):
     lh.full_refresh("curated", "p", a, partition_by=["y"])
     out = lh.full_refresh("curated", "p", b, partition_by=["y"])
     assert sorted(tuple(r) for r in out.collect()) == [(3, 2023), (4, 2024)]
-    parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {lh.name('curated', 'p')}").collect())
+    parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {lh.version('curated', 'p')}").collect())
     assert parts == ["y=2023", "y=2024"]
+
+
+@pytest.mark.parametrize("partition_by", [[], ["k"]])
+def test_full_refresh_adopts_the_new_schema_and_keeps_open_readers(spark, partition_by):
+    lh = Lakehouse.scratch(spark)
+    old = lh.full_refresh("curated", "s", spark.createDataFrame([(1, 2, "x")], "a int, b int, k string"), partition_by)
+    new = lh.full_refresh("curated", "s", spark.createDataFrame([(10, "30", "y")], "a int, c string, k string"), partition_by)
+    assert new.columns == ["a", "c", "k"] and _rows(new) == [(10, "30", "y")]
+    assert _rows(old) == [(1, 2, "x")]  # planned after the swap, still the version it was opened on
+
+
+def test_loads_into_a_table_reject_other_columns(spark):
+    lh = Lakehouse.scratch(spark)
+    base = spark.createDataFrame([(1, "x", 2023)], "id int, v string, y int")
+    lh.insert_overwrite("raw", "t", base, ["y"])
+    extra, short = base.withColumn("w", F.lit(1)), base.drop("v")
+    for df, column in ((extra, "w"), (short, "v")):
+        for load in (
+            lambda: lh.replace_partition("raw", "t", df, {"y": 2023}),
+            lambda: lh.insert_overwrite("raw", "t", df, ["y"]),
+            lambda: lh.append("raw", "t", df, ["y"]),
+        ):
+            with pytest.raises(ValueError, match=f"'{column}'"):
+                load()
+    assert _rows(lh.table("raw", "t")) == [(1, "x", 2023)]
+
+
+def test_partition_values_with_special_characters(spark):
+    lh = Lakehouse.scratch(spark)
+    for value in ("a/b", "c\\d", "e'f", "g=h i"):
+        lh.replace_partition("raw", "t", spark.createDataFrame([(1, value)], "id int, k string"), {"k": value})
+    assert _rows(lh.table("raw", "t")) == [(1, "a/b"), (1, "c\\d"), (1, "e'f"), (1, "g=h i")]
+
+
+def test_partitioned_write_makes_files_by_size(spark):
+    lh = Lakehouse.scratch(spark)
+    rows = spark.range(20_000, numPartitions=16).selectExpr("id", "id % 3 AS y")
+    out = lh.insert_overwrite("raw", "t", rows, ["y"], ["id"])
+    assert out.count() == 20_000 and len(out.inputFiles()) == 3
+
+
+def test_views_take_no_rows(spark):
+    lh = Lakehouse.scratch(spark)
+    lh.full_refresh("raw", "t", spark.range(3))
+    lh.view("cleansed", "t", "raw", "t")
+    with pytest.raises(ValueError, match="view of another table"):
+        lh.append("cleansed", "t", spark.range(1))
