@@ -23,23 +23,26 @@ RECORD_SCHEMA = "array<struct<id:bigint,date:string,value:double>>"
 
 def api_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    rec = o.select(
+    return o.select(
         F.year("o_orderdate").alias("YEAR"),
         (F.floor(F.col("o_orderkey") / PAGE_SIZE) + 1).cast("int").alias("page"),
         F.col("o_orderkey").alias("id"),
         F.year("o_orderdate").cast("string").alias("date"),
         F.col("o_totalprice").alias("value"),
     )
-    pages = rec.groupBy("YEAR").agg(F.max("page").alias("pages"))
-    return rec.join(pages, "YEAR")
 
 
 def land_pages(records: DataFrame, path: str) -> None:
-    """One JSON document per (YEAR, page): ``[{"page":p,"pages":n},[{...},...]]``."""
+    """One JSON document per (YEAR, page): ``[{"page":p,"pages":n},[{...},...]]``.
+
+    The yearly totals are broadcast: a DATE has at most 9,999 years, so there are at most
+    that many rows of two numbers, and no year's pages meet in one task.
+    """
+    totals = records.groupBy("YEAR").agg(F.max("page").alias("pages"))
     pages = records.groupBy("YEAR", "page").agg(
-        F.first("pages").alias("pages"),
         F.sort_array(F.collect_list(F.struct("id", "date", "value"))).alias("records"),
     )
+    pages = pages.join(F.broadcast(totals), "YEAR")
     # a page is one block of PAGE_SIZE unique order keys; fail loudly if the key ever
     # stops being unique rather than emitting an oversized page
     too_big = F.size("records") > PAGE_SIZE
@@ -69,6 +72,17 @@ def jsonpath(selector: str) -> str:
     return "$" + (selector if selector.startswith("[") else "." + selector)
 
 
+def _records_json(selector: str) -> tuple[str, str]:
+    """SQL of (a page's record array as JSON text, whether the page holds one).
+
+    A page that is no whole JSON document (cut off in transfer) or has nothing at the
+    selector (an error envelope) holds none; an explicit ``null`` is an empty page.
+    """
+    path = jsonpath(selector).replace("\\", "\\\\").replace("'", "\\'")
+    picked = f"try_variant_get(try_parse_json(value), '{path}', 'variant')"
+    return f"if(is_variant_null({picked}), '[]', get_json_object(value, '{path}'))", f"{picked} IS NOT NULL"
+
+
 def decode_pages(
     spark: SparkSession,
     path: str,
@@ -78,14 +92,18 @@ def decode_pages(
 ) -> DataFrame:
     """One row per record of every landed page under ``path``, plus the partition and
     page columns from the folder names and the declared total (NULL when the response
-    has none). Each page file is decoded by its own task."""
+    has none). Each page file is decoded by its own task. A page that is cut off, has no
+    records at the selector, or holds a record that does not fit the schema fails the job."""
     raw = _page_files(spark, path)
     keys = [c for c in raw.columns if c != "value"]
     total = F.get_json_object("value", jsonpath(total_path)).cast("int") if total_path else F.lit(None).cast("int")
+    text, whole = _records_json(data_selector)
+    fault = F.concat(F.lit(f"no records at {data_selector} of the page: "), F.substring("value", 1, 200))
+    checked = F.when(F.expr(whole), F.expr(text)).otherwise(F.raise_error(fault))
     decoded = raw.select(
         *keys,
         total.alias("pages"),
-        F.from_json(F.get_json_object("value", jsonpath(data_selector)), f"array<{record_schema}>").alias("records"),
+        F.from_json(checked, f"array<{record_schema}>", {"mode": "FAILFAST"}).alias("records"),
     )
     return decoded.select(*keys, "pages", F.explode("records").alias("r")).select(*keys, "pages", "r.*")
 
@@ -97,23 +115,34 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def completeness(spark: SparkSession, path: str, base_page: int = 1) -> DataFrame:
-    """Per partition: expected pages vs distinct pages landed, in one aggregation over
-    page meta (records are counted, never gathered).
+def completeness(
+    spark: SparkSession,
+    path: str,
+    base_page: int = 1,
+    data_selector: str = "[1]",
+    total_path: str | None = "[0].pages",
+    page_column: str = "page",
+) -> DataFrame:
+    """Per partition (the other folder columns; one row if there are none): expected pages
+    vs distinct pages landed, in one aggregation over page meta (records are counted,
+    never gathered). A page without a whole record array has not landed.
 
-    With a declared total (``$[0].pages``) the expected pages are base..total. Without
+    With a declared total (``total_path``) the expected pages are base..total. Without
     one, paging stops at the first empty page: the expected pages are base..the last
     landed page, and the partition is complete only if that last page is empty.
     """
     raw = _page_files(spark, path)
-    meta = raw.selectExpr(
-        "YEAR",
-        "page",
-        "cast(get_json_object(value, '$[0].pages') as int) AS pages",
-        "json_array_length(get_json_object(value, '$[1]')) AS n_records",
+    keys = [c for c in raw.columns if c not in ("value", page_column)]
+    text, whole = _records_json(data_selector)
+    total = F.get_json_object("value", jsonpath(total_path)).cast("int") if total_path else F.lit(None).cast("int")
+    meta = raw.select(
+        *keys,
+        F.col(page_column).alias("page"),
+        total.alias("pages"),
+        F.expr(f"CASE WHEN {whole} THEN json_array_length({text}) END").alias("n_records"),
     )
-    in_range = F.expr(f"page >= {int(base_page)} AND (pages IS NULL OR page <= pages)")
-    per = meta.groupBy("YEAR").agg(
+    in_range = F.expr(f"n_records IS NOT NULL AND page >= {int(base_page)} AND (pages IS NULL OR page <= pages)")
+    per = meta.groupBy(*keys).agg(
         F.max("pages").alias("declared"),
         F.max("page").alias("last_page"),
         F.max_by("n_records", "page").alias("last_records"),
@@ -121,18 +150,20 @@ def completeness(spark: SparkSession, path: str, base_page: int = 1) -> DataFram
     )
     expected = f"coalesce(declared, last_page) - {int(base_page)} + 1"
     return per.selectExpr(
-        "YEAR",
+        *keys,
         "coalesce(declared, last_page) AS declared_pages",
         "landed_pages",
         f"cast({expected} - landed_pages as bigint) AS missing_pages",
-        f"({expected} - landed_pages) = 0 AND (declared IS NOT NULL OR last_records = 0) AS complete",
+        f"coalesce(({expected} - landed_pages) = 0 AND (declared IS NOT NULL OR last_records = 0), false) AS complete",
     )
 
 
-def landing_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Files and bytes landed per partition; file bodies are never read."""
+def landing_manifest(spark: SparkSession, path: str, page_column: str = "page") -> DataFrame:
+    """Files and pages landed per partition (the folder columns but the page's; one row
+    if there are none); file bodies are never read."""
     files = spark.read.format("binaryFile").option("basePath", path).load(path)
-    return files.groupBy("YEAR").agg(
+    keys = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content", page_column)]
+    return files.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("files"),
-        F.count_distinct("page").alias("pages"),
+        F.count_distinct(page_column).alias("pages"),
     )

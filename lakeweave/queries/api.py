@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lakeweave.plans import api_pages
 from lakeweave.registry import register
 from lakeweave.session import fresh_dir
@@ -26,3 +28,13 @@ def src_api_completeness(spark, d):
 @register("src_landing_manifest")
 def src_landing_manifest(spark, d):
     return api_pages.landing_manifest(spark, _land(spark, d))
+
+
+@register("src_api_unpartitioned")
+def src_api_unpartitioned(spark, d):
+    """Pages ``{"items": [...]}`` without partition folders or a declared page count."""
+    path = fresh_dir(spark, "api-items")
+    records = api_pages.api_records(spark, d)
+    pages = records.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("id", "value"))).alias("items"))
+    pages.select("page", F.to_json(F.struct("items")).alias("value")).write.partitionBy("page").text(path)
+    return api_pages.decode_pages(spark, path, "struct<id:bigint,value:double>", "items", None).drop("pages")

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeweave.plans import api_pages
@@ -98,3 +99,29 @@ def test_pretty_printed_page(spark, tmp_root):
     rows = api_pages.read_pages(spark, tmp_root).collect()
     assert [(r.YEAR, r.page, r.pages, r.id, r.value) for r in rows] == [(2020, 1, 1, 7, 2.5)]
     assert api_pages.completeness(spark, tmp_root).first().complete
+
+
+GOOD = '{"meta": {"last": 2}, "items": [{"id": 1}]}'
+
+
+@pytest.mark.parametrize(
+    "body",
+    [GOOD[:-3], '{"error": "too many requests"}', "<html>busy</html>", "", '{"meta": {"last": 2}, "items": [{"id": "x"}]}'],
+)
+def test_broken_pages_fail_the_load(spark, tmp_root, body):
+    for page, doc in {1: GOOD, 2: body}.items():
+        spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(f"{tmp_root}/page={page}", lineSep=" ")
+    with pytest.raises(Exception, match="no records at items|MALFORMED_RECORD|CANNOT_PARSE"):
+        api_pages.decode_pages(spark, tmp_root, "struct<id:int>", "items", "meta.last").collect()
+
+
+@pytest.mark.parametrize(
+    "body,landed",
+    [(GOOD, 2), ('{"meta": {"last": 2}, "items": null}', 2), (GOOD[:-3], 1), ('{"error": "busy"}', 1)],
+)
+def test_completeness_of_unpartitioned_pages(spark, tmp_root, body, landed):
+    for page, doc in {1: GOOD, 2: body}.items():
+        spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(f"{tmp_root}/page={page}")
+    rows = api_pages.completeness(spark, tmp_root, data_selector="items", total_path="meta.last").collect()
+    assert [tuple(r) for r in rows] == [(2, landed, 2 - landed, landed == 2)]
+    assert [tuple(r) for r in api_pages.landing_manifest(spark, tmp_root).collect()] == [(2, 2)]
