@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
@@ -10,33 +11,55 @@ from pyspark.sql import functions as F
 
 from lakeweave.specs import PartitionDef, StaticPartition, TimePartition
 
-# Strftime codes used in partition formats and their Spark patterns.
-_STRFTIME_TO_SPARK = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm"}
-_PERIODS = {"year": "1 year", "month": "1 month", "day": "1 day", "hour": "1 hour"}
-
-
-def spark_pattern(strftime_fmt: str) -> str:
-    out = strftime_fmt
-    for k, v in _STRFTIME_TO_SPARK.items():
-        out = out.replace(k, v)
-    return out
-
-
-def time_keys_column(start: Column, as_of: Column, period: str = "year", fmt: str = "%Y") -> Column:
+# The format codes of keys; position and length in 'yyyy-MM-dd HH:mm:ss'.
+_CODES = {"Y": (1, 4), "m": (6, 2), "d": (9, 2), "H": (12, 2), "M": (15, 2)}
+_STEPS = {"year": "1 YEAR", "month": "1 MONTH", "week": "7 DAYS", "day": "1 DAY", "hour": "1 HOUR"}
+
+
+def key_text(moment: Column, fmt: str) -> Column:
+    """A TIMESTAMP_NTZ in a strftime format; no time zone takes part. Unknown codes raise."""
+    text = moment.cast("string")
+    parts = []
+    for literal, code in re.findall(r"([^%]+)|%(.?)", fmt):
+        if code in _CODES:
+            parts.append(F.substring(text, *_CODES[code]))
+        elif literal or code == "%":
+            parts.append(F.lit(literal or code))
+        else:
+            raise ValueError(f"key format {fmt!r}: no rule for '%{code}'")
+    return F.concat(*parts)
+
+
+def period_start(moment: Column, period: str, weekday: int = 0) -> Column:
+    """Start of the year, month, week (its first day: ``weekday``, 0 for Sunday), day or hour
+    that holds ``moment``, by its wall clock, as TIMESTAMP_NTZ."""
+    at = moment.cast("timestamp_ntz")
+    day = at.cast("date")
+    if period == "hour":
+        return F.make_timestamp_ntz(F.year(at), F.month(at), F.dayofmonth(at), F.hour(at), F.lit(0), F.lit(0))
+    if period == "week":
+        day = F.date_sub(day, F.pmod(F.dayofweek(day) - 1 - weekday, F.lit(7)).cast("int"))
+    elif period != "day":
+        day = F.trunc(day, period)
+    return day.cast("timestamp_ntz")
+
+
+def time_keys_column(start: Column, as_of: Column, period: str = "year", fmt: str = "%Y", weekday: int = 0) -> Column:
     """Array of keys, one per period from ``start`` up to and including the period
     that contains ``as_of`` (the current, still open period is included)."""
-    if period not in _PERIODS:
+    if period not in _STEPS:
         raise ValueError(f"unsupported period {period!r}")
-    lo = F.date_trunc(period, start.cast("timestamp"))
-    hi = F.date_trunc(period, as_of.cast("timestamp"))
-    seq = F.sequence(lo, hi, F.expr(f"INTERVAL {_PERIODS[period]}"))
-    return F.transform(seq, lambda t: F.date_format(t, spark_pattern(fmt)))
+    lo, hi = (period_start(c, period, weekday) for c in (start, as_of))
+    starts = F.sequence(lo, hi, F.expr(f"INTERVAL {_STEPS[period]}"))
+    return F.transform(starts, lambda t: key_text(t, fmt))
 
 
-def time_keys(bounds: DataFrame, start: str, as_of: str, period: str = "year", fmt: str = "%Y", name: str = "partition_key") -> DataFrame:
+def time_keys(
+    bounds: DataFrame, start: str, as_of: str, period: str = "year", fmt: str = "%Y", name: str = "partition_key", weekday: int = 0
+) -> DataFrame:
     """One row per key. ``bounds`` holds one row with the start and as-of columns
     (typically a global min/max aggregate of the data, so the range follows it)."""
-    return bounds.select(F.explode(time_keys_column(F.col(start), F.col(as_of), period, fmt)).alias(name))
+    return bounds.select(F.explode(time_keys_column(F.col(start), F.col(as_of), period, fmt, weekday)).alias(name))
 
 
 def multi_keys(time_key_frame: DataFrame, statics: Sequence[StaticPartition]) -> DataFrame:
@@ -48,20 +71,18 @@ def multi_keys(time_key_frame: DataFrame, statics: Sequence[StaticPartition]) ->
     return out
 
 
-def resolve_partition_keys(spec, partition_key: str | dict[str, str] | None) -> dict[str, str]:
-    """Partition values for one run (file or API table spec). A partitioned table
-    without a key is an error."""
-    if not spec.partitions:
-        return {}
-    if partition_key is None:
-        raise ValueError(f"table {spec.name!r} is partitioned: a run needs a partition key")
-    if isinstance(partition_key, dict):
-        cols = [p.name for p in spec.partitions]
-        missing = [p for p in cols if p not in partition_key]
-        if missing:
-            raise ValueError(f"table {spec.name!r}: the partition key lacks {missing}")
-        return {p: partition_key[p] for p in cols}
-    return {spec.partitions[0].name: partition_key}
+def run_keys(spec, key: str | dict[str, str] | None = None) -> dict[str, str]:
+    """The partition tuple of one run (file or API table): a value for every partition
+    column of ``spec`` and for nothing else, in its column order. A plain value can only
+    stand for the key of a table with one partition column."""
+    columns = [p.name for p in spec.partitions or ()]
+    if key is None or isinstance(key, dict):
+        given = dict(key or {})
+    else:
+        given = dict.fromkeys(columns, key) if len(columns) == 1 else {"": key}
+    if set(given) != set(columns):
+        raise ValueError(f"table {spec.name!r}: a run needs a value for each of {columns}, not {key!r}")
+    return {c: given[c] for c in columns}
 
 
 def key_window(key: str, part: TimePartition) -> tuple[date, date]:
@@ -72,14 +93,13 @@ def key_window(key: str, part: TimePartition) -> tuple[date, date]:
         nxt = start.replace(year=start.year + 1)
     elif part.period == "month":
         nxt = start.replace(year=start.year + (start.month == 12), month=start.month % 12 + 1)
-    elif part.period == "day":
+    elif part.period == "week":
+        nxt = start + timedelta(days=7)
+    elif part.period in ("day", "hour"):
         nxt = start + timedelta(days=1)
-    elif part.period == "hour":
-        nxt = start + timedelta(hours=1)
     else:
         raise ValueError(part.period)
-    end = (nxt - timedelta(days=1)).date() if part.period != "hour" else start.date()
-    return start.date(), end
+    return start.date(), (nxt - timedelta(days=1)).date()
 
 
 def year_bounds(window: tuple[date, date]) -> tuple[int, int]:

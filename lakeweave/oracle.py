@@ -270,6 +270,7 @@ ORACLE["src_seed"] = _with(SEEDS) + "SELECT flag_type, id, description FROM seed
 
 # ---- loads and partitions ----------------------------------------------------------
 ORACLE["sink_full_refresh"] = ORACLE["cleansed_stations"]
+ORACLE["sink_full_refresh_schema"] = "SELECT o_orderkey, o_custkey FROM orders"
 ORACLE["sink_partition_replace"] = _with(RAW_OBS) + (
     f'SELECT {RAW_OBS_COLS} FROM raw_obs WHERE NOT ("YEAR" = 1997 AND "Q_FLAG" IS NOT NULL)'
 )
@@ -297,12 +298,21 @@ ORACLE["src_landing_manifest"] = _with(API_RECORDS) + (
     'SELECT "YEAR", count(DISTINCT page) AS files, count(DISTINCT page) AS pages FROM api_rec GROUP BY "YEAR"'
 )
 
+ORACLE["src_api_unpartitioned"] = _with(API_RECORDS) + "SELECT page, id, round(round(value, 9), 6) AS value FROM api_rec"
+ORACLE["src_prefix_recursive"] = (
+    "SELECT c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier"
+)
+
 ORDER_BOUNDS = "b AS (SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders)"
 ORACLE["part_time_keys"] = _with(ORDER_BOUNDS) + (
     "SELECT 'year' AS period, strftime(t, '%Y') AS partition_key "
     "FROM (SELECT unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi), INTERVAL 1 YEAR)) AS t FROM b) "
     "UNION ALL SELECT 'month', strftime(t, '%Y-%m') "
-    "FROM (SELECT unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH)) AS t FROM b)"
+    "FROM (SELECT unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH)) AS t FROM b) "
+    "UNION ALL SELECT 'week', strftime(t, '%Y-%m-%d') "
+    "FROM (SELECT unnest(generate_series(date_trunc('week', lo), date_trunc('week', hi), INTERVAL 7 DAY)) AS t FROM b) "
+    "UNION ALL SELECT 'day', strftime(t, '%Y-%m-%d') "
+    "FROM (SELECT unnest(generate_series(date_trunc('day', lo), date_trunc('day', hi), INTERVAL 1 DAY)) AS t FROM b)"
 )
 ORACLE["part_multi_keys"] = _with(ORDER_BOUNDS) + (
     "SELECT strftime(t, '%Y') AS \"YEAR\", s AS \"S_FLAG\" "

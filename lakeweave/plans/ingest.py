@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweave.operators.partitions import resolve_partition_keys
+from lakeweave.functions.paths import hive_path
+from lakeweave.operators.partitions import run_keys
 from lakeweave.sinks.tables import Lakehouse
 from lakeweave.sources.files import read_source
 from lakeweave.plans.api_pages import decode_pages
@@ -32,8 +33,8 @@ def ingest_table(
     spec = source.table(table)
     if not isinstance(spec, SourceSpec):
         raise TypeError(f"{table} is not a file table")
-    params = resolve_partition_keys(spec, partition_key)
-    base = f"{landing_root.rstrip('/')}/{spec.target_prefix(source.name)}"
+    params = run_keys(spec, partition_key)
+    base = hive_path(landing_root, source.name, spec.name)
     # read the run's leaf folder, keeping the partition columns from the path
     leaf = SourceSpec(
         spec.name, spec.file_format, "", spec.columns,
@@ -64,9 +65,8 @@ def ingest_api_table(
     spec = source.table(table)
     if not isinstance(spec, ApiTableSpec):
         raise TypeError(f"{table} is not an API table")
-    params = resolve_partition_keys(spec, partition_key)  # type: ignore[arg-type]
-    base = f"{landing_root.rstrip('/')}/{source.name}/{spec.name}"
-    run_path = base + ("/" + "/".join(f"{k}={v}" for k, v in params.items()) if params else "")
+    params = run_keys(spec, partition_key)
+    run_path = hive_path(landing_root, source.name, spec.name, keys=params)
     paging = spec.paging
     pages = decode_pages(
         lh.spark, run_path, record_schema,

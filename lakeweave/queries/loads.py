@@ -28,6 +28,16 @@ def sink_full_refresh(spark, d):
     return lh.table("cleansed", "stations")
 
 
+@register("sink_full_refresh_schema")
+def sink_full_refresh_schema(spark, d):
+    """raw.orders refreshed twice; the second refresh drops one column and adds another."""
+    lh = Lakehouse.scratch(spark)
+    orders = bindings.table(spark, d, "orders")
+    lh.full_refresh("raw", "orders", orders.select("o_orderkey", "o_totalprice"))
+    lh.full_refresh("raw", "orders", orders.select("o_orderkey", "o_custkey"))
+    return lh.table("raw", "orders")
+
+
 @register("sink_partition_replace")
 def sink_partition_replace(spark, d):
     """raw.observations loaded, then YEAR=1997 replaced (twice) by its QC-passing rows:
@@ -84,11 +94,16 @@ def _order_bounds(spark, d):
 
 @register("part_time_keys")
 def part_time_keys(spark, d):
-    """Yearly and monthly keys from the first order date through the period of the last."""
-    b = _order_bounds(spark, d)
-    years = P.time_keys(b, "start", "as_of", "year", "%Y").select(F.lit("year").alias("period"), "partition_key")
-    months = P.time_keys(b, "start", "as_of", "month", "%Y-%m").select(F.lit("month").alias("period"), "partition_key")
-    return years.unionByName(months)
+    """Yearly, monthly, weekly (from Monday) and daily keys from the first order date through
+    the period of the last; one pass over the dates."""
+    formats = {"year": "%Y", "month": "%Y-%m", "week": "%Y-%m-%d", "day": "%Y-%m-%d"}
+    start, as_of = F.col("start"), F.col("as_of")
+    keys = [
+        F.struct(F.lit(p).alias("period"), P.time_keys_column(start, as_of, p, fmt, weekday=1).alias("keys"))
+        for p, fmt in formats.items()
+    ]
+    periods = _order_bounds(spark, d).select(F.inline(F.array(*keys)))
+    return periods.select("period", F.explode("keys").alias("partition_key"))
 
 
 @register("part_multi_keys")

@@ -131,3 +131,15 @@ def src_seed(spark, d):
         part = read_seed(spark, f"{root}/{name}").select(F.lit(name).alias("flag_type"), "id", "description")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@register("src_prefix_recursive")
+def src_prefix_recursive(spark, d):
+    """Files at the prefix (customers) and in a plain folder below it (suppliers)."""
+    path = fresh_dir(spark, "nested")
+    people = {"": ("customer", "c_custkey", "c_name"), "/more": ("supplier", "s_suppkey", "s_name")}
+    for folder, (name, key, label) in people.items():
+        bindings.table(spark, d, name).select(key, label).write.mode("append").csv(f"{path}/people{folder}")
+    columns = (ColumnSpec("id", "bigint"), ColumnSpec("name"))
+    spec = SourceSpec("people", FileFormat.CSV, "people/**", columns, full_refresh=True)
+    return read_source(spark, spec, path, ingested_at=RUN_TS).drop("ingested_at")

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeweave.functions.paths import hive_path
 from lakeweave.functions.text import byte_substring, fixed_width_sql
 from lakeweave.specs import ColumnSpec, FileFormat, SourceSpec
 
@@ -48,6 +50,9 @@ def _reader(spark: SparkSession, spec: SourceSpec, root: str):
     if spec.settings.get("use_hive_partitioning", "0") == "1":
         # basePath keeps the k=v directories as columns even for a leaf path.
         r = r.option("basePath", root)
+    elif not spec.partitions:
+        # without partition columns to find, files of plain nested folders are read too
+        r = r.option("recursiveFileLookup", True)
     if "path_glob" in spec.settings:
         r = r.option("pathGlobFilter", spec.settings["path_glob"])
     return r
@@ -64,7 +69,9 @@ def _raw_frame(spark: SparkSession, spec: SourceSpec, root: str, path: str) -> D
     if fmt == FileFormat.AVRO:
         try:
             return r.format("avro").load(path)
-        except Exception as e:  # the spark-avro package is not on every classpath
+        except AnalysisException as e:  # the spark-avro package is not on every classpath
+            if "data source" not in str(e).lower():
+                raise
             raise RuntimeError(
                 f"Table '{spec.name}': Avro needs the spark-avro data source on the classpath"
             ) from e
@@ -78,10 +85,9 @@ def _raw_frame(spark: SparkSession, spec: SourceSpec, root: str, path: str) -> D
             path, sep=sep, header=False, mode="FAILFAST", nullValue=NULL_MARKER
         )
     if fmt == FileFormat.CSV_WITH_NAMES:
-        schema = T.StructType([T.StructField(c.name, T.StringType()) for c in spec.columns or ()])
-        if not spec.columns:
-            return r.csv(path, header=True, mode="FAILFAST", nullValue=NULL_MARKER)
-        return r.schema(schema).csv(path, header=True, mode="FAILFAST", enforceSchema=False, nullValue=NULL_MARKER)
+        # names come from the header (all strings) and every file's header is checked
+        # against them; declared columns and expressions then select by name
+        return r.csv(path, header=True, mode="FAILFAST", enforceSchema=False, nullValue=NULL_MARKER)
     if fmt == FileFormat.JSON_EACH_ROW:
         schema = _declared_schema(spec)
         return (r.schema(schema) if schema else r).json(path, mode="FAILFAST")
@@ -149,9 +155,7 @@ def read_source(
     """
     _check_settings(spec)
     root = root.rstrip("/")
-    leaf = spec.source_prefix(partition_params)
-    path = f"{root}/{leaf}" if leaf else root
-    raw = _raw_frame(spark, spec, root, path)
+    raw = _raw_frame(spark, spec, root, hive_path(root, spec.folder, keys=partition_params))
     if not spec.columns:
         return raw
     cols = [_column(spec, c, i + 1) for i, c in enumerate(spec.columns)]
