@@ -88,6 +88,14 @@ def test_load_returns_rows_keyed_by_qualified_member(svc):
     assert rows and set(rows[0]) == {f"{OBS}.count", f"{OBS}.country_id", f"{OBS}.observation_date.year"}
 
 
+def test_load_is_bounded(svc):
+    q = {"measures": [f"{OBS}.count"], "dimensions": [f"{OBS}.measure"]}
+    n = svc.query(q).count()
+    assert len(svc.load(q, max_rows=n)) == n
+    with pytest.raises(ValidationError, match="more than"):
+        svc.load(q, max_rows=n - 1)
+
+
 def test_describe_lists_qualified_members(svc):
     cubes = {c["name"]: c for c in svc.describe()["cubes"]}
     assert {"noaa_ghcn_stations", "noaa_ghcn_station_year", "noaa_ghcn_observations"} <= set(cubes)
