@@ -9,7 +9,9 @@ double precision from the left.
 
 Text is first cut as unigram tokenizers' word-start pre-tokenizer does: each space becomes
 ``▁``, one is put in front unless there is one, and words start at each ``▁``. A worker keeps the
-counts of words it has met (at most ``CACHE`` words, then it starts anew).
+counts of words it has met (at most ``CACHE`` words of ``CACHED_LENGTH`` characters, then it
+starts anew). A word of any length is read once, keeping only as many positions as the longest
+piece has characters.
 
 Defined results: null and empty texts have 0 tokens; unknown characters count one token a
 UTF-8 byte with byte fallback, else one for each unbroken run on the best path. Repeated
@@ -25,7 +27,9 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 CACHE = 500_000
+CACHED_LENGTH = 64  # characters; longer words are counted anew each time
 UNKNOWN_PENALTY = 10.0
+NO_MATCH = (-1, None)
 
 
 def read_vocabulary(path: str) -> list[tuple[str, float]]:
@@ -45,36 +49,40 @@ class UnigramCounter:
             if piece:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        self.reach = max((len(piece) for piece, _ in vocabulary), default=1)
         self.unknown = min((score for _, score in vocabulary), default=0.0) - UNKNOWN_PENALTY
         self.byte_fallback = byte_fallback
         self.known: dict[str, int] = {}
 
     def word(self, word: str) -> int:
         """Pieces of one word, which starts with ``▁``."""
-        ends: list = [()] * len(word)
-        for end, match in self.automaton.iter(word):
-            ends[end] += (match,)
-        score, count, loose = [0.0], [0], [False]  # loose: the best path ends in an unknown character
-        for end, matches in enumerate(ends):
+        size = self.reach + 1  # positions back to the start of the longest piece, in turn
+        score, count = [0.0] * size, [0] * size
+        loose = False  # the best path so far ends in an unknown character
+        matches = self.automaton.iter(word)
+        at, match = next(matches, NO_MATCH)
+        here = 0
+        for end, character in enumerate(word):
             best, pieces, open_end, single = None, 0, False, False
-            for length, value in matches:
-                start = end + 1 - length
+            while at == end:
+                length, value = match
+                start = (end + 1 - length) % size
                 total = score[start] + value
                 if best is None or total > best:
                     best, pieces = total, count[start] + 1
                 single = single or length == 1
+                at, match = next(matches, NO_MATCH)
             if not single:
-                total = score[end] + self.unknown
+                total = score[here] + self.unknown
                 if best is None or total > best:
                     best, open_end = total, True
                     if self.byte_fallback:
-                        pieces = count[end] + len(word[end].encode("utf-8", "replace"))
+                        pieces = count[here] + len(character.encode("utf-8", "replace"))
                     else:
-                        pieces = count[end] + (not loose[end])
-            score.append(best)
-            count.append(pieces)
-            loose.append(open_end)
-        return count[-1]
+                        pieces = count[here] + (not loose)
+            here = (end + 1) % size
+            score[here], count[here], loose = best, pieces, open_end
+        return count[here]
 
     def text(self, text: str) -> int:
         if not text:
@@ -86,9 +94,11 @@ class UnigramCounter:
         for w in words:
             n = known.get(w)
             if n is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                n = known[w] = self.word(SPACE + w)
+                n = self.word(SPACE + w)
+                if len(w) <= CACHED_LENGTH:
+                    if len(known) >= CACHE:
+                        known.clear()
+                    known[w] = n
             total += n
         return total
 

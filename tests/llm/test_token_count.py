@@ -58,6 +58,13 @@ def test_cache_is_bounded(monkeypatch):
     assert len(counter.known) <= 3
 
 
+def test_long_words_are_whole_and_not_cached():
+    for word in ("ab" * 5000, "é" * 3000 + "aba" * 1000):
+        counter = token_count.UnigramCounter(SMALL, False)
+        assert counter.text(word) == len(library(SMALL, False).encode(word).ids)
+        assert not counter.known
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     rows = token_count.count_tokens(edge_docs, UNIGRAM_VOCABULARY).collect()
     assert len(rows) == edge_docs.count()
