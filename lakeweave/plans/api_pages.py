@@ -1,7 +1,8 @@
 """Paged API responses landed as files, decoded and checked as batch jobs.
 
 A response page is ``[meta, records]``: the records are selected by the JSONPath
-``$[1]`` and the declared page count by ``$[0].pages``. Pages are landed one file per
+``$[1]`` and the declared page count by ``$[0].pages`` unless a table's paging says
+otherwise. Pages are landed one file per
 (YEAR, page) folder, so a landing can be listed, audited and re-read per partition.
 
 Binding: the records of year Y are that year's orders (id = order key, date = year,
