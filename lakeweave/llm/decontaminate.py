@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import release
+from .common import release, save
 
 # Places of the five tokens that each mask keeps.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 3, 6, 7))
@@ -34,7 +34,8 @@ MIN_TOKENS = 10
 SIMILARITY = 0.8
 BLOCK_TOKENS = 1 << 21
 _TOKEN = re.compile(r"[^\W_]+")
-_CHUNK = 1 << 20  # tokens hashed at a time
+_CHUNK = 1 << 20  # tokens hashed, and hits held, at a time
+_SHIFT, _MIDDLE = 40, 1 << 39  # an item and a diagonal in one number
 
 
 def tokens(text: str) -> list[str]:
@@ -56,12 +57,20 @@ def _seed_hashes(ids: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     return h
 
 
+def _distinct(held: list[np.ndarray]):
+    """(item, diagonal) of every distinct number."""
+    found = np.unique(np.concatenate(held)) if held else np.empty(0, np.int64)
+    yield from zip((found >> _SHIFT).tolist(), ((found & (2 * _MIDDLE - 1)) - _MIDDLE).tolist())
+
+
 class Benchmark:
     """Seed index of one block of items."""
 
-    def __init__(self, items: list[tuple[int | None, str]]):
+    def __init__(self, items: list[tuple[int | None, str]], copies: list[int] | None = None):
+        """Items as (id, text), each standing for so many equal rows."""
         texts = [tokens(t or "") for _, t in items]
         self.item_ids = [i for i, _ in items]
+        self.copies = np.array(copies or [1] * len(items), np.int64)
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for t in texts for w in t}), 1)}
         self.items = [np.array([self.vocabulary[w] for w in t], np.uint64) for t in texts]
         self.seeds = []
@@ -76,27 +85,35 @@ class Benchmark:
             self.seeds.append((key[order], item[order], place[order], sieve))
 
     def _hits(self, ids: np.ndarray):
-        """(item, diagonal) of every seed shared by the document and an item."""
-        known = np.flatnonzero(ids)
-        if len(known) < len(MASKS[0]):
-            return np.empty((0, 2), np.int64)
-        found = []
+        """(item, diagonal) of every seed shared by the document and an item.
+
+        Pairs are gathered and made distinct ``_CHUNK`` at a time, so a passage that many items and
+        many places of the document share takes bounded memory.
+        """
+        if np.count_nonzero(ids) < len(MASKS[0]):
+            return
+        held: list[np.ndarray] = []
         for mask, (key, item, place, sieve) in zip(MASKS, self.seeds):
             for offset in range(0, len(ids), _CHUNK):
                 h = _seed_hashes(ids[offset : offset + _CHUNK + mask[-1]], mask)
                 at = np.flatnonzero(sieve[(h >> np.uint64(44)).astype(np.int64)] & (h != 0))
                 low = np.searchsorted(key, h[at], "left")
                 many = np.searchsorted(key, h[at], "right") - low
-                rows = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                found.append(np.stack([item[rows], np.repeat(at + offset, many) - place[rows]], axis=1))
-        return np.unique(np.concatenate(found), axis=0)
+                cuts = np.searchsorted(np.cumsum(many), np.arange(_CHUNK, many.sum(), _CHUNK))
+                for first, n, start in zip(np.split(low, cuts), np.split(many, cuts), np.split(at + offset, cuts)):
+                    rows = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    held.append(np.unique((item[rows] << _SHIFT) + np.repeat(start, n) - place[rows] + _MIDDLE))
+                    if sum(map(len, held)) > _CHUNK:
+                        yield from _distinct(held)
+                        held = []
+        yield from _distinct(held)
 
     def overlaps(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item number, first token, tokens, equal tokens) of the best stretch per item, where it is long enough."""
         get = self.vocabulary.get
         ids = np.array([get(w, 0) for w in tokens(text)], np.uint64)
         best: dict[int, tuple[int, int, int]] = {}
-        for item, diagonal in self._hits(ids).tolist():
+        for item, diagonal in self._hits(ids):
             own = self.items[item]
             low, high = max(0, -diagonal), min(len(own), len(ids) - diagonal)
             equal = own[low:high] == ids[low + diagonal : high + diagonal]
@@ -117,13 +134,18 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
 
 
 def benchmark_blocks(benchmark: DataFrame, block_tokens: int = BLOCK_TOKENS):
-    """The items in blocks of about ``block_tokens`` tokens, dealt by hash, one on the driver at a time."""
-    items = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text"))
+    """The items in blocks of about ``block_tokens`` tokens, dealt by hash, one on the driver at a time.
+
+    Equal rows are one item with a count, so that they can't fill a block.
+    """
+    items = benchmark.groupBy(F.col("item_id"), F.col("text").cast("string").alias("text")).agg(F.count("*").alias("copies"))
+    items = save(items, "benchmark")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, ceil(total / 2 / block_tokens))  # a token takes two characters at least, with its gap
     placed = items.withColumn("block", F.expr(f"pmod(xxhash64(item_id, text), {blocks})"))
     for k in range(blocks):
-        yield Benchmark([(r["item_id"], r["text"]) for r in placed.where(F.col("block") == k).collect()])
+        rows = placed.where(F.col("block") == k).collect()
+        yield Benchmark([(r["item_id"], r["text"]) for r in rows], [r["copies"] for r in rows])
 
 
 def _decode(x) -> str:
@@ -150,12 +172,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     pa.array([b.item_ids[i] for i in item.tolist()]).cast(pa.int64()),
                     *(pa.array(c) for c in (start, n, same)),
                     pa.array(same / np.maximum(n, 1)),
+                    pa.array(b.copies[item]),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                yield pa.RecordBatch.from_arrays(columns, [*names, "copies"])
 
         rows = ids.mapInArrow(
-            match, f"doc_id {kind}, item_id long, first_token long, n_tokens long, n_equal long, similarity double"
+            match, f"doc_id {kind}, item_id long, first_token long, n_tokens long, n_equal long, similarity double, copies long"
         ).withColumn("item_id", F.col("item_id").cast(item_type))
+        rows = rows.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).select(*names)
         out = rows if out is None else out.union(rows)
     return out
 

@@ -78,3 +78,22 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert sorted(kept, key=str) == sorted([1, 2, 3, 7, 8, None], key=str)
     assert dc.find_leaks(no_docs, items).count() == dc.find_leaks(edge_docs, items.limit(0)).count() == 0
     assert dc.drop_leaks(edge_docs, items.limit(0)).count() == edge_docs.count()
+
+
+def test_hits_held_in_small_parts_give_the_same_rows(monkeypatch):
+    rnd = random.Random(8)
+    items = [["a"] * 25, [rnd.choice("ab") for _ in range(40)], [rnd.choice("abc") for _ in range(30)]]
+    texts = [" ".join(rnd.choice("abx") for _ in range(300)) for _ in range(10)] + ["a " * 500]
+    block = dc.Benchmark([(i, " ".join(t)) for i, t in enumerate(items)])
+    whole = [block.overlaps(t) for t in texts]
+    monkeypatch.setattr(dc, "_CHUNK", 64)
+    assert [block.overlaps(t) for t in texts] == whole and any(whole)
+
+
+def test_repeated_items_are_one_item_with_a_count(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    items = spark.createDataFrame([(7, text)] * 300 + [(8, text)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"see {text} here"), (2, "clean")], "doc_id long, text string")
+    assert [len(b.items) for b in dc.benchmark_blocks(items)] == [2]
+    rows = dc.find_leaks(docs, items).groupBy("doc_id", "item_id").count().collect()
+    assert sorted(map(tuple, rows)) == [(1, 7, 300), (1, 8, 1)]
