@@ -18,6 +18,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +95,14 @@ def generated_keys(seed: int = 7, each: int = 2000) -> list[str]:
     return ["".join(rnd.choices(a, k=rnd.randint(20, 64))) for a in alphabets for _ in range(each)]
 
 
+def train_counts(counts: np.ndarray) -> np.ndarray:
+    """The ratio table of transition counts [label, pair] (0: ordinary, 1: random) and the generated keys."""
+    p = counts.reshape(2, _N, _N) + 0.5
+    p[1] += _pairs(" ".join(generated_keys())).reshape(_N, _N)
+    p = np.log(p / p.sum(axis=2, keepdims=True))
+    return p[1] - p[0]
+
+
 def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Log-likelihood ratio table (random over ordinary) per character transition."""
     counts = np.zeros((2, _N * _N))
@@ -105,17 +115,18 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     )
     for r in rows:
         counts[r["label"], r["pair"]] = r["n"]
-    counts[1] += _pairs(" ".join(generated_keys()))
-    p = counts.reshape(2, _N, _N) + 0.5
-    p = np.log(p / p.sum(axis=2, keepdims=True))
-    return p[1] - p[0]
+    return train_counts(counts)
 
 
 def random_spans(text: str, llr: np.ndarray, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Candidates that score as random and touch none of the spans in ``taken`` (by start)."""
     found = []
+    starts = [s for s, _, _ in taken]
+    reach = list(accumulate((e for _, _, e in taken), max))  # the furthest end so far
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
-        if any(s < end and start < e for s, _, e in taken):
+        before = bisect_left(starts, end)
+        if before and reach[before - 1] > start:
             continue
         code = np.r_[0, _CODE[np.frombuffer(m.group().encode(), np.uint8)], 0]
         score = float(llr[code[:-1], code[1:]].sum())

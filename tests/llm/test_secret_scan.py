@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from lakeweave.llm import secret_scan
 from lakeweave.llm.queries import op3_secret_scan
 
@@ -62,3 +64,16 @@ def test_edge_rows(spark, edge_docs, no_docs):
     empty = hashlib.sha256(b"").hexdigest()
     assert all(r["base_sha256"] == empty and r["spans"] == "" for r in rows if r["doc_id"] in (1, 2, 3))
     assert secret_scan.find_secrets(no_docs).count() == 0
+
+
+def test_random_spans_touch_no_base_span():
+    ordinary = secret_scan._pairs("get the name of a user from this list and hand it over to some account " * 99)
+    llr = secret_scan.train_counts(np.array([ordinary, ordinary * 0], float))
+    rnd = random.Random(5)
+    text = " ".join("".join(rnd.choices(secret_scan.SYMBOLS[:62], k=30)) for _ in range(60))
+    free = secret_scan.random_spans(text, llr, [])
+    assert free
+    for _ in range(50):
+        taken = sorted((s, 0, s + rnd.choice([1, 5, 200])) for s in rnd.sample(range(len(text)), 8))
+        clear = [f for f in free if not any(s < f[2] and f[0] < e for s, _, e in taken)]
+        assert secret_scan.random_spans(text, llr, taken) == clear
