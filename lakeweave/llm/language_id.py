@@ -30,8 +30,8 @@ BUCKETS = 1 << 16
 SWITCH_PENALTY = 16.0  # nats
 SCRIPT_SHARE = 0.01
 SMOOTHING = 0.2
-PIECE = 1 << 20  # characters scored at a time
-GROUP = 1 << 24  # characters labelled at a time, but for one longer text
+PIECE = 1 << 20  # characters counted at a time; scored: as many with four languages, fewer with more
+GROUP = 1 << 24  # characters labelled at a time, likewise, but for one longer text
 
 # Script ranges, first and last code point.
 SCRIPTS = {
@@ -86,12 +86,17 @@ def _trigrams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return (h >> np.uint64(48)).astype(np.int64), first, at[first], length, kind[at[first]] - 1
 
 
-def _pieces(codes: np.ndarray):
-    """(offset, piece) of a text, cut where no letter stands, ``PIECE`` characters or a little more each."""
+def _share(size: int, languages: int) -> int:
+    """``size`` for up to four languages, less in proportion for more, so that score tables stay as large."""
+    return max(1, size * 4 // max(4, languages))
+
+
+def _pieces(codes: np.ndarray, size: int = PIECE):
+    """(offset, piece) of a text, cut where no letter stands, ``size`` characters or a little more each."""
     script, _ = _tables()
     start = 0
-    while len(codes) - start > PIECE:
-        end = start + PIECE
+    while len(codes) - start > size:
+        end = start + size
         while end < len(codes) and script[codes[end]]:
             end += 1
         yield start, codes[start:end]
@@ -144,7 +149,7 @@ class LanguageModel:
     def words(self, codes: np.ndarray):
         """Scores [word, language], start and length of each word of one text."""
         parts = []
-        for offset, piece in _pieces(codes):
+        for offset, piece in _pieces(codes, _share(PIECE, len(self.langs))):
             bucket, first, start, length, script = _trigrams(piece)
             if len(first):
                 scores = np.add.reduceat(self.log_p[bucket], first, axis=0) + self.barred[script]
@@ -231,12 +236,13 @@ def label_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id
 
     def predict(batches):
         m = shared.value
+        group = _share(GROUP, len(m.langs))
         for batch in batches:
             ids, out, held, chars = batch.column("doc_id"), [], [], 0
             for x in batch.column("text"):
                 held.append(_decode(x))
                 chars += len(held[-1])
-                if chars >= GROUP:
+                if chars >= group:
                     out += _predict(m, held) if m.langs else [("und", 0.0, [])] * len(held)
                     held, chars = [], 0
             if held:

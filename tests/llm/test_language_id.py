@@ -88,3 +88,14 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert li.label_languages(no_docs, trained).count() == 0
     untrained = li.train(no_docs, F.lit(True))
     assert {r["lang_pred"] for r in li.label_languages(edge_docs, untrained).collect()} == {"und"}
+
+
+def test_many_languages_are_scored_in_smaller_pieces_alike(monkeypatch):
+    assert li._share(1 << 20, 3) == 1 << 20 and li._share(1 << 20, 64) == 1 << 16
+    rnd = np.random.default_rng(4)
+    counts = {f"l{i}": rnd.integers(0, 50, li.BUCKETS + li.N_SCRIPTS).astype(float) for i in range(9)}
+    model = li.LanguageModel(counts)
+    text = " ".join("".join(rnd.choice(list("abcdefgh"), 5)) for _ in range(400))
+    whole = list(li._predict(model, [text]))
+    monkeypatch.setattr(li, "PIECE", 64)
+    assert list(li._predict(model, [text])) == whole
