@@ -2,11 +2,11 @@
 
 A file-source stream (explicit schema, checkpointed offsets) sees only files it has
 not processed; ``trigger(availableNow=True)`` turns a run into "process everything
-new, then stop". For each micro-batch the touched partition values are taken from
-the new rows, those partitions are re-read *whole* from the raw folder (a partition
-can receive files in several landings) and written with a dynamic partition
-overwrite. Re-running with nothing new is a no-op. The checkpoint lives in the
-shared folder, so a restarted driver resumes where the last run stopped.
+new, then stop". The stream itself carries the partition column alone, which comes from
+folder names. For each micro-batch the touched partitions' folders are re-read *whole* (a
+partition can receive files in several landings), nothing else is listed, and they are
+written with a dynamic partition overwrite. Re-running with nothing new is a no-op. The
+checkpoint lives in the shared folder, so a restarted driver resumes where the last run stopped.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeweave.functions.paths import hive_path
 from lakeweave.sinks.tables import Lakehouse
 
 
@@ -35,22 +35,18 @@ def incremental_partition_refresh(
 ) -> DataFrame:
     """Run once over everything landed since the last run, then stop.
 
-    ``max_files_per_trigger`` bounds each micro-batch (a large backlog is processed in
-    several batches, each rebuilding only the partitions its files touch).
+    ``raw_path`` holds ``partition_col=value`` folders. ``max_files_per_trigger`` bounds each
+    micro-batch (a large backlog is processed in several batches, each rebuilding only the
+    partitions its files touch).
     """
 
     def refresh(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        # distinct partition values of this batch: bounded by the partition count
-        touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
+        # folder names to list: at most one per file of the batch
+        touched = [hive_path(raw_path, keys={partition_col: r[0]}) for r in batch.distinct().toLocalIterator()]
         if not touched:
             return
-        whole = (
-            session.read.schema(schema)
-            .option("basePath", raw_path)
-            .parquet(raw_path)
-            .filter(F.col(partition_col).isin(touched))
-        )
+        whole = session.read.schema(schema).option("basePath", raw_path).parquet(*touched)
         target = Lakehouse(session, lh.root, lh.namespace)
         target.insert_overwrite(layer, table, transform(whole), [partition_col], order_by)
 
@@ -59,6 +55,7 @@ def incremental_partition_refresh(
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     q = (
         reader.parquet(raw_path)
+        .select(partition_col)
         .writeStream.foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
