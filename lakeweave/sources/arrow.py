@@ -1,12 +1,18 @@
-"""Arrow IPC files: no built-in Spark reader, so list the files as a DataFrame and let
-each task open its own files with pyarrow (``mapInArrow``). Nothing passes through the
-driver except, when no schema is declared, the schema of one file."""
+"""Arrow IPC files: no built-in Spark reader, so list the files as a DataFrame, split
+them into runs of record batches and let each task read its runs with pyarrow
+(``mapInArrow``). Nothing passes through the driver except the files' total size and, when
+no schema is declared, the schema of one file."""
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+RUN = 16  # record batches read together
+TASK_BYTES = 128 << 20
+
 
 def arrow_filesystem(uri: str):
     """pyarrow filesystem + path for a Hadoop-style URI (``s3a://``/``s3n://`` are
@@ -31,25 +37,45 @@ def _open(path: str):
         return pa.ipc.open_stream(f)
 
 
-def _file_batches(paths_iter):
+def _ranges(paths_iter):
+    """(path, first, last) of every run of ``RUN`` record batches; a stream-format file is one run."""
+    import pyarrow as pa
+
     for batch in paths_iter:
         for path in batch.column("path").to_pylist():
-            reader = _open(path)
-            if hasattr(reader, "num_record_batches"):
-                for i in range(reader.num_record_batches):
-                    yield reader.get_batch(i)
-            else:
-                yield from reader
+            n = getattr(_open(path), "num_record_batches", None)
+            first = list(range(0, n, RUN)) if n is not None else [0]
+            last = [min(i + RUN, n) if n is not None else -1 for i in first]
+            yield pa.record_batch([pa.array([path] * len(first), pa.string()), pa.array(first, pa.int64()), pa.array(last, pa.int64())], ["path", "first", "last"])
+
+
+def _range_batches(names: list[str]):
+    def read(ranges):
+        for batch in ranges:
+            for r in batch.to_pylist():
+                reader = _open(r["path"])
+                found = reader.schema.names
+                if sorted(found) != sorted(names):
+                    raise ValueError(f"{r['path']} has columns {found}, not {names}")
+                batches = (reader.get_batch(i) for i in range(r["first"], r["last"])) if r["last"] >= 0 else reader
+                for b in batches:
+                    yield b.select(names)
+
+    return read
 
 
 def read_arrow_files(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    # binaryFile only reads file bodies when `content` is selected; here only paths are.
-    paths = spark.read.format("binaryFile").load(path).select("path")
+    """Rows of all Arrow files under ``path``; every file must have the columns of ``schema``
+    (by default the schema of one file). A file is read in runs of record batches by several tasks."""
+    # binaryFile only reads file bodies when `content` is selected; here only names and sizes are.
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    paths = files.select("path")
     if schema is None:
         schema = _infer_schema(paths)
-    # One task per file group; files are opened where the task runs.
-    n = max(1, spark.sparkContext.defaultParallelism)
-    return paths.repartition(n, "path").mapInArrow(_file_batches, schema)
+    size = files.agg({"length": "sum"}).first()[0] or 0
+    n = max(1, spark.sparkContext.defaultParallelism, ceil(size / TASK_BYTES))
+    ranges = paths.repartition(n).mapInArrow(_ranges, "path string, first long, last long")
+    return ranges.repartition(n).mapInArrow(_range_batches(schema.names), schema)
 
 
 def _infer_schema(paths: DataFrame) -> T.StructType:

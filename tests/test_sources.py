@@ -121,6 +121,40 @@ def test_arrow_round_trip(spark, tmp_root):
     assert out.agg({"x": "sum"}).first()[0] == sum(i * 2.0 for i in range(1000))
 
 
+def test_arrow_rewrite_leaves_no_old_rows_and_keeps_an_empty_schema(spark, tmp_root):
+    spec = SourceSpec("a", FileFormat.ARROW, "a", None, full_refresh=True)
+    rows = spark.range(100).selectExpr("id", "cast(id AS string) AS s")
+    write_files(rows.repartition(4), FileFormat.ARROW, f"{tmp_root}/a")
+    write_files(rows.where("id < 10").coalesce(1), FileFormat.ARROW, f"{tmp_root}/a")
+    assert sorted(r.id for r in read_source(spark, spec, tmp_root).collect()) == list(range(10))
+    write_files(rows.where("id < 0"), FileFormat.ARROW, f"{tmp_root}/a")
+    out = read_source(spark, spec, tmp_root)
+    assert out.columns == ["id", "s"] and out.count() == 0
+    with pytest.raises(ValueError):
+        write_files(rows, FileFormat.ARROW, f"{tmp_root}/b", ["s"])
+
+
+def test_arrow_files_are_read_in_runs_and_must_agree(spark, tmp_root):
+    import os
+
+    import pyarrow as pa
+
+    os.makedirs(f"{tmp_root}/a")
+    kind = pa.schema([("id", pa.int64()), ("s", pa.string())])
+    with pa.ipc.new_file(f"{tmp_root}/a/x.arrow", kind) as w:  # 40 record batches: three runs
+        for i in range(40):
+            w.write_batch(pa.record_batch([pa.array([i]), pa.array([str(i)])], schema=kind))
+    with pa.ipc.new_stream(f"{tmp_root}/a/y.arrow", kind) as w:
+        w.write_batch(pa.record_batch([pa.array([40]), pa.array([None], pa.string())], schema=kind))
+    spec = SourceSpec("a", FileFormat.ARROW, "a", None, full_refresh=True)
+    assert sorted(r.id for r in read_source(spark, spec, tmp_root).collect()) == list(range(41))
+    other = pa.schema([("id", pa.int64())])
+    with pa.ipc.new_file(f"{tmp_root}/a/z.arrow", other) as w:
+        w.write_batch(pa.record_batch([pa.array([41])], schema=other))
+    with pytest.raises(Exception, match="has columns"):
+        read_source(spark, SourceSpec("a", FileFormat.ARROW, "a", (ColumnSpec("id", "bigint"), ColumnSpec("s")), full_refresh=True), tmp_root, ingested_at=RUN).collect()
+
+
 def test_avro_gives_clear_error(spark, tmp_root):
     spec = SourceSpec("a", FileFormat.AVRO, "a", None, full_refresh=True)
     with pytest.raises(Exception) as caught:
