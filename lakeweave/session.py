@@ -48,14 +48,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **extra
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session. Only when it is unset (a bare local test session) a
-    folder under /tmp is chosen and registered as the checkpoint dir, so that
-    ``DataFrame.checkpoint()`` and our staged writes land in the same place.
+    Read from the session. Only in a local session, where it may be unset, a folder
+    under /tmp is chosen and registered as the checkpoint dir, so that
+    ``DataFrame.checkpoint()`` and our staged writes land in the same place; on a cluster a
+    missing setting raises, as no machine's own folder is shared.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         import tempfile
 
         root = tempfile.mkdtemp(prefix="lakeweave-ckpt-")
