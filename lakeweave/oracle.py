@@ -261,6 +261,10 @@ RAW_OBS_COLS = '"ID", "DATE", "DATA_VALUE", "M_FLAG", "Q_FLAG", "S_FLAG", "OBS_T
 ORACLE["src_parquet_hive"] = _with(RAW_OBS) + f"SELECT {RAW_OBS_COLS} FROM raw_obs"
 ORACLE["part_prune"] = _with(RAW_OBS) + f'SELECT {RAW_OBS_COLS} FROM raw_obs WHERE "YEAR" = 1997'
 ORACLE["src_fixed_width"] = _with(RAW_STATIONS) + f"SELECT *, {RUN_TS_SQL} FROM raw_stations"
+ORACLE["src_expression"] = _with(RAW_STATIONS) + (
+    "SELECT station_id AS id, round(round(CAST(trim(elevation) AS DOUBLE), 9), 6) AS elevation, "
+    f"gsn_flag = 'GSN' AS in_network, {RUN_TS_SQL} FROM raw_stations"
+)
 ORACLE["src_regexp"] = _with(RAW_COUNTRIES) + f"SELECT code, name, {RUN_TS_SQL} FROM raw_countries"
 for _k in ("src_csv", "src_csv_header", "src_tsv", "src_json_lines"):
     ORACLE[_k] = _with(RAW_OBS) + f"SELECT {RAW_OBS_COLS}, {RUN_TS_SQL} FROM raw_obs"
@@ -271,6 +275,8 @@ ORACLE["src_seed"] = _with(SEEDS) + "SELECT flag_type, id, description FROM seed
 # ---- loads and partitions ----------------------------------------------------------
 ORACLE["sink_full_refresh"] = ORACLE["cleansed_stations"]
 ORACLE["sink_full_refresh_schema"] = "SELECT o_orderkey, o_custkey FROM orders"
+ORACLE["sink_view"] = "SELECT s_suppkey AS id, trim(s_name) AS name FROM supplier"
+ORACLE["sink_copy"] = "SELECT o_orderkey, o_custkey FROM orders"
 ORACLE["sink_partition_replace"] = _with(RAW_OBS) + (
     f'SELECT {RAW_OBS_COLS} FROM raw_obs WHERE NOT ("YEAR" = 1997 AND "Q_FLAG" IS NOT NULL)'
 )
@@ -448,6 +454,45 @@ ORACLE["sem_order_limit"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
     'ORDER BY "count" DESC, station_id ASC LIMIT 10'
 )
 
+ORACLE["sem_date_range"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
+    'SELECT measure, count(*) AS "count" FROM cu_obs '
+    "WHERE observation_date BETWEEN DATE '1996-03-01' AND DATE '1997-06-30' GROUP BY measure"
+)
+ORACLE["sem_filter_hidden_measure"] = _with(*SY_CHAIN) + (
+    'SELECT country_name, count(*) AS "count" FROM cu_sy GROUP BY country_name HAVING sum(observation_count) > 2000'
+)
+ORACLE["sem_order_time"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
+    "SELECT strftime(CAST(date_trunc('month', observation_date) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f') "
+    'AS observation_date_month, count(*) AS "count" FROM cu_obs GROUP BY 1 ORDER BY 1 DESC LIMIT 12'
+)
+_ST_WHERE = {
+    "notequals": "country_id IS NULL OR country_id NOT IN ('01', '05')",
+    "contains": "lower(state_name) LIKE '%ri%' OR lower(state_name) LIKE '%si%'",
+    "notcontains": "state_name IS NULL OR NOT (lower(state_name) LIKE '%ri%' OR lower(state_name) LIKE '%si%')",
+    "startswith": "state_name LIKE 'A%'",
+    "endswith": "state_name LIKE '%A' OR state_name LIKE '%T'",
+    "set": "state_name IS NOT NULL",
+    "notset": "state_name IS NULL",
+}
+for _k, _w in _ST_WHERE.items():
+    _by = "state_name" if _k.endswith(("contains", "with")) else "country_name"
+    ORACLE[f"sem_op_{_k}"] = _with(*STATIONS_CHAIN) + (
+        f'SELECT {_by}, count(*) AS "count" FROM cu_stations WHERE {_w} GROUP BY {_by}'
+    )
+for _k, _w in {"gte": ">= 300", "lt": "< 300", "lte": "<= 300"}.items():
+    ORACLE[f"sem_op_{_k}"] = _with(*SY_CHAIN) + (
+        f'SELECT country_name, count(*) AS "count" FROM cu_sy GROUP BY country_name HAVING count(*) {_w}'
+    )
+_OBS_WHERE = {
+    "indaterange": "BETWEEN DATE '1996-03-01' AND DATE '1997-06-30'",
+    "beforedate": "< DATE '1996-03-01'",
+    "afterdate": "> DATE '1997-06-30'",
+}
+for _k, _w in _OBS_WHERE.items():
+    ORACLE[f"sem_op_{_k}"] = _with(*STATIONS_CHAIN, *OBS_CHAIN, CU_OBS) + (
+        f'SELECT measure, count(*) AS "count" FROM cu_obs WHERE observation_date {_w} GROUP BY measure'
+    )
+
 # ---- incremental stream ----------------------------------------------------------------
 ORACLE["stream_incremental_cleanse"] = (
     "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, trim(event_type) AS event_type, "

@@ -38,6 +38,28 @@ def sink_full_refresh_schema(spark, d):
     return lh.table("raw", "orders")
 
 
+@register("sink_view")
+def sink_view(spark, d):
+    """A view over raw.suppliers, made before the table is refreshed: it shows the new rows."""
+    lh = Lakehouse.scratch(spark)
+    suppliers = bindings.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    lh.full_refresh("raw", "suppliers", suppliers.where("s_nationkey < 5"))
+    lh.view("cleansed", "suppliers", "raw", "suppliers", "s_suppkey AS id, trim(s_name) AS name")
+    lh.full_refresh("raw", "suppliers", suppliers)
+    return lh.table("cleansed", "suppliers")
+
+
+@register("sink_copy")
+def sink_copy(spark, d):
+    """raw.orders copied with its rows; a second copy finds the target and leaves it alone."""
+    lh = Lakehouse.scratch(spark)
+    orders = bindings.table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    lh.full_refresh("raw", "orders", orders)
+    lh.copy_table("raw", "orders", "curated", "orders")
+    lh.full_refresh("raw", "orders", orders.where("o_custkey < 10"))
+    return lh.copy_table("raw", "orders", "curated", "orders")
+
+
 @register("sink_partition_replace")
 def sink_partition_replace(spark, d):
     """raw.observations loaded, then YEAR=1997 replaced (twice) by its QC-passing rows:

@@ -93,3 +93,68 @@ def sem_order_limit(spark, d):
             "limit": 10,
         }
     )
+
+
+@register("sem_date_range")
+def sem_date_range(spark, d):
+    """A date range without a granularity filters and adds no column; the last day is included."""
+    return service(spark, d).query(
+        {
+            "measures": [f"{OBS}.count"],
+            "dimensions": [f"{OBS}.measure"],
+            "timeDimensions": [{"dimension": f"{OBS}.observation_date", "dateRange": ["1996-03-01", "1997-06-30"]}],
+        }
+    )
+
+
+@register("sem_filter_hidden_measure")
+def sem_filter_hidden_measure(spark, d):
+    """A measure that is filtered on and not selected."""
+    return service(spark, d).query(
+        {
+            "measures": [f"{SY}.count"],
+            "dimensions": [f"{SY}.country_name"],
+            "filters": [{"member": f"{SY}.observation_count", "operator": "gt", "values": [2000]}],
+        }
+    )
+
+
+@register("sem_order_time")
+def sem_order_time(spark, d):
+    """The last twelve months with observations, latest first."""
+    return service(spark, d).query(
+        {
+            "measures": [f"{OBS}.count"],
+            "timeDimensions": [{"dimension": f"{OBS}.observation_date", "granularity": "month"}],
+            "order": {f"{OBS}.observation_date": "desc"},
+            "limit": 12,
+        }
+    )
+
+
+#: Filter operator -> (cube, member, values, dimension to group by).
+OPERATOR_CASES = {
+    "notEquals": (ST, "country_id", ["01", "05"], "country_name"),
+    "contains": (ST, "state_name", ["ri", "SI"], "state_name"),
+    "notContains": (ST, "state_name", ["ri", "SI"], "state_name"),
+    "startsWith": (ST, "state_name", ["A"], "state_name"),
+    "endsWith": (ST, "state_name", ["A", "T"], "state_name"),
+    "set": (ST, "state_name", [], "country_name"),
+    "notSet": (ST, "state_name", [], "country_name"),
+    "gte": (SY, "count", [300], "country_name"),
+    "lt": (SY, "count", [300], "country_name"),
+    "lte": (SY, "count", [300], "country_name"),
+    "inDateRange": (OBS, "observation_date", ["1996-03-01", "1997-06-30"], "measure"),
+    "beforeDate": (OBS, "observation_date", ["1996-03-01"], "measure"),
+    "afterDate": (OBS, "observation_date", ["1997-06-30"], "measure"),
+}
+
+
+def _operator_key(operator: str, cube: str, member: str, values: list, by: str) -> None:
+    condition = {"member": f"{cube}.{member}", "operator": operator, "values": values}
+    asked = {"measures": [f"{cube}.count"], "dimensions": [f"{cube}.{by}"], "filters": [condition]}
+    register(f"sem_op_{operator.lower()}")(lambda spark, d: service(spark, d).query(asked))
+
+
+for _operator, _case in OPERATOR_CASES.items():
+    _operator_key(_operator, *_case)

@@ -81,6 +81,20 @@ def src_fixed_width(spark, d):
     return read_source(spark, STATIONS_SPEC, root, ingested_at=RUN_TS)
 
 
+@register("src_expression")
+def src_expression(spark, d):
+    """Columns given as SQL over the whole line; a byte slice is one on the line's bytes."""
+    root = fresh_dir(spark, "src-expression")
+    write_files(bindings.station_lines(spark, d), FileFormat.LINE_AS_STRING, f"{root}/stations")
+    columns = (
+        ColumnSpec("id", expression="decode(substring(encode(line, 'UTF-8'), 1, 11), 'UTF-8')"),
+        ColumnSpec("elevation", "double", expression="cast(trim(substring(line, 32, 6)) AS double)"),
+        ColumnSpec("in_network", "boolean", expression="substring(line, 73, 3) = 'GSN'"),
+    )
+    spec = SourceSpec("stations", FileFormat.LINE_AS_STRING, "stations/", columns, full_refresh=True)
+    return read_source(spark, spec, root, ingested_at=RUN_TS)
+
+
 @register("src_regexp")
 def src_regexp(spark, d):
     root = fresh_dir(spark, "src-regexp")
