@@ -4,7 +4,8 @@ Fixed masks pick 5 of up to 8 neighbouring tokens and ignore the others; the has
 document's and of a benchmark item's tokens under the same mask are joined, and each hit is
 verified on its diagonal: the aligned tokens must hold a stretch of at least ``MIN_TOKENS``
 tokens (or the whole item, if it has fewer) of which ``SIMILARITY`` or more are equal. A
-stretch of 10 with any two substitutions is hit by a mask (tested exhaustively). Tokens are runs
+stretch of 10 to 19 tokens, 80% or more equal, is hit by a mask wherever the substitutions are (tested
+exhaustively); a longer one can be cut into two of which one is as equal. Tokens are runs
 of letters and digits, lower-cased, so punctuation and case don't matter.
 
 Scale: one map-only pass over the documents. The items travel to the tasks in blocks of at
@@ -116,20 +117,26 @@ class Benchmark:
         for item, diagonal in self._hits(ids):
             own = self.items[item]
             low, high = max(0, -diagonal), min(len(own), len(ids) - diagonal)
+            if high - low < min(MIN_TOKENS, len(own)):
+                continue
             equal = own[low:high] == ids[low + diagonal : high + diagonal]
             start, n, same = best_stretch(equal)
-            if n >= min(MIN_TOKENS, len(own)) and same >= SIMILARITY * n:
+            if same >= SIMILARITY * n:
                 row = (same, n, -(start + low + diagonal))
                 best[item] = max(best.get(item, row), row)
         return [(item, -at, n, same) for item, (same, n, at) in sorted(best.items())]
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
-    """(start, length, equals) of the stretch with the most equals minus four times the differences."""
+    """(start, length, equals) of the best stretch of ``MIN_TOKENS`` tokens or more (all, if there are fewer).
+
+    The best has the most equals minus four times the differences: 0 or more where any stretch is 80% equal.
+    """
+    least = min(MIN_TOKENS, len(equal))
     gain = np.r_[0, np.cumsum(np.where(equal, 1, -4))]
-    floor = np.minimum.accumulate(gain)
-    end = int((gain - floor).argmax())
-    start = int(gain[: end + 1].argmin())
+    floor = np.minimum.accumulate(gain[: len(gain) - least])
+    last = int((gain[least:] - floor).argmax())
+    start, end = int(gain[: last + 1].argmin()), last + least
     return start, end - start, int(equal[start:end].sum())
 
 

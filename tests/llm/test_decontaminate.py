@@ -97,3 +97,53 @@ def test_repeated_items_are_one_item_with_a_count(spark):
     assert [len(b.items) for b in dc.benchmark_blocks(items)] == [2]
     rows = dc.find_leaks(docs, items).groupBy("doc_id", "item_id").count().collect()
     assert sorted(map(tuple, rows)) == [(1, 7, 300), (1, 8, 1)]
+
+
+def every_stretch(doc, item):
+    """Whether any stretch of any diagonal, of 10 tokens or the whole item at least, is 80% equal: all starts and lengths."""
+    least = min(10, len(item))
+    for diagonal in range(-len(item) + 1, len(doc)):
+        low, high = max(0, -diagonal), min(len(item), len(doc) - diagonal)
+        equal = [item[i] == doc[i + diagonal] for i in range(low, high)]
+        for start in range(len(equal)):
+            for n in range(least, len(equal) - start + 1):
+                if 5 * sum(equal[start : start + n]) >= 4 * n:
+                    return True
+    return False
+
+
+def test_masks_hit_every_stretch_the_rule_admits():
+    for n in range(10, 20):  # a longer stretch falls into two of 10 or more, one of them as equal
+        for k in range(n // 5 + 1):
+            for holes in itertools.combinations(range(n), k):
+                assert any(all(s + p not in holes for p in mask) for mask in dc.MASKS for s in range(n - mask[-1])), (n, holes)
+
+
+def test_the_whole_rule_by_brute_force():
+    rnd = random.Random(12)
+    copies = [(50, range(4, 50, 5)), (50, range(2, 50, 5)), (10, [5]), (13, [3]), (10, [0, 9]), (10, [1, 4, 8]), (15, [4, 9, 14])]
+    copies += [(n, rnd.sample(range(n), rnd.randint(0, n // 4 + 1))) for n in rnd.choices(range(10, 45), k=150)]
+    some = 0
+    for n, changed in copies:
+        item = [f"t{i}" for i in range(n)]
+        part = [f"new{i}" if i in set(changed) else w for i, w in enumerate(item)]
+        text = ["a", "b", *part[rnd.choice([0, 0, 3]) :], "c"]
+        found = dc.Benchmark([(1, " ".join(item))]).overlaps(" ".join(text))
+        assert bool(found) == every_stretch(text, item), (n, sorted(changed))
+        for _, start, tokens, same in found:
+            shift = next(i - int(w[1:]) for i, w in enumerate(text) if w[0] == "t")
+            equal = [text[i] == f"t{i - shift}" for i in range(start, start + tokens)]
+            assert tokens >= 10 and same == sum(equal) and 5 * same >= 4 * tokens
+        some += bool(found)
+    assert 20 < some < len(copies)
+
+
+def test_leaked_rows_at_the_edge_of_the_rule(spark):
+    item = [f"w{i}" for i in range(50)]
+    fifth = " ".join(f"x{i}" if i % 5 == 4 else w for i, w in enumerate(item))
+    docs = spark.createDataFrame([(1, fifth), (2, fifth.replace("w1 ", "y ").replace("w48", "y"))], "doc_id long, text string")
+    docs = docs.union(spark.createDataFrame([(3, " ".join(f"z{i}" for i in range(60)))], "doc_id long, text string"))
+    items = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
+    rows = {r["doc_id"]: r for r in dc.find_leaks(docs, items).collect()}
+    assert set(rows) == {1, 2} and all(r["similarity"] >= 0.8 and r["n_tokens"] >= 10 for r in rows.values())
+    assert [r["doc_id"] for r in dc.drop_leaks(docs, items).collect()] == [3]
