@@ -1,16 +1,17 @@
 """Approximate nearest neighbours by inner product: one navigable small-world graph per shard.
 
 Equal vectors are one node that keeps its ``k + 1`` smallest ids (no query can need more), so a
-vector that very many rows share costs one node. Nodes are dealt to shards by a hash of the vector. Inner
-product becomes cosine by one extra component (the root of the largest squared norm minus the own
-squared norm), so the graph works on one sphere. A shard's graph is a few flat neighbour
+vector that very many rows share costs one node. Nodes are dealt to shards by their norm's power of
+ten and a hash of the vector. Inner product becomes cosine by one extra component (the root of the shard's
+largest squared norm minus the own squared norm), so a shard's graph works on one sphere; norms of a
+shard differ by a factor of ten at most, so single precision tells its nodes apart, however long others are. A shard's graph is a few flat neighbour
 arrays: level 0 links every node, each higher level a random ``1 / M`` of the level below. Levels are
 built from the top; nodes enter in batches that are searched together, neighbours are
 chosen for diversity, and reverse links are pruned the same way.
 
 A query descends the levels of every shard, explores ``ef`` nodes at level 0, and the best are
 scored again in double precision on the original vectors; shard results are merged by a
-windowed top-k. Queries travel in blocks to each shard by an equi-join on the shard number.
+windowed top-k. Queries travel in blocks to each shard by an equi-join on the shard's keys.
 
 Defined results: vectors that are null, zero or hold a null or non-finite component, and rows without
 id, take no part; a repeated row counts once; only vectors of equal length meet. A query with
@@ -162,10 +163,11 @@ def search(vectors: np.ndarray, levels, q: np.ndarray, ef: int) -> np.ndarray:
     return beam(vectors, levels[0][1], q, entry, ef)[0]
 
 
-def _lift(vectors: np.ndarray, largest: float) -> np.ndarray:
-    """Append the component that puts every vector on the sphere of the largest norm."""
-    rest = np.sqrt(np.maximum(0, largest * largest - (vectors * vectors).sum(axis=1)))
-    return (np.column_stack([vectors, rest]) / largest).astype(np.float32)
+def _lift(vectors: np.ndarray) -> np.ndarray:
+    """Append the component that puts every vector on the sphere of the largest norm; scaled before squaring."""
+    scaled = vectors / np.abs(vectors).max()
+    square = (scaled * scaled).sum(axis=1)
+    return (np.column_stack([scaled, np.sqrt(square.max() - square)]) / np.sqrt(square.max())).astype(np.float32)
 
 
 def _pack(levels) -> tuple[list[bytes], list[bytes]]:
@@ -183,7 +185,7 @@ def _unpack(n: int, nodes: list[bytes], links: list[bytes]):
     return levels
 
 
-_INDEX = "dim int, shard int, largest double, vectors binary, ids array<array<long>>, nodes array<binary>, links array<binary>"
+_INDEX = "dim int, band int, shard int, vectors binary, ids array<array<long>>, nodes array<binary>, links array<binary>"
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -191,14 +193,14 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
 
 
 def _build_shard(table: pa.Table) -> pa.Table:
-    dim, shard, largest = (table.column(c)[0].as_py() for c in ("dim", "shard", "largest"))
+    dim, band, shard = (table.column(c)[0].as_py() for c in ("dim", "band", "shard"))
     vectors = _matrix(table.column("v"), dim)
     ids = table.column("ids").to_pylist()
     order = sorted(range(len(ids)), key=lambda i: ids[i])
     vectors, ids = vectors[order], [ids[i] for i in order]
-    nodes, links = _pack(build(_lift(vectors, largest)))
-    row = [[dim], [shard], [largest], [vectors.astype("<f8").tobytes()], [ids], [nodes], [links]]
-    kinds = [pa.int32(), pa.int32(), pa.float64(), pa.binary(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.binary()), pa.list_(pa.binary())]
+    nodes, links = _pack(build(_lift(vectors)))
+    row = [[dim], [band], [shard], [vectors.astype("<f8").tobytes()], [ids], [nodes], [links]]
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.binary()), pa.list_(pa.binary())]
     return pa.table([pa.array(v, t) for v, t in zip(row, kinds)], names=[c.split()[0] for c in _INDEX.split(", ")])
 
 
@@ -207,14 +209,15 @@ def _search_shards(k: int, ef: int):
         for batch in batches:
             get = {c: batch.column(c) for c in batch.schema.names}
             for i in range(batch.num_rows):
-                dim, largest = get["dim"][i].as_py(), get["largest"][i].as_py()
+                dim = get["dim"][i].as_py()
                 vectors = np.frombuffer(get["vectors"][i].as_buffer(), "<f8").reshape(-1, dim)
                 members = get["ids"][i].as_py()
                 levels = _unpack(len(vectors), get["nodes"][i].as_py(), get["links"][i].as_py())
                 asked = np.array(get["query_ids"][i].as_py(), np.int64)
                 q = np.array(get["queries"][i].as_py(), float).reshape(-1, dim)
-                lifted, length = _lift(vectors, largest), np.sqrt((q * q).sum(axis=1, keepdims=True))
-                flat = np.column_stack([q / length, np.zeros(len(q))]).astype(np.float32)
+                lifted, scaled = _lift(vectors), q / np.abs(q).max(axis=1, keepdims=True)
+                length = np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
+                flat = np.column_stack([scaled / length, np.zeros(len(q))]).astype(np.float32)
                 out: list[tuple[int, int, float]] = []
                 for a in range(0, len(q), _BATCH):
                     found = search(lifted, levels, flat[a : a + _BATCH], ef)
@@ -246,18 +249,20 @@ def _valid(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def build_index(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", keep: int = 21, shard_nodes: int = SHARD_NODES) -> DataFrame:
-    """The saved index: one row per (dim, shard) of flat arrays. ``keep`` ids are kept for each distinct vector."""
+    """The saved index: one row per (dim, band of norms, shard) of flat arrays. ``keep`` ids are kept for each distinct vector."""
     valid = _valid(rows, id_col, vector_col)
     w = Window.partitionBy("dim", "v").orderBy("id")
     ranked = valid.distinct().withColumn("r", F.row_number().over(w)).where(F.col("r") <= keep)
-    nodes = save(ranked.groupBy("dim", "v").agg(F.sort_array(F.collect_list("id")).alias("ids")), "ann-nodes")
-    norm = F.expr("sqrt(aggregate(v, 0D, (s, x) -> s + x * x))")
-    dims = nodes.groupBy("dim").agg(F.count("*").alias("n"), F.max(norm).alias("largest"))
-    dims = dims.withColumn("shards", F.expr(f"cast(ceil(n / {shard_nodes}) AS int)"))
-    total = dims.agg(F.sum("shards")).first()[0] or 1
-    dealt = nodes.join(dims, "dim").withColumn("shard", F.expr("cast(pmod(xxhash64(v), shards) AS int)"))
-    parts = dealt.select("dim", "shard", "largest", "v", "ids").repartition(int(total), "dim", "shard")
-    return save(parts.groupBy("dim", "shard").applyInArrow(_build_shard, _INDEX), "ann-index")
+    nodes = ranked.groupBy("dim", "v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    nodes = nodes.withColumn("big", F.expr("array_max(transform(v, x -> abs(x)))"))
+    power = "log10(big) + log10(aggregate(v, 0D, (s, x) -> s + (x / big) * (x / big))) / 2"  # of the norm
+    nodes = save(nodes.withColumn("band", F.expr(f"cast(round({power}) AS int)")).drop("big"), "ann-nodes")
+    bands = nodes.groupBy("dim", "band").agg(F.count("*").alias("n"))
+    bands = bands.withColumn("shards", F.expr(f"cast(ceil(n / {shard_nodes}) AS int)"))
+    total = bands.agg(F.sum("shards")).first()[0] or 1
+    dealt = nodes.join(bands, ["dim", "band"]).withColumn("shard", F.expr("cast(pmod(xxhash64(v), shards) AS int)"))
+    parts = dealt.select("dim", "band", "shard", "v", "ids").repartition(int(total), "dim", "band", "shard")
+    return save(parts.groupBy("dim", "band", "shard").applyInArrow(_build_shard, _INDEX), "ann-index")
 
 
 def nearest(
@@ -277,11 +282,12 @@ def nearest(
     queries = queries.join(blocks, "dim").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) AS int)"))
     queries = queries.groupBy("dim", "block").agg(F.collect_list(F.struct("id", "v")).alias("q"))
     queries = queries.select("dim", "block", F.col("q.id").alias("query_ids"), F.flatten("q.v").alias("queries"))
-    shards = index.select("dim", "shard").groupBy("dim").agg(F.collect_list("shard").alias("shards"))
-    asked = queries.join(shards, "dim").withColumn("shard", F.explode("shards")).drop("shards")
+    shards = index.groupBy("dim").agg(F.collect_list(F.struct("band", "shard")).alias("shards"))
+    asked = queries.join(shards, "dim").withColumn("s", F.explode("shards")).drop("shards").select("*", "s.*").drop("s")
     tasks = max(1, index.count())
-    pairs = index.repartition(tasks, "dim", "shard").join(asked.repartition(tasks, "dim", "shard"), ["dim", "shard"])
-    found = pairs.drop("shard", "block").mapInArrow(_search_shards(k, ef), "query_id long, vec_id long, score double")
+    key = ["dim", "band", "shard"]
+    pairs = index.repartition(tasks, *key).join(asked.repartition(tasks, *key), key)
+    found = pairs.drop("band", "shard", "block").mapInArrow(_search_shards(k, ef), "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     best = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")

@@ -63,3 +63,27 @@ def test_copies_ties_and_unusable_rows(spark):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.nearest(frame, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_a_few_very_long_vectors(spark):
+    rnd = np.random.default_rng(8)
+    v = rnd.normal(0, 1, (3000, 64))
+    v /= np.sqrt((v * v).sum(axis=1, keepdims=True))
+    v[[30, 601, 1202, 1803]] *= [[1e3], [1e4], [1e5], [1e6]]
+    v[[31, 602]] *= [[1e-3], [1e-6]]
+    rows = [(int(i), x.tolist()) for i, x in enumerate(v)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(frame, F.col("vec_id") % 30 == 0).collect()
+    exact = brute_force([(i, np.array(x)) for i, x in rows], set(range(0, 3000, 30)))
+    found = {}
+    for r in got:
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert np.mean([len(found[q] & {i for i, _ in exact[q]}) / 20 for q in exact]) >= 0.95
+
+
+def test_norms_beyond_the_squares_of_doubles(spark):
+    rows = [(i, [f, f * i / 100]) for i, f in enumerate([1e300, 1e160, 1.0, 1e-160, 1e-170, 1e-300])] + [(20, [1.0, 0.5])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(ann.nearest(frame, F.col("vec_id") == 20).collect(), key=lambda r: r["rank"])
+    assert [r["vec_id"] for r in got] == [0, 1, 2, 3, 4, 5]
+    assert len(ann.nearest(frame, F.col("vec_id") == 4).collect()) == 6
