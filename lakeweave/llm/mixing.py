@@ -187,14 +187,9 @@ def _leading(text: pa.Array, words: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, **options) -> DataFrame:
-    """The mix itself: a row for each pass of each taken document, with ``_shard`` and ``_place`` in front.
-
-    Sorted by (_shard, _place) over range partitions; a cut document's text ends with its
-    last taken word. The other columns are those of ``docs``.
-    """
-    draws = draw(docs, id_col, text_col, source_col, seed=seed, **options).where("taken > 0")
-    drawn = draws.select("source_key", "place", F.coalesce("name", F.lit("")).alias("name"), "copy", "size", F.explode("draws").alias("d"))
+def _shard_rows(docs: DataFrame, draws: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """The rows of the mix, sorted by (shard, place) over range partitions: shard, place, entry (key and copy) and doc."""
+    drawn = draws.where("taken > 0").select("source_key", "place", F.coalesce("name", F.lit("")).alias("name"), "copy", "size", F.explode("draws").alias("d"))
     key = ["source_key", "place", "name"]
     drawn = drawn.groupBy(*key).agg(F.collect_list(F.struct("copy", "size", "d")).alias("takes"))
     source_key, place, name = _keys(id_col, text_col, source_col, seed)
@@ -203,6 +198,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.select(
         F.col("take.d.shard").alias("shard"),
         F.xxhash64(F.lit(seed + 1), "place", "name", "take.copy", "take.d.pass").alias("place"),
+        F.struct(*key, "take.copy").alias("entry"),
         "doc",
         F.col("take.d.words").alias("words"),
         (F.col("take.d.words") < F.col("take.size")).alias("cut"),
@@ -210,5 +206,35 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     text = F.col(f"doc.{text_col}")
     short = _leading(F.when(F.col("cut"), text.cast("binary")), "words")
     rows = rows.withColumn("doc", F.col("doc").withField(text_col, F.when(F.col("cut"), short).otherwise(text)))
-    rows = rows.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
+    return rows.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, **options) -> DataFrame:
+    """The mix itself: a row for each pass of each taken document, with ``_shard`` and ``_place`` in front.
+
+    Sorted by (_shard, _place) over range partitions; a cut document's text ends with its
+    last taken word. The other columns are those of ``docs``.
+    """
+    draws = draw(docs, id_col, text_col, source_col, seed=seed, **options)
+    rows = _shard_rows(docs, draws, id_col, text_col, source_col, seed)
     return rows.select(F.col("shard").alias("_shard"), F.col("place").alias("_place"), "doc.*")
+
+
+def mixed_words(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    shards: int = SHARDS,
+    seed: int = SEED,
+    **options,
+) -> DataFrame:
+    """One row per document row: doc_id, size, source_size, target and taken, its words counted in the shards of the mix."""
+    draws = draw(docs, id_col, text_col, source_col, shards, seed=seed, **options)
+    rows = _shard_rows(docs, draws, id_col, text_col, source_col, seed).where(F.col("shard").between(0, shards - 1))
+    key = ["source_key", "place", "name", "copy"]
+    taken = rows.select("entry.*", word_count(F.col(f"doc.{text_col}")).alias("words")).groupBy(*key).agg(F.sum("words").alias("taken"))
+    asked = draws.drop("taken", "draws").withColumn("name", F.coalesce("name", F.lit("")))
+    return asked.join(taken, key, "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
+    )

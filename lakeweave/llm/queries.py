@@ -57,8 +57,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    drawn = mixing.draw(table(spark, sf_dir, "documents"))
-    return drawn.select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mixed_words(table(spark, sf_dir, "documents"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

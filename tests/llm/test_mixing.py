@@ -84,3 +84,19 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert mixing.draw(no_docs).count() == 0 and mixing.mix(no_docs).count() == 0
     blank = edge_docs.where("doc_id IN (1, 2, 3)")
     assert mixing.mix(blank).count() == 0 and mixing.draw(blank).count() == 3
+
+
+def test_query_counts_the_words_of_the_mixed_shards(spark, monkeypatch):
+    words = mixing.word_count(F.col("text"))
+    mixed = mixing.mix(spark.read.parquet(f"{SF_CHECK}/documents.parquet")).groupBy("doc_id").agg(F.sum(words)).collect()
+    rows = op7_mixing(spark, SF_CHECK).collect()
+    assert {r["doc_id"]: r["taken"] for r in rows if r["taken"]} == dict(map(tuple, mixed))
+    monkeypatch.setattr(mixing, "split_quotas", lambda quotas, shards, seed: np.zeros((shards, len(quotas)), np.int64))
+    assert op7_mixing(spark, SF_CHECK).agg(F.sum("taken")).first()[0] == 0  # without the tree no row is in a shard
+
+
+def test_mixed_words_of_edge_rows(spark, edge_docs, no_docs):
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    drawn = mixing.draw(edge_docs).select(*columns).collect()
+    assert sorted(map(str, mixing.mixed_words(edge_docs).select(*columns).collect())) == sorted(map(str, drawn))
+    assert mixing.mixed_words(no_docs).count() == 0
