@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, language_id, mixing, quality, secret_scan, simhash, token_count, token_files, warc
+from . import ann, decontaminate, language_id, mixing, periodic_runs, quality, secret_scan, simhash, token_count, token_files, warc
 from .common import table
 
 #: The vocabulary folder is a parameter; nothing of it is kept here.
@@ -75,6 +75,22 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(periodic_runs.plant(table(spark, sf_dir, "documents")))
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    best = F.expr("array_min(transform(runs, r -> struct(-r.length AS less, r.start AS start, r.period AS period)))")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(-1000 * best.less) div best.period").alias("exponent_milli"),
+        F.sha2(F.expr(lines).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_simhash,
@@ -87,5 +103,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality,
         op9_ann,
         op10_decontaminate,
+        op11_periodic_runs,
     ]
     return {f.__name__: f for f in found}
