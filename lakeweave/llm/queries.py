@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, language_id, mixing, periodic_runs, quality, secret_scan, simhash, token_count, token_files, warc
+from . import (
+    ann,
+    collocations,
+    decontaminate,
+    embedding_dedup,
+    language_id,
+    mixing,
+    periodic_runs,
+    quality,
+    secret_scan,
+    simhash,
+    token_count,
+    token_files,
+    warc,
+)
 from .common import table
 
 #: The vocabulary folder is a parameter; nothing of it is kept here.
@@ -91,6 +105,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_simhash,
@@ -104,5 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_ann,
         op10_decontaminate,
         op11_periodic_runs,
+        op12_embedding_dedup,
+        op13_collocations,
     ]
     return {f.__name__: f for f in found}
