@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from lakeweave.llm import collocations, queries
@@ -74,20 +75,50 @@ def test_partitions_that_cut_a_hot_word(spark, monkeypatch, max_words):
 
 def test_counts_do_not_depend_on_flushes(monkeypatch):
     text = b"a b c, A b. c\nc c c c " * 50
-    def count(tokens, size):
+    everything = np.full(64, 255, np.uint8)
+
+    def count(tokens, size, fn):
         monkeypatch.setattr(collocations, "_TOKENS", tokens)
-        counter, total = collocations._Counter(3), Counter()
-        def take():
-            for phrases, counts in counter.flush():
-                total.update(dict(zip(phrases.to_pylist(), counts.tolist())))
+        counter, total = collocations._Counter("en", 3), Counter()
         for _ in range(3):
             for part in collocations._windows(text, size):
                 if counter.full(part):
-                    take()
+                    fn(counter, total)
                 counter.add(part)
-        take()
+        fn(counter, total)
         return total
-    assert count(1 << 22, 1 << 20) == count(3, 5) == count(1, 1)
+
+    def phrases(counter, total):
+        for batch in counter.phrase_counts("en", everything):
+            for _, phrase, n in zip(*(c.to_pylist() for c in batch.columns)):
+                total[phrase] += n
+
+    def hashes(counter, total):
+        for batch in counter.hash_counts():
+            for h, n in zip(*(c.to_pylist() for c in batch.columns)):
+                total[h] += n
+
+    for fn in (phrases, hashes):
+        assert count(1 << 22, 1 << 20, fn) == count(3, 5, fn) == count(1, 1, fn)
+
+
+def test_the_bitmap_loses_no_frequent_phrase(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bitmap = collocations.frequent_bitmap(docs, "lang", "text", 10)
+    rows = docs.select("lang", "text").collect()
+    set_bits = int(np.unpackbits(bitmap).sum())
+    assert 0 < set_bits < 0.2 * 8 * len(bitmap)
+    got = phrase_counts(docs).groupBy("lang", "phrase").agg({"n": "sum"}).collect()
+    pairs = {(r.lang, bytes(r.phrase).decode()): r["sum(n)"] for r in got}
+    for lang in {r.lang for r in rows}:
+        every = Counter()
+        for r in rows:
+            if r.lang == lang:
+                for piece in re.split(r"[.,;:!?\x0A-\x0D]", (r.text or "").translate(LOWER)):
+                    w = re.findall(r"[^\x20\x09]+", piece)
+                    every.update(" ".join(p) for p in zip(w, w[1:]))
+        for phrase, n in every.items():
+            assert pairs.get((lang, phrase), n if n < 10 else None) == n
 
 
 def test_scores_are_exact_beyond_64_bits(spark):
