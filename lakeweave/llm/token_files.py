@@ -24,6 +24,8 @@ import json
 import re
 import struct
 import zlib
+from array import array
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -135,68 +137,72 @@ class Codes:
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _NUMBER = "0-9²³¹¼-¾"
 _SPACE = "\t-\r \u0085 "
-_SPLIT = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+_SPLIT = re.compile(  # alternatives that start with unlike characters come in order of frequency
+    f" ?[{_LETTER}]+| ?[{_NUMBER}]+|'(?:[stmd]|re|ve|ll)| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 _BEYOND = re.compile("[^\\x00-ɏ]")
 
 
+# Printable bytes stand for themselves in the byte-level alphabet, the others follow from U+0100 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_ALPHABET = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+class _Words(dict):
+    """Ids of pre-tokenized words, in two generations: words that are met again move to the new one."""
+
+    def __init__(self, model):
+        self.model, self.older = model, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            if word.isascii() and word.isprintable():
+                own = word.replace(" ", _ALPHABET[0x20])
+            else:
+                own = word.encode().decode("latin-1").translate(_ALPHABET)
+            ids = array("I", [t.id for t in self.model.tokenize(own)]).tobytes()
+        self[word] = ids
+        return ids
+
+    def turn(self, most: int) -> None:
+        if len(self) >= most:
+            self.older = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Ids by the ``tokenizers`` library, with a bounded cache of pre-tokenized words.
 
-    A byte-level tokenizer encodes each word on its own, so the library needs to see a word only
+    A byte-level tokenizer encodes each word on its own, so its model needs to see a word only
     once. Texts with characters beyond U+024F or with an added token's string, and all texts of other
     tokenizers, are encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.cache = Tokenizer.from_file(path), cache
         spec = json.loads(self.tokenizer.to_str())
         pre = spec.get("pre_tokenizer") or {}
         self.by_word = (
             pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer")
         )
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words = _Words(self.tokenizer.model)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        encoding = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(encoding.ids, "<u4")
-        ends = np.searchsorted(np.array(encoding.word_ids, np.int64), np.arange(len(words)), side="right")
-        start = 0
-        for word, end in zip(words, ends.tolist()):
-            self.known[word] = ids[start:end].tobytes()
-            start = end
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [
-            _SPLIT.findall(t) if self.by_word and (t.isascii() or not _BEYOND.search(t)) and not any(a in t for a in self.added) else None
-            for t in texts
-        ]
-        if len(self.known) >= CACHE:  # words still in use move to the new generation when they are met
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        found = [words and list(map(known.get, words)) for words in split]
-        new = {w for words, got in zip(split, found) if got and None in got for w, g in zip(words, got) if g is None}
-        known.update({w: older[w] for w in new if w in older})
-        new = [w for w in new if w not in known]
-        if new:
-            self._learn(new)
-        out = []
-        for text, words, got in zip(texts, split, found):
-            if words is None:
-                out.append(self._whole(text))
-            elif got and None in got:
-                out.append(b"".join([known[w] if g is None else g for w, g in zip(words, got)]))
+        self.words.turn(self.cache)
+        get, out = self.words.__getitem__, []
+        for text in texts:
+            if self.by_word and (text.isascii() or not _BEYOND.search(text)) and not any(a in text for a in self.added):
+                out.append(b"".join(map(get, _SPLIT.findall(text))))
             else:
-                out.append(b"".join(got))
+                out.append(self._whole(text))
         return out
 
 
@@ -230,11 +236,18 @@ def write_token_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     shard_ids: int = SHARD_IDS,
+    order: Sequence[str] | None = None,
 ) -> str:
-    """Write the ids of every text, ``end_id`` after each, in ascending id order; returns the path."""
+    """Write the ids of every text, ``end_id`` after each; returns the path.
+
+    Documents come in the order of the columns ``order`` (names or paths such as ``_metadata.row_index``), in ascending
+    id order if none are given.
+    """
     path = path or fresh_dir(docs.sparkSession, "tokens")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    ordered = in_range_order(rows, [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")], "tokens")
+    by = [F.col(c).alias(f"_order{i}") for i, c in enumerate(order or ())]
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *by)
+    keys = [F.col(f"_order{i}") for i in range(len(by))] or [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = in_range_order(rows, keys, "tokens")
     end = np.array([end_id], "<u4").tobytes()
 
     def shards(batches):
