@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -35,6 +36,18 @@ def release() -> None:
         trim(0)
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def windows(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text in pieces of about ``size`` bytes, cut before a space or line break: words stay whole."""
+    at = 0
+    while len(text) - at > size and (cut := _SPACE.search(text, at + size)):
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:] if at else text
+
+
 def per_text(fn: Callable[[bytes], object], out: pa.DataType) -> Callable[[Column], Column]:
     """A column function from text to one value per row; ``fn`` gets UTF-8 bytes, null as empty.
 
@@ -64,6 +77,11 @@ def word_count(text: Column) -> Column:
     return _words(text.cast("binary"))
 
 
+def row_hash(df: DataFrame, seed: int) -> Column:
+    """64-bit hash of all columns of a row: tells rows apart that share an id and a text."""
+    return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns])
+
+
 def in_range_order(df: DataFrame, keys: list[Column], purpose: str) -> DataFrame:
     """``df`` globally sorted by ``keys`` and saved, with its partition number as ``_part``.
 

@@ -5,16 +5,19 @@ document's and of a benchmark item's tokens under the same mask are joined, and
 verified on its diagonal: the aligned tokens must hold a stretch of at least ``MIN_TOKENS``
 tokens (or the whole item, if it has fewer) of which ``SIMILARITY`` or more are equal. A
 stretch of 10 to 19 tokens, 80% or more equal, is hit by a mask wherever the substitutions are (tested
-exhaustively); a longer one can be cut into two of which one is as equal. Tokens are runs
-of letters and digits, lower-cased, so punctuation and case don't matter.
+exhaustively); a longer one can be cut into two of which one is as equal. An item of one to four tokens, too
+short for a mask, is looked up as a whole by a seed of its own length. Tokens are runs of letters and digits, lower-cased, so
+punctuation and case don't matter; in scripts that set no spaces every character is a token.
 
 Scale: one map-only pass over the documents. The items travel to the tasks in blocks of at
 most ``BLOCK_TOKENS`` tokens (the proven bound of what is broadcast); a larger benchmark takes
 one pass per block, and the results are united. Documents are never shuffled.
 
-Defined results: null and empty texts never match; items without a token match nothing, items
-of fewer than 5 tokens match nothing either (no seed fits); repeated documents or items each
-give their own rows; a null item id is kept. Extra columns are ignored or, in ``drop_leaks``, kept.
+Defined results: null and empty texts never match; items without a token match nothing; repeated documents or items each
+give their own rows; item ids of any type, null too, are kept. Of several stretches of one item that with the most equal tokens is
+reported, then the longer one, then the first. An empty table on either side gives no rows. Very long texts are cut into
+tokens a window of 1 MB at a time and hold four bytes a token. Extra columns are ignored or, in ``drop_leaks``, kept.
+A one-word item matches every document with that word: leave such items out of the benchmark.
 """
 
 from __future__ import annotations
@@ -26,15 +29,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import release, save
+from .common import release, save, windows
 
 # Places of the five tokens that each mask keeps.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 3, 6, 7))
 MIN_TOKENS = 10
 SIMILARITY = 0.8
 BLOCK_TOKENS = 1 << 21
-_TOKEN = re.compile(r"[^\W_]+")
+# Thai, Lao, Myanmar, Khmer, Hiragana and Katakana, and the ideographs.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_TOKEN = re.compile(f"[{_UNSPACED}]|[^\\W_{_UNSPACED}]+")
 _CHUNK = 1 << 20  # tokens hashed, and hits held, at a time
 _SHIFT, _MIDDLE = 40, 1 << 39  # an item and a diagonal in one number
 
@@ -50,7 +56,7 @@ def _seed_hashes(ids: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
         return np.empty(0, np.uint64)
     h, known = np.full(n, mask[-1] * 64 + len(mask), np.uint64), np.ones(n, bool)
     for place in mask:
-        own = ids[place : place + n]
+        own = ids[place : place + n].astype(np.uint64)
         known &= own > 0
         h = (h ^ own) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(31)
@@ -67,16 +73,19 @@ def _distinct(held: list[np.ndarray]):
 class Benchmark:
     """Seed index of one block of items."""
 
-    def __init__(self, items: list[tuple[int | None, str]], copies: list[int] | None = None):
+    def __init__(self, items: list[tuple[object, str]], copies: list[int] | None = None):
         """Items as (id, text), each standing for so many equal rows."""
         texts = [tokens(t or "") for _, t in items]
         self.item_ids = [i for i, _ in items]
         self.copies = np.array(copies or [1] * len(items), np.int64)
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for t in texts for w in t}), 1)}
-        self.items = [np.array([self.vocabulary[w] for w in t], np.uint64) for t in texts]
+        self.items = [np.array([self.vocabulary[w] for w in t], np.uint32) for t in texts]
         self.seeds = []
-        for mask in MASKS:
-            hashes = [_seed_hashes(ids, mask) for ids in self.items]
+        lengths = {len(t) for t in texts if 0 < len(t) < len(MASKS[0])}
+        self.masks = [*(m for m in MASKS if any(len(t) >= len(MASKS[0]) for t in texts)), *(tuple(range(n)) for n in sorted(lengths))]
+        for mask in self.masks:
+            fits = [len(ids) >= len(mask) if len(mask) == len(MASKS[0]) else len(ids) == len(mask) for ids in self.items]
+            hashes = [_seed_hashes(ids if fit else ids[:0], mask) for ids, fit in zip(self.items, fits)]
             key = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
             item = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
             place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.empty(0, np.int64)
@@ -91,10 +100,11 @@ class Benchmark:
         Pairs are gathered and made distinct ``_CHUNK`` at a time, so a passage that many items and
         many places of the document share takes bounded memory.
         """
-        if np.count_nonzero(ids) < len(MASKS[0]):
-            return
+        known = np.count_nonzero(ids)
         held: list[np.ndarray] = []
-        for mask, (key, item, place, sieve) in zip(MASKS, self.seeds):
+        for mask, (key, item, place, sieve) in zip(self.masks, self.seeds):
+            if known < len(mask):
+                continue
             for offset in range(0, len(ids), _CHUNK):
                 h = _seed_hashes(ids[offset : offset + _CHUNK + mask[-1]], mask)
                 at = np.flatnonzero(sieve[(h >> np.uint64(44)).astype(np.int64)] & (h != 0))
@@ -109,10 +119,11 @@ class Benchmark:
                         held = []
         yield from _distinct(held)
 
-    def overlaps(self, text: str) -> list[tuple[int, int, int, int]]:
+    def overlaps(self, text: str | bytes) -> list[tuple[int, int, int, int]]:
         """(item number, first token, tokens, equal tokens) of the best stretch per item, where it is long enough."""
         get = self.vocabulary.get
-        ids = np.array([get(w, 0) for w in tokens(text)], np.uint64)
+        parts = (tokens(part.decode("utf-8", "replace")) for part in windows(text.encode() if isinstance(text, str) else text))
+        ids = np.concatenate([np.fromiter((get(w, 0) for w in own), np.uint32, len(own)) for own in parts])
         best: dict[int, tuple[int, int, int]] = {}
         for item, diagonal in self._hits(ids):
             own = self.items[item]
@@ -155,15 +166,15 @@ def benchmark_blocks(benchmark: DataFrame, block_tokens: int = BLOCK_TOKENS):
         yield Benchmark([(r["item_id"], r["text"]) for r in rows], [r["copies"] for r in rows])
 
 
-def _decode(x) -> str:
-    return bytes(x.as_buffer()).decode("utf-8", "replace") if x.is_valid else ""
+def _bytes(x) -> bytes:
+    return x.as_buffer().to_pybytes() if x.is_valid else b""
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """One row per document and leaked item: doc_id, item_id, first_token, n_tokens, n_equal, similarity."""
     ids = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     kind = ids.schema["doc_id"].dataType.simpleString()
-    item_type = benchmark.schema["item_id"].dataType.simpleString()
+    item_type = benchmark.schema["item_id"].dataType
     names = ["doc_id", "item_id", "first_token", "n_tokens", "n_equal", "similarity"]
     out = None
     for block in benchmark_blocks(benchmark, block_tokens):
@@ -172,11 +183,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         def match(batches, shared=shared):
             b = shared.value
             for batch in batches:
-                rows = [(d, *o) for d, x in enumerate(batch.column("text")) for o in b.overlaps(_decode(x))]
+                rows = [(d, *o) for d, x in enumerate(batch.column("text")) for o in b.overlaps(_bytes(x))]
                 d, item, start, n, same = (np.array(c, np.int64) for c in zip(*rows)) if rows else [np.empty(0, np.int64)] * 5
                 columns = [
                     batch.column("doc_id").take(pa.array(d)),
-                    pa.array([b.item_ids[i] for i in item.tolist()]).cast(pa.int64()),
+                    pa.array([b.item_ids[i] for i in item.tolist()], to_arrow_type(item_type)),
                     *(pa.array(c) for c in (start, n, same)),
                     pa.array(same / np.maximum(n, 1)),
                     pa.array(b.copies[item]),
@@ -184,8 +195,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 yield pa.RecordBatch.from_arrays(columns, [*names, "copies"])
 
         rows = ids.mapInArrow(
-            match, f"doc_id {kind}, item_id long, first_token long, n_tokens long, n_equal long, similarity double, copies long"
-        ).withColumn("item_id", F.col("item_id").cast(item_type))
+            match,
+            f"doc_id {kind}, item_id {item_type.simpleString()}, first_token long, n_tokens long, n_equal long, similarity double, copies long",
+        )
         rows = rows.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).select(*names)
         out = rows if out is None else out.union(rows)
     return out
@@ -194,7 +206,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 def _leaks(block) -> Column:
     @F.arrow_udf("boolean")
     def leaks(column: pa.Array) -> pa.Array:
-        found = pa.array([bool(block.value.overlaps(_decode(x))) for x in column], pa.bool_())
+        found = pa.array([bool(block.value.overlaps(_bytes(x))) for x in column], pa.bool_())
         release()
         return found
 
