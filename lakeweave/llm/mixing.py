@@ -15,11 +15,14 @@ after a word; so taken words equal the target rounded to a word.
 
 Defined results: null text has no words; documents without words are never taken; a
 null source is a source of its own; rows that repeat id, source and text are separate
-documents. With no words at all nothing is taken. Extra columns travel along.
+documents, whether other columns differ or not. With no words at all nothing is taken; an empty table gives no
+rows. Extra columns travel along. Of a very long text only the words are counted, in the task that reads it.
 
 Scale: sizes and hashes are sorted by range, so a hot source spreads over all partitions;
-running sums use per-partition totals. The driver holds one row per source and the tree of
-sources x shards quotas, never documents; texts are shuffled only to join the draws.
+running sums use per-partition totals, to which the per-source figures are joined before the stream meets
+them. Fully equal rows are one entry for every ``CHUNK`` copies, so a row that is repeated very often is spread too.
+The driver holds one row per source and the tree of sources x shards quotas, never documents; texts are
+shuffled only to join the draws. Blocks are made larger where there would be more than 10^9 of them.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_range_order, save, word_count
+from .common import in_range_order, row_hash, save, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -40,6 +43,7 @@ MAX_PASSES = 2
 SHARDS = 64
 BLOCK_WORDS = 1 << 14
 SEED = 20
+CHUNK = 256  # copies of a row that travel together
 _MOST_BLOCKS = 10**9  # the hypergeometric generator's limit
 
 
@@ -104,15 +108,25 @@ def _running(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before, pa.int64())], [*batch.schema.names, "before"])
 
 
-def _keys(id_col: str, text_col: str, source_col: str, seed: int) -> list[Column]:
+_KEY = ["source_key", "place", "name", "row"]
+
+
+def _keys(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> list[Column]:
+    """The columns of ``_KEY``: rows that agree in them are equal in all columns."""
     source = F.col(source_col).cast("string")
     return [
         F.coalesce(F.concat(F.lit("="), source), F.lit("~")).alias("source_key"),  # null sorts last
         F.xxhash64(F.lit(seed), F.col(id_col), source, F.col(text_col)).alias("place"),
-        F.col(id_col).cast("string").alias("name"),
+        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("name"),
+        row_hash(docs, seed).alias("row"),
     ]
 
 
+def _chunks(copies: str) -> Column:
+    """The numbers of the chunks that so many copies make."""
+    return F.explode(F.expr(f"sequence(0L, ({copies} - 1) div {CHUNK})"))
+
+
 def draw(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -122,17 +136,18 @@ def draw(
     block_words: int = BLOCK_WORDS,
     seed: int = SEED,
 ) -> DataFrame:
-    """One row per document row: its keys, size, source_size, target, taken and draws.
+    """One row per document row: its keys, copy, size, source_size, target, taken and draws.
 
     ``draws`` is an array of (pass, shard, words): how many leading words of the document each pass
     takes, and the output shard they go to.
     """
     spark = docs.sparkSession
-    sized = docs.select(F.col(id_col).alias("doc_id"), *_keys(id_col, text_col, source_col, seed), word_count(F.col(text_col)).alias("size"))
-    entries = sized.groupBy("source_key", "place", "name", "doc_id", "size").agg(F.count("*").alias("copies"))
+    keys = _keys(docs, id_col, text_col, source_col, seed)
+    sized = docs.select(F.col(id_col).alias("doc_id"), *keys, word_count(F.col(text_col)).alias("size"))
+    entries = sized.groupBy(*_KEY, "doc_id", "size").agg(F.count("*").alias("copies")).withColumn("chunk", _chunks("copies"))
+    entries = entries.withColumn("copies", F.expr(f"least(copies - chunk * {CHUNK}, {CHUNK}L)"))
     entries = entries.withColumn("words", F.col("size") * F.col("copies"))
-    order = [F.col("source_key"), F.col("place"), F.col("name")]
-    entries = in_range_order(entries, order, "mix")
+    entries = in_range_order(entries, [F.col(c) for c in (*_KEY, "chunk")], "mix")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in entries.schema)
     stream = save(entries.mapInArrow(_running, f"{kinds}, before long"), "mix-stream")
 
@@ -154,11 +169,13 @@ def draw(
     sources = spark.createDataFrame(
         sources, "source_key string, source_size long, target double, goal long, quota long, step long, bounds array<long>"
     )
+    # a row per source and partition takes the source's figures, so that the stream meets no row per source
+    figures = parts.select("source_key", "_part", "carry").join(sources, "source_key")
     placed = (
-        stream.join(parts.select("source_key", "_part", "carry"), ["source_key", "_part"])
-        .join(sources, "source_key")
-        .withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)")))
-        .withColumn("start", F.expr("carry + before + copy * size"))
+        stream.join(figures, ["source_key", "_part"])
+        .withColumn("i", F.explode(F.expr("sequence(0L, copies - 1)")))
+        .withColumn("copy", F.expr(f"chunk * {CHUNK} + i"))
+        .withColumn("start", F.expr("carry + before + i * size"))
     )
     words = "least(size, goal - p * source_size - start)"
     block = f"((p * source_size + start) div {block_words} * step + {seed}) % quota"
@@ -169,9 +186,7 @@ def draw(
     )
     placed = placed.withColumn("draws", draws)
     taken = F.expr("aggregate(draws, 0L, (n, d) -> n + d.words)")
-    return placed.select(
-        "doc_id", "source_key", "place", "name", "copy", "size", "source_size", "target", taken.alias("taken"), "draws"
-    )
+    return placed.select("doc_id", *_KEY, "chunk", "copy", "size", "source_size", "target", taken.alias("taken"), "draws")
 
 
 @F.arrow_udf(T.StringType())
@@ -188,17 +203,18 @@ def _leading(text: pa.Array, words: pa.Array) -> pa.Array:
 
 
 def _shard_rows(docs: DataFrame, draws: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    """The rows of the mix, sorted by (shard, place) over range partitions: shard, place, entry (key and copy) and doc."""
-    drawn = draws.where("taken > 0").select("source_key", "place", F.coalesce("name", F.lit("")).alias("name"), "copy", "size", F.explode("draws").alias("d"))
-    key = ["source_key", "place", "name"]
-    drawn = drawn.groupBy(*key).agg(F.collect_list(F.struct("copy", "size", "d")).alias("takes"))
-    source_key, place, name = _keys(id_col, text_col, source_col, seed)
-    rows = docs.select(source_key, place, F.coalesce(name, F.lit("")).alias("name"), F.struct("*").alias("doc"))
-    rows = rows.join(drawn, key).dropDuplicates(key).withColumn("take", F.explode("takes"))
+    """The rows of the mix, sorted by (shard, place) over range partitions: shard, place, entry (key and copy), pass and doc."""
+    key = [*_KEY, "chunk"]
+    drawn = draws.where("taken > 0").select(*key, "copy", "size", F.explode("draws").alias("d"))
+    drawn = drawn.groupBy(*key).agg(F.collect_list(F.struct("copy", "size", "d")).alias("takes"))  # CHUNK x MAX_PASSES at most
+    rows = docs.select(*_keys(docs, id_col, text_col, source_col, seed), F.struct("*").alias("doc"))
+    rows = rows.groupBy(*_KEY).agg(F.first("doc").alias("doc"), F.count("*").alias("copies")).withColumn("chunk", _chunks("copies"))
+    rows = rows.join(drawn, key).withColumn("take", F.explode("takes"))
     rows = rows.select(
         F.col("take.d.shard").alias("shard"),
-        F.xxhash64(F.lit(seed + 1), "place", "name", "take.copy", "take.d.pass").alias("place"),
-        F.struct(*key, "take.copy").alias("entry"),
+        F.xxhash64(F.lit(seed + 1), "place", "name", "row", "take.copy", "take.d.pass").alias("place"),
+        F.struct(*_KEY, "take.copy").alias("entry"),
+        F.col("take.d.pass").alias("pass"),
         "doc",
         F.col("take.d.words").alias("words"),
         (F.col("take.d.words") < F.col("take.size")).alias("cut"),
@@ -229,12 +245,22 @@ def mixed_words(
     seed: int = SEED,
     **options,
 ) -> DataFrame:
-    """One row per document row: doc_id, size, source_size, target and taken, its words counted in the shards of the mix."""
+    """One row per document row: doc_id, size, source_size, target, taken (its words in the shards of the mix) and shards.
+
+    ``shards`` lists where the mix puts it, as ``pass:shard`` in order of the passes, comma-joined; null where it isn't taken.
+    """
     draws = draw(docs, id_col, text_col, source_col, shards, seed=seed, **options)
-    rows = _shard_rows(docs, draws, id_col, text_col, source_col, seed).where(F.col("shard").between(0, shards - 1))
-    key = ["source_key", "place", "name", "copy"]
-    taken = rows.select("entry.*", word_count(F.col(f"doc.{text_col}")).alias("words")).groupBy(*key).agg(F.sum("words").alias("taken"))
-    asked = draws.drop("taken", "draws").withColumn("name", F.coalesce("name", F.lit("")))
+    rows = _shard_rows(docs, draws, id_col, text_col, source_col, seed)
+    key = [*_KEY, "copy"]
+    rows = rows.select("entry.*", "pass", "shard", word_count(F.col(f"doc.{text_col}")).alias("words"))
+    where = F.sort_array(F.collect_list(F.struct("pass", "shard")))  # MAX_PASSES at most
+    taken = rows.groupBy(*key).agg(F.sum("words").alias("taken"), where.alias("takes"))
+    asked = draws.drop("taken", "draws")
     return asked.join(taken, key, "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
+        F.expr("array_join(transform(takes, t -> concat(t.pass, ':', t.shard)), ',')").alias("shards"),
     )

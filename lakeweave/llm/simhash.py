@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, per_text, runs, save
+from .common import connected_components, per_text, row_hash, runs, save
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -161,25 +161,20 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """Rows of ``docs`` with one document of each component left: the smallest id (null last).
 
-    Rows that repeat the kept row's id and text are dropped too. Columns are unchanged.
+    Of several rows with that id the one whose columns hash lowest stays, so reruns agree; rows
+    equal to the kept one in all columns are dropped too. Columns are unchanged.
     """
-    row = [F.xxhash64(id_col, text_col), F.coalesce(F.col(id_col).cast("string"), F.lit(""))]
+    row = [row_hash(docs, 1).alias("__row"), row_hash(docs, 2).alias("__more")]
     prints = save(
-        docs.select(
-            F.col(id_col).cast("long").alias("id"),
-            row[0].alias("row"),
-            row[1].alias("name"),
-            fingerprint(F.col(text_col), shingle).alias("fp"),
-        ),
-        "simhash-prints",
+        docs.select(F.col(id_col).cast("long").alias("id"), *row, fingerprint(F.col(text_col), shingle).alias("fp")), "simhash-prints"
     )
     found = components(prints).select("fp", "root")
     kept = (
         prints.join(found, "fp")
         .groupBy("root")
-        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "name")).alias("k"))
-        .select(F.col("k.row").alias("__row"), F.col("k.name").alias("__name"))
+        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "__row", "__more")).alias("k"))
+        .select("k.__row", "k.__more")
     )
-    marked = docs.select(row[0].alias("__row"), row[1].alias("__name"), F.struct("*").alias("__doc"))
-    rows = marked.join(kept, ["__row", "__name"]).dropDuplicates(["__row", "__name"])
+    marked = docs.select(*row, F.struct("*").alias("__doc"))
+    rows = marked.join(kept, ["__row", "__more"]).dropDuplicates(["__row", "__more"])
     return rows.select("__doc.*")

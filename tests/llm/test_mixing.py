@@ -86,13 +86,54 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert mixing.mix(blank).count() == 0 and mixing.draw(blank).count() == 3
 
 
-def test_query_counts_the_words_of_the_mixed_shards(spark, monkeypatch):
-    words = mixing.word_count(F.col("text"))
-    mixed = mixing.mix(spark.read.parquet(f"{SF_CHECK}/documents.parquet")).groupBy("doc_id").agg(F.sum(words)).collect()
-    rows = op7_mixing(spark, SF_CHECK).collect()
-    assert {r["doc_id"]: r["taken"] for r in rows if r["taken"]} == dict(map(tuple, mixed))
-    monkeypatch.setattr(mixing, "split_quotas", lambda quotas, shards, seed: np.zeros((shards, len(quotas)), np.int64))
-    assert op7_mixing(spark, SF_CHECK).agg(F.sum("taken")).first()[0] == 0  # without the tree no row is in a shard
+def plain_taken(docs):
+    """(doc_id -> words) taken from each source's stream in hash order, one document after another."""
+    out, per = {}, {}
+    for r in sorted(docs, key=lambda r: (r["source"], r["place"])):
+        per.setdefault(r["source"], []).append((r["doc_id"], len((r["text"] or "").encode().split())))
+    names = sorted(per)
+    sizes = [sum(n for _, n in per[s]) for s in names]
+    for source, target in zip(names, plain_targets(sizes)):
+        left = round(target)
+        for _ in range(2):
+            for doc, n in per[source]:
+                out[doc] = out.get(doc, 0) + min(n, left)
+                left -= min(n, left)
+    return out
+
+
+def test_query_counts_the_words_of_the_mixed_shards(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    place = F.xxhash64(F.lit(mixing.SEED), "doc_id", "source", "text").alias("place")
+    want = plain_taken(docs.select("doc_id", "source", "text", place).collect())
+    assert {r["doc_id"]: r["taken"] for r in op7_mixing(spark, SF_CHECK).collect()} == want
+
+
+def test_another_tree_gives_other_shards_and_the_same_words(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    rows = mixing.mixed_words(docs, block_words=300).collect()
+    where = {(r["doc_id"], take) for r in rows for take in (r["shards"] or "").split(",") if take}
+    mixed = mixing.mix(docs, block_words=300).groupBy("_shard").count().collect()
+    assert {int(take.split(":")[1]) for _, take in where} == {r["_shard"] for r in mixed} and len(mixed) > 50
+    assert len(where) == sum(r["count"] for r in mixed)
+    real = mixing.split_quotas
+    monkeypatch.setattr(mixing, "split_quotas", lambda quotas, shards, seed: real(quotas, shards, seed + 5))
+    other = mixing.mixed_words(docs, block_words=300).collect()
+    assert {r["doc_id"]: r["taken"] for r in other} == {r["doc_id"]: r["taken"] for r in rows}
+    assert {r["doc_id"]: r["shards"] for r in other} != {r["doc_id"]: r["shards"] for r in rows}
+
+
+def test_rows_that_differ_in_other_columns_are_separate(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 4)
+    rows = [(1, "a b c", "s", lang) for lang in ("en", "de")] + [(2, "x y", "s", "fr")] * 11 + [(3, "q " * 90, "t", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    mixed = mixing.mix(docs)
+    got = sorted((r.doc_id, r.lang) for r in mixed.collect())
+    words = {r.doc_id: (r.taken, r["size"]) for r in mixing.mixed_words(docs).collect()}
+    assert got.count((1, "en")) == got.count((1, "de")) == 2 and got.count((2, "fr")) == 22
+    assert words[1] == (6, 3) and words[2] == (4, 2)
+    draws = mixing.draw(docs).where("doc_id = 2").collect()
+    assert sorted(r["copy"] for r in draws) == list(range(11)) and {r["chunk"] for r in draws} == {0, 1, 2}
 
 
 def test_mixed_words_of_edge_rows(spark, edge_docs, no_docs):

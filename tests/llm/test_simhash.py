@@ -99,3 +99,10 @@ def test_keep_one(spark, edge_docs, no_docs):
     assert simhash.keep_one(no_docs).count() == 0
     null_ids = edge_docs.withColumn("doc_id", F.lit(None).cast("long"))
     assert simhash.keep_one(null_ids).count() == 6
+
+
+def test_keep_one_keeps_the_same_row_every_time(spark):
+    rows = [(1, "a b c d e", lang, i) for i, lang in enumerate(("en", "de", "fr", "es"))] * 2 + [(2, "a b c d e", "en", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, extra int")
+    kept = {tuple(r) for p in (1, 3, 8) for r in simhash.keep_one(docs.repartition(p)).collect()}
+    assert len(kept) == 1 and kept.pop() in set(rows[:4])
