@@ -5,7 +5,8 @@ quality classifier -> SimHash near-dedup -> benchmark decontamination -> mixing
 Every stage reads the whole table its predecessor wrote and all but the last return the
 columns of documents. A row is dropped by the quality classifier (score under 0.5), as a near copy
 (the smallest doc_id of each group stays), for a leaked benchmark passage, or by the mix, which also
-repeats rows and cuts the last document of each source's quota. The last stage returns one row per mixed document from
+repeats rows and cuts the last document of each source's quota. The mix leaves its rows by shard, shuffled inside, and the
+token files keep that order, so each holds the mix of sources. The last stage returns one row per mixed document from
 the token files. Nulls, empty texts and empty tables are defined by the operators.
 """
 
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +43,13 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = token_files.write_token_files(docs, TOKENIZER, END_ID)
+    """The mix's order is the order of its rows in the files that the mixing stage left."""
+    order = ["_metadata.file_name", "_metadata.row_index"]
+    try:
+        docs.select(*order)
+    except AnalysisException:  # rows that come from no files: ascending ids
+        order = None
+    path = token_files.write_token_files(docs, TOKENIZER, END_ID, order=order)
     return token_files.read_documents(spark, path)
 
 
