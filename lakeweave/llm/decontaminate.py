@@ -23,6 +23,7 @@ A one-word item matches every document with that word: leave such items out of t
 from __future__ import annotations
 
 import re
+from itertools import repeat
 from math import ceil
 
 import numpy as np
@@ -41,6 +42,8 @@ BLOCK_TOKENS = 1 << 21
 # Thai, Lao, Myanmar, Khmer, Hiragana and Katakana, and the ideographs.
 _UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 _TOKEN = re.compile(f"[{_UNSPACED}]|[^\\W_{_UNSPACED}]+")
+_SPACED_TOKEN = re.compile(r"[^\W_]+")
+_HIGH = re.compile(rb"[\xe0-\xff]")  # first byte of a character from U+0800 on
 _CHUNK = 1 << 20  # tokens hashed, and hits held, at a time
 _SHIFT, _MIDDLE = 40, 1 << 39  # an item and a diagonal in one number
 
@@ -49,6 +52,12 @@ def tokens(text: str) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
+def _tokens_of(part: bytes) -> list[str]:
+    """``tokens`` of UTF-8; texts without a character of an unspaced script, by far the most, take a simpler pattern."""
+    text = part.decode("utf-8", "replace")
+    return tokens(text) if _HIGH.search(part) else _SPACED_TOKEN.findall(text.lower())
+
+
 def _seed_hashes(ids: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     """Hash of the kept tokens at every start; 0 where one of them is unknown (id 0)."""
     n = len(ids) - mask[-1]
@@ -122,8 +131,8 @@ class Benchmark:
     def overlaps(self, text: str | bytes) -> list[tuple[int, int, int, int]]:
         """(item number, first token, tokens, equal tokens) of the best stretch per item, where it is long enough."""
         get = self.vocabulary.get
-        parts = (tokens(part.decode("utf-8", "replace")) for part in windows(text.encode() if isinstance(text, str) else text))
-        ids = np.concatenate([np.fromiter((get(w, 0) for w in own), np.uint32, len(own)) for own in parts])
+        parts = map(_tokens_of, windows(text.encode() if isinstance(text, str) else text))
+        ids = np.concatenate([np.fromiter(map(get, own, repeat(0)), np.uint32, len(own)) for own in parts])
         best: dict[int, tuple[int, int, int]] = {}
         for item, diagonal in self._hits(ids):
             own = self.items[item]
