@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from lakeweave.sources import arrow
 from lakeweave.sources.files import NULL_MARKER
 from lakeweave.specs import FileFormat
 
@@ -32,51 +32,8 @@ def write_files(df: DataFrame, fmt: FileFormat, path: str, partition_by: Sequenc
         w.text(path)
     elif fmt == FileFormat.ARROW:
         if partition_by:
-            raise ValueError("Arrow files are not written by partition")
-        write_arrow_files(df, path)
+            df = df.sortWithinPartitions(*partition_by)  # a task then has one file a folder
+        df.write.format(arrow.register(df.sparkSession)).mode("overwrite").option("partitionBy", ",".join(partition_by)).save(path)
     else:
         raise ValueError(f"cannot write {fmt}")
     return path
-
-
-def write_arrow_files(df: DataFrame, path: str) -> None:
-    """Each task writes its rows as one Arrow IPC file (an empty one too, for its schema).
-
-    Safe under task retries and speculation: the final name depends only on the run and the
-    partition id, each attempt writes to its own temporary name and then moves it into
-    place, so a re-run attempt replaces (never duplicates) its partition's file. When all
-    are written, the files of earlier runs go, so the folder holds ``df`` and nothing else.
-    """
-    from pyarrow.fs import FileSelector
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    from lakeweave.sources.arrow import arrow_filesystem
-
-    target, run, schema = path.rstrip("/"), uuid.uuid4().hex[:12], to_arrow_schema(df.schema)
-
-    def write_part(batches):
-        import pyarrow as pa
-        from pyspark import TaskContext
-
-        ctx = TaskContext.get()
-        pid, attempt = ctx.partitionId(), ctx.attemptNumber()
-        fs, base = arrow_filesystem(target)
-        fs.create_dir(base, recursive=True)
-        final = f"{base}/part-{pid:05d}-{run}.arrow"
-        tmp = f"{base}/_tmp-{pid:05d}-{attempt}-{uuid.uuid4().hex[:8]}.arrow"
-        writer = None
-        with fs.open_output_stream(tmp) as out:
-            for b in batches:
-                if writer is None:
-                    writer = pa.ipc.new_file(out, b.schema)
-                if b.num_rows:
-                    writer.write_batch(b)
-            (writer or pa.ipc.new_file(out, schema)).close()
-        fs.move(tmp, final)
-        yield pa.record_batch([pa.array([pid], pa.int64())], names=["part"])
-
-    df.mapInArrow(write_part, "part long").agg({"part": "count"}).first()
-    fs, base = arrow_filesystem(target)
-    for old in fs.get_file_info(FileSelector(base)):
-        if old.base_name.endswith(".arrow") and run not in old.base_name:
-            fs.delete_file(old.path)

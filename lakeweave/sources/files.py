@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from lakeweave.functions.paths import hive_path
 from lakeweave.functions.text import byte_substring, fixed_width_sql
+from lakeweave.sources import arrow
 from lakeweave.specs import ColumnSpec, FileFormat, SourceSpec
 
 # Settings understood in a spec. Anything else is rejected rather than ignored.
@@ -76,9 +77,9 @@ def _raw_frame(spark: SparkSession, spec: SourceSpec, root: str, path: str) -> D
                 f"Table '{spec.name}': Avro needs the spark-avro data source on the classpath"
             ) from e
     if fmt == FileFormat.ARROW:
-        from lakeweave.sources.arrow import read_arrow_files
-
-        return read_arrow_files(spark, path, _declared_schema(spec))
+        r = r.format(arrow.register(spark))
+        schema = None if spec.partitions else _declared_schema(spec)  # folder columns are found, not declared
+        return (r.schema(schema) if schema else r).load(path)
     if fmt in (FileFormat.CSV, FileFormat.TSV):
         sep = "\t" if fmt == FileFormat.TSV else ","
         return r.schema(_positional_schema(ncols)).csv(

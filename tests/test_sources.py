@@ -130,8 +130,6 @@ def test_arrow_rewrite_leaves_no_old_rows_and_keeps_an_empty_schema(spark, tmp_r
     write_files(rows.where("id < 0"), FileFormat.ARROW, f"{tmp_root}/a")
     out = read_source(spark, spec, tmp_root)
     assert out.columns == ["id", "s"] and out.count() == 0
-    with pytest.raises(ValueError):
-        write_files(rows, FileFormat.ARROW, f"{tmp_root}/b", ["s"])
 
 
 def test_arrow_files_are_read_in_runs_and_must_agree(spark, tmp_root):
@@ -155,6 +153,58 @@ def test_arrow_files_are_read_in_runs_and_must_agree(spark, tmp_root):
         read_source(spark, SourceSpec("a", FileFormat.ARROW, "a", (ColumnSpec("id", "bigint"), ColumnSpec("s")), full_refresh=True), tmp_root, ingested_at=RUN).collect()
 
 
+def test_arrow_folders_and_path_filter(spark, tmp_root):
+    rows = [(i, f"s{i}", [None, "a/b", "c"][i % 3], i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, s string, k string, YEAR int")
+    write_files(df.repartition(3), FileFormat.ARROW, f"{tmp_root}/a", ["YEAR", "k"])
+    with open(f"{tmp_root}/a/YEAR=0/notes.txt", "w") as f:
+        f.write("not Arrow")
+    spec = SourceSpec(
+        "a", FileFormat.ARROW, "a", None, {"use_hive_partitioning": "1", "path_glob": "*.arrow"}, (TimePartition("YEAR", RUN),)
+    )
+    out = read_source(spark, spec, tmp_root)
+    assert dict(out.dtypes) == {"id": "bigint", "s": "string", "YEAR": "int", "k": "string"}
+    assert sorted((r.id, r.s, r.k, r.YEAR) for r in out.collect()) == rows
+    leaf = read_source(spark, SourceSpec("a", FileFormat.ARROW, "", None, spec.settings, spec.partitions), f"{tmp_root}/a", {"YEAR": "1"})
+    assert sorted((r.id, r.YEAR) for r in leaf.collect()) == [(r[0], 1) for r in rows if r[3] == 1]
+    declared = SourceSpec("a", FileFormat.ARROW, "a", (ColumnSpec("id", "string"),), spec.settings, spec.partitions)
+    with pytest.raises(Exception, match="notes.txt|not an Arrow|columns"):
+        read_source(spark, SourceSpec("a", FileFormat.ARROW, "a", None, {}, spec.partitions), tmp_root).collect()
+    assert read_source(spark, declared, tmp_root, ingested_at=RUN).columns == ["id", "YEAR", "ingested_at"]
+
+
+def test_arrow_large_files_are_cut_by_record_batches(spark, tmp_root, monkeypatch):
+    from lakeweave.sources.arrow import ArrowFiles
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        write_files(spark.range(205).coalesce(1), FileFormat.ARROW, f"{tmp_root}/a")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr("lakeweave.sources.arrow.TASK_BYTES", 1000)
+    source = ArrowFiles({"path": f"{tmp_root}/a"})
+    reader = source.reader(source.schema())
+    shares = reader.partitions()
+    assert len(shares) > 3
+    ids = [[i for b in reader.read(s) for i in b.column("id").to_pylist()] for s in shares]
+    assert sum(ids, []) == list(range(205)) and sum(bool(x) for x in ids) > 3
+
+
+def test_arrow_failed_write_leaves_the_old_files(spark, tmp_root):
+    import os
+
+    from pyspark.sql import functions as F
+
+    write_files(spark.range(10), FileFormat.ARROW, f"{tmp_root}/a")
+    before = sorted(os.listdir(f"{tmp_root}/a"))
+    bad = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") == 777, F.raise_error(F.lit("broken row"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="broken row"):
+        write_files(bad, FileFormat.ARROW, f"{tmp_root}/a")
+    assert sorted(os.listdir(f"{tmp_root}/a")) == before
+    spec = SourceSpec("a", FileFormat.ARROW, "a", None, full_refresh=True)
+    assert sorted(r.id for r in read_source(spark, spec, tmp_root).collect()) == list(range(10))
+
+
 def test_avro_gives_clear_error(spark, tmp_root):
     spec = SourceSpec("a", FileFormat.AVRO, "a", None, full_refresh=True)
     with pytest.raises(Exception) as caught:
