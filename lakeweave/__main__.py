@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
 
         lh = Lakehouse(spark, args.root) if args.root else Lakehouse(spark)
         tables = build_all(lh, RawTables(spark, args.tables), DECLARED_CHECKS, fail_fast=args.fail_fast)
-        results = run_suite(tables, DECLARED_CHECKS)
+        results = run_suite(tables, DECLARED_CHECKS, lh.counted)
         for r in results.collect():
             print(f"{r.model:30s} {r.column_name:30s} {r.test:20s} {r.failures}")
         if args.fail_on_checks:
