@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lakeweave.plans.metrics import MetricService
+from lakeweave.plans.metrics import MetricService, Star
 from lakeweave.plans.chain import LayerChain
 from lakeweave.registry import register
 
+STATION_ATTRIBUTES = frozenset(["country_id", "country_name", "state_id"])  # what the model has of the station list
 OBS, SY, ST = "noaa_ghcn_observations", "noaa_ghcn_station_year", "noaa_ghcn_stations"
 
 
@@ -16,7 +17,8 @@ def service(spark, d) -> MetricService:
             "curated.observations": p.curated_observations,
             "curated.station_year": p.station_year,
             "curated.stations": p.curated_stations,
-        }
+        },
+        stars={"curated.observations": Star(p.observations, "station_id", p.curated_stations, "id", STATION_ATTRIBUTES)},
     )
 
 

@@ -1,6 +1,10 @@
+from datetime import datetime
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
-from lakeweave.plans.metrics import CUBES, MetricModel, MetricQuery, MetricService, ValidationError, validate_query
+from lakeweave.plans.metrics import CUBES, MetricModel, MetricQuery, MetricService, Star, ValidationError, validate_query
 
 OBS = "noaa_ghcn_observations"
 SCHEMA = MetricModel(CUBES)
@@ -75,8 +79,15 @@ def test_mixed_boolean_filter_and_cross_cube_rejected(svc):
 def test_describe_and_preview(svc):
     d = svc.describe()
     assert [c["name"] for c in d["cubes"]] == [c.name for c in CUBES]
-    text = svc.preview({"measures": [f"{OBS}.count"], "dimensions": [f"{OBS}.measure"]})
-    assert "Aggregate" in text
+    text, args = svc.preview(
+        {"measures": [f"{OBS}.count"], "dimensions": [f"{OBS}.measure"], "limit": 3,
+         "filters": [{"member": f"{OBS}.country_id", "operator": "equals", "values": ["x'; DROP TABLE t; --"]}]}
+    )
+    assert text.splitlines() == [
+        "SELECT `measure` AS `measure`, count(1) AS `count`", "FROM `curated`.`observations`", "WHERE `country_id` IN (:p0)",
+        "GROUP BY `measure`", "ORDER BY `measure` ASC NULLS FIRST", "LIMIT 3",
+    ]
+    assert args == {"p0": "x'; DROP TABLE t; --"}
 
 
 def test_load_returns_rows_keyed_by_qualified_member(svc):
@@ -138,3 +149,90 @@ def test_order_by_time_dimension_and_within_one_cube(svc):
         svc.query({"measures": [f"{OBS}.count"], "order": {"noaa_ghcn_stations.count": "desc"}})
     with pytest.raises(ValidationError, match="does not select"):
         svc.query({"measures": [f"{OBS}.count"], "order": {f"{OBS}.country_id": "desc"}})
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    """Readings and a station list with a repeated station and a missing one, as a star and as one table."""
+    facts = [
+        (f"S{i % 5}", ["TMAX", "TMIN", None][i % 3], [None, "X"][i % 2], i * 7 % 11 - 3, datetime(2023 + i % 2, 1 + i % 12, 1 + i % 28, i % 24))
+        for i in range(60)
+    ]
+    fact = spark.createDataFrame(
+        facts, "station_id string, measure string, quality_flag string, observation_value int, observed_at timestamp_ntz"
+    ).selectExpr("*", "cast(null AS string) AS measurement_flag", "'F' AS source_flag", "to_date(observed_at) AS observation_date")
+    stations = [("S0", "01", "A", "x"), ("S1", "01", "A", None), ("S2", "02", "B", "x"), ("S2", "02", "C", "y"), ("S3", None, None, "x")]
+    stations = spark.createDataFrame(stations, "id string, country_id string, country_name string, state_id string")
+    joined = fact.join(stations, fact.station_id == stations.id, "left").drop("id").cache()
+    joined.createOrReplaceTempView("joined_observations")
+    one = MetricService({"curated.observations": joined})
+    two = MetricService(
+        {"curated.observations": joined},
+        stars={"curated.observations": Star(fact, "station_id", stations, "id", frozenset(["country_id", "country_name", "state_id"]))},
+    )
+    return one, two
+
+
+_TEXTS = st.sampled_from(["country_id", "country_name", "state_id", "measure", "quality_flag", "station_id"])
+_WORDS = st.lists(st.sampled_from(["01", "02", "A", "x", "X", "TMAX", "S2", "a'b"]), min_size=1, max_size=3)
+_DAYS = st.sampled_from(["2023-03-05", "2024-01-01", "2023-11-30 10:00:00", "2024-12-31"])
+_ON_TEXT = st.builds(
+    lambda m, op, v: {"member": f"{OBS}.{m}", "operator": op, "values": v},
+    _TEXTS, st.sampled_from(["equals", "notEquals", "contains", "notContains", "startsWith", "endsWith", "set", "notSet"]), _WORDS,
+)
+_ON_TIME = st.builds(
+    lambda op, v: {"member": f"{OBS}.observed_at", "operator": op, "values": [v]},
+    st.sampled_from(["gt", "gte", "lt", "lte", "inDateRange", "beforeDate", "afterDate"]), _DAYS,
+)
+_ROWS = st.recursive(
+    st.one_of(_ON_TEXT, _ON_TIME), lambda f: st.builds(lambda g, x: {g: x}, st.sampled_from(["and", "or"]), st.lists(f, min_size=1, max_size=2)), max_leaves=3
+)
+_ON_MEASURE = st.builds(
+    lambda m, op, v: {"member": f"{OBS}.{m}", "operator": op, "values": [v]},
+    st.sampled_from(["count", "observation_value"]), st.sampled_from(["gt", "lte", "equals"]), st.sampled_from([3, 10, "4"]),
+)
+
+
+@st.composite
+def structured(draw):
+    q = {
+        "measures": [f"{OBS}.{m}" for m in draw(st.lists(st.sampled_from(["count", "observation_value"]), unique=True))],
+        "dimensions": [f"{OBS}.{d}" for d in draw(st.lists(_TEXTS, unique=True, max_size=2))],
+        "filters": draw(st.lists(_ROWS, max_size=2)) + (draw(st.lists(_ON_MEASURE, max_size=1))),
+    }
+    if draw(st.booleans()):
+        q["timeDimensions"] = [{"dimension": f"{OBS}.observed_at", "granularity": draw(st.sampled_from(["month", "year", "week"]))}]
+        if draw(st.booleans()):
+            q["timeDimensions"][0]["dateRange"] = draw(st.lists(_DAYS, min_size=1, max_size=2))
+    if not q["measures"] and not q["dimensions"]:
+        q["measures"] = [f"{OBS}.count"]
+    if draw(st.booleans()):
+        q["order"] = {m: draw(st.sampled_from(["asc", "desc"])) for m in (q["measures"] + q["dimensions"])[:1]}
+    if draw(st.booleans()):
+        q["limit"] = draw(st.integers(1, 4))
+    return q
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(structured())
+def test_star_and_sql_text_equal_the_row_level_query(spark, star, q):
+    one, two = star
+    want = one.query(q)
+    text, args = one.preview(q, {"curated.observations": "joined_observations"})
+    rows = want.collect()
+    for got in (two.query(q), spark.sql(text, args=args)):
+        assert got.columns == want.columns and got.dtypes == want.dtypes
+        found = got.collect()
+        assert found == rows if q.get("order") else sorted(map(str, found)) == sorted(map(str, rows))
+
+
+def test_star_joins_a_row_for_each_station_and_not_for_each_reading(spark):
+    from lakeweave.queries.metrics import service
+
+    from .conftest import SF_SMALL
+
+    query = {"measures": [f"{OBS}.count"], "dimensions": [f"{OBS}.country_name"], "order": {f"{OBS}.count": "desc"}, "limit": 3}
+    plan = service(spark, SF_SMALL).query(query)._jdf.queryExecution().optimizedPlan().toString()
+    outer = plan.splitlines()
+    join = next(i for i, line in enumerate(outer) if "Join LeftOuter" in line)
+    assert "Aggregate" in outer[join + 1]  # the left side of the station join is already aggregated
