@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweave.specs import PartitionDef, StaticPartition, TimePartition
@@ -106,9 +106,29 @@ def year_bounds(window: tuple[date, date]) -> tuple[int, int]:
     return window[0].year, window[1].year
 
 
-def missing_keys(expected: DataFrame, present: DataFrame, key: str = "partition_key") -> DataFrame:
+def missing_keys(expected: DataFrame, present: DataFrame, key: str | Sequence[str] = "partition_key") -> DataFrame:
     """Expected keys that have no data yet (backfill list)."""
-    return expected.join(present.select(key).distinct(), key, "left_anti")
+    keys = [key] if isinstance(key, str) else list(key)
+    return expected.join(present.select(*keys).distinct(), keys, "left_anti")
+
+
+def loaded_keys(partitions: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row of text values per loaded partition, from its catalog entry (``Lakehouse.partitions``): no data is read."""
+    value = "split_part(element_at(filter(split(spec, '/'), p -> startswith(p, '{}=')), 1), '=', 2)"
+    return partitions.select(*[F.url_decode(F.expr(value.format(c))).alias(c) for c in columns])
+
+
+def expected_keys(spark: SparkSession, parts: Sequence[PartitionDef], as_of: datetime) -> DataFrame:
+    """Every partition tuple of a table up to the period that holds ``as_of``, one column per partition."""
+    out = spark.range(1).select()
+    for p in parts:
+        if isinstance(p, StaticPartition):
+            keys = F.array(*[F.lit(v) for v in p.values])
+        else:
+            start, end = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (p.start, as_of))
+            keys = time_keys_column(start, end, p.period, p.format, p.weekday)
+        out = out.select("*", F.explode(keys).alias(p.name))
+    return out
 
 
 def common_partitioning(parents: dict[str, Sequence[PartitionDef] | None]) -> tuple[PartitionDef, ...] | None:

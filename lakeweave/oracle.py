@@ -281,6 +281,17 @@ ORACLE["sink_partition_replace"] = _with(RAW_OBS) + (
     f'SELECT {RAW_OBS_COLS} FROM raw_obs WHERE NOT ("YEAR" = 1997 AND "Q_FLAG" IS NOT NULL)'
 )
 ORACLE["sink_insert_overwrite"] = ORACLE["cleansed_observations"]
+_YEAR_COUNTS = 'SELECT \'{}\' AS seen, "YEAR", count(*) AS n, count("Q_FLAG") AS failed FROM raw_obs {} GROUP BY "YEAR"'
+ORACLE["sink_overwrite_atomic"] = _with(RAW_OBS) + " UNION ALL ".join(
+    [_YEAR_COUNTS.format("before", ""), _YEAR_COUNTS.format("after", 'WHERE NOT ("YEAR" BETWEEN 1996 AND 1997 AND "Q_FLAG" IS NOT NULL)')]
+)
+ORACLE["sink_expire"] = """
+SELECT o_orderpriority, count(*) AS n, min(o_orderkey) AS first_key, CAST(1 AS BIGINT) AS versions
+FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '3-MEDIUM') OR o_custkey % 2 = 0 GROUP BY o_orderpriority"""
+ORACLE["part_backfill"] = """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS "YEAR", CAST(CASE WHEN year(l_shipdate) = 1996 THEN 0 ELSE 1 END AS INTEGER) AS run,
+       count(*) AS n, round(round(sum(l_quantity), 9), 6) AS quantity
+FROM lineitem WHERE year(l_shipdate) BETWEEN 1994 AND 1998 GROUP BY 1, 2"""
 
 API_RECORDS = """api_rec AS (
   SELECT r.*, p.pages FROM (

@@ -93,7 +93,22 @@ def decode_pages(
 ) -> DataFrame:
     """One row per record of every landed page under ``path``, plus the partition and
     page columns from the folder names and the declared total (NULL when the response
-    has none). Each page file is decoded by its own task. A page that is cut off, has no
+    has none); see ``page_records``."""
+    found = page_records(spark, path, record_schema, data_selector, total_path)
+    return found.select("run.*", "record.*")
+
+
+def page_records(
+    spark: SparkSession,
+    path: str,
+    record_schema: str,
+    data_selector: str = "[1]",
+    total_path: str | None = "[0].pages",
+) -> DataFrame:
+    """(run, record) of every record of every landed page: ``run`` holds the folder columns and the declared total as
+    ``pages``, ``record`` the record's own fields, whatever their names.
+
+    Each page file is decoded by its own task. A page that is cut off, has no
     records at the selector, or holds a record that does not fit the schema fails the job."""
     raw = _page_files(spark, path)
     keys = [c for c in raw.columns if c != "value"]
@@ -106,7 +121,7 @@ def decode_pages(
         total.alias("pages"),
         F.from_json(checked, f"array<{record_schema}>", {"mode": "FAILFAST"}).alias("records"),
     )
-    return decoded.select(*keys, "pages", F.explode("records").alias("r")).select(*keys, "pages", "r.*")
+    return decoded.select(F.struct(*keys, "pages").alias("run"), F.explode("records").alias("record"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -112,7 +112,8 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     Join order: orders x customer first (the smaller join), then line items, so the
     largest table is shuffled once, by order key.
     """
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    # a customer's station id is built once, before its readings multiply it
+    c = table(spark, sf_dir, "customer").selectExpr("c_custkey", f"{station_id_sql('c_nationkey', 'c_custkey')} AS ID")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"
@@ -123,7 +124,7 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     element = f"try_element_at(array({elements}), l_linenumber)"
     qty10 = "cast(floor(l_quantity) * 10 as int)"
     return x.selectExpr(
-        f"{station_id_sql('c_nationkey', 'o_custkey')} AS ID",
+        "ID",
         "year(o_orderdate) * 10000 + month(o_orderdate) * 100 + dayofmonth(o_orderdate) AS DATE",
         f"CASE WHEN {element} = 'TMIN' THEN {qty10} - 250 ELSE {qty10} END AS DATA_VALUE",
         "CASE WHEN l_quantity = 1 THEN 'T' END AS M_FLAG",

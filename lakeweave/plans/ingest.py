@@ -3,16 +3,18 @@ then load them (full refresh, or replacement of the run's partition tuple)."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeweave.functions.paths import hive_path
-from lakeweave.operators.partitions import run_keys
+from lakeweave.operators.partitions import expected_keys, loaded_keys, missing_keys, run_keys
+from lakeweave.sinks.folders import Folders
 from lakeweave.sinks.tables import Lakehouse
 from lakeweave.sources.files import read_source
-from lakeweave.plans.api_pages import decode_pages
+from lakeweave.plans.api_pages import page_records
 from lakeweave.specs import ApiTableSpec, Source, SourceSpec
 
 
@@ -48,6 +50,44 @@ def ingest_table(
     return lh.full_refresh("raw", name, df)
 
 
+@dataclass(frozen=True)
+class Backfilled:
+    """One partition tuple of a backfill: ``loaded``, ``not landed`` or ``failed``, with the reason."""
+
+    key: dict[str, str]
+    state: str
+    reason: str = ""
+
+
+def backfill(lh: Lakehouse, source: Source, table: str, landing_root: str, ingested_at: datetime, as_of: datetime) -> list[Backfilled]:
+    """Ingest every partition tuple up to ``as_of`` that has no partition in the raw table yet, oldest first.
+
+    What is present is read from the catalog's partitions, not from the data, so a finished tuple costs no job
+    and a run that was broken off goes on where it stopped. A tuple whose files have not
+    landed, or whose load fails, doesn't stop the others and is tried again by the next run. An empty landing folder
+    loads an empty partition, which is present from then on.
+    """
+    spec = source.table(table)
+    columns = spec.partition_columns
+    if not columns:
+        raise ValueError(f"table {table!r} has no partitions to backfill")
+    present = loaded_keys(lh.partitions("raw", source.raw_table(spec.name)), columns)
+    missing = missing_keys(expected_keys(lh.spark, spec.partitions, as_of), present, columns).orderBy(*columns)
+    out, folders = [], Folders(lh.spark)
+    for key in (r.asDict() for r in missing.collect()):  # one row per missing partition
+        leaf = hive_path(landing_root, source.name, spec.name, keys=key)
+        if not folders.exists(leaf):
+            out.append(Backfilled(key, "not landed"))
+            continue
+        try:
+            ingest_table(lh, source, table, landing_root, ingested_at, key)
+        except Exception as e:  # the reason is the caller's; the other tuples go on
+            out.append(Backfilled(key, "failed", str(e).split("\n", 1)[0]))
+        else:
+            out.append(Backfilled(key, "loaded"))
+    return out
+
+
 def ingest_api_table(
     lh: Lakehouse,
     source: Source,
@@ -68,12 +108,12 @@ def ingest_api_table(
     params = run_keys(spec, partition_key)
     run_path = hive_path(landing_root, source.name, spec.name, keys=params)
     paging = spec.paging
-    pages = decode_pages(
+    pages = page_records(
         lh.spark, run_path, record_schema,
         paging.data_selector if paging and paging.data_selector else "[1]",
         paging.total_path if paging else None,
     )
-    records = pages.drop("page", "pages")
+    records = pages.select("record.*")
     for k, v in params.items():
         records = records.withColumn(k, F.lit(v))
     return lh.load("raw", source.raw_table(spec.name), records, spec.write_disposition, list(params))

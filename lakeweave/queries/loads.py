@@ -3,17 +3,21 @@ then the final table is returned."""
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from lakeweave.functions.paths import hive_path
 from lakeweave.operators import partitions as P
 from lakeweave.plans import bindings
 from lakeweave.plans.api_pages import api_records
 from lakeweave.plans.chain import LayerChain
+from lakeweave.plans.ingest import Backfilled, backfill, ingest_table
 from lakeweave.registry import register
-from lakeweave.sinks.tables import Lakehouse
-from lakeweave.specs import StaticPartition, TimePartition
+from lakeweave.session import fresh_dir
+from lakeweave.sinks.files import write_files
+from lakeweave.sinks.tables import Lakehouse, RejectedLoad
+from lakeweave.specs import FileFormat, Source, SourceSpec, StaticPartition, TimePartition
 
 OBS_ORDER = ["observation_date", "station_id", "measure"]
 
@@ -88,6 +92,56 @@ def sink_insert_overwrite(spark, d):
     return lh.table("cleansed", "observations")
 
 
+@register("sink_overwrite_atomic")
+def sink_overwrite_atomic(spark, d):
+    """Readings a year as a reader opened before two loads of 1996 and 1997 sees them, and as the table has them
+    afterwards. The first load holds readings that failed QC, which its expectation forbids: nothing of
+    it is published. The second holds the passing ones: both years are replaced at once."""
+    lh = Lakehouse.scratch(spark)
+    raw = bindings.raw_observations(spark, d)
+    before = lh.insert_overwrite("raw", "observations", raw, ["YEAR"])
+    two_years, expect = raw.where("YEAR BETWEEN 1996 AND 1997"), {"failed QC": "Q_FLAG IS NOT NULL"}
+    try:
+        lh.insert_overwrite("raw", "observations", two_years, ["YEAR"], expect=expect)
+    except RejectedLoad:
+        pass
+    after = lh.insert_overwrite("raw", "observations", two_years.where("Q_FLAG IS NULL"), ["YEAR"], expect=expect)
+    counts = [t.groupBy("YEAR").agg(F.count("*").alias("n"), F.count("Q_FLAG").alias("failed")) for t in (before, after)]
+    return counts[0].select(F.lit("before").alias("seen"), "*").unionAll(counts[1].select(F.lit("after").alias("seen"), "*"))
+
+
+@register("sink_expire")
+def sink_expire(spark, d):
+    """raw.orders by priority, each priority loaded again on its own, then superseded versions expired: the
+    rows are those of the last loads, and no folder or version is left but what the table shows."""
+    lh = Lakehouse.scratch(spark)
+    orders = bindings.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    lh.insert_overwrite("raw", "orders", orders, ["o_orderpriority"])
+    for p in ("1-URGENT", "3-MEDIUM"):
+        lh.replace_partition("raw", "orders", orders.where(F.col("o_orderpriority") == p).where("o_custkey % 2 = 0"), {"o_orderpriority": p})
+    lh.expire("raw", "orders", older_than=timedelta(0))
+    versions = F.lit(lh.ledger("raw", "orders").select("version").distinct().count()).cast("bigint").alias("versions")
+    counts = lh.table("raw", "orders").groupBy("o_orderpriority")
+    return counts.agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key")).select("*", versions)
+
+
+@register("part_backfill")
+def part_backfill(spark, d):
+    """Line items landed by shipping year; 1996 is loaded on its own, a backfill to 1998 loads the missing years from 1994
+    on, and a second backfill finds nothing to do. Rows per year, with the runs that loaded it."""
+    lh, root = Lakehouse.scratch(spark), fresh_dir(spark, "landing")
+    lines = bindings.table(spark, d, "lineitem").selectExpr("l_orderkey", "l_quantity", "year(l_shipdate) AS YEAR")
+    write_files(lines, FileFormat.PARQUET, hive_path(root, "shop", "lines"), ["YEAR"])
+    spec = SourceSpec("lines", FileFormat.PARQUET, partitions=(TimePartition("YEAR", datetime(1994, 1, 1)),))
+    source, at = Source("shop", "s3", (spec,)), datetime(1998, 6, 1)
+    ingest_table(lh, source, "lines", root, at, "1996")
+    runs = [[Backfilled({"YEAR": "1996"}, "loaded")]] + [backfill(lh, source, "lines", root, at, at) for _ in range(2)]
+    rows = [(int(b.key["YEAR"]), i) for i, run in enumerate(runs) for b in run if b.state == "loaded"]
+    loaded = spark.createDataFrame(rows, "YEAR int, run int")
+    counts = lh.table("raw", "shop_lines").groupBy("YEAR").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
+    return counts.join(loaded, "YEAR").select("YEAR", "run", "n", "quantity")
+
+
 @register("sink_append")
 def sink_append(spark, d):
     """API disposition ``append``: the same pages loaded twice are stored twice."""
