@@ -504,6 +504,8 @@ for _k, _w in _OBS_WHERE.items():
         f'SELECT measure, count(*) AS "count" FROM cu_obs WHERE observation_date {_w} GROUP BY measure'
     )
 
+ORACLE["stream_incremental_marts"] = ORACLE["report_country_year"]
+
 # ---- incremental stream ----------------------------------------------------------------
 ORACLE["stream_incremental_cleanse"] = (
     "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, trim(event_type) AS event_type, "

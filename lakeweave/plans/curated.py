@@ -71,8 +71,13 @@ def station_year(cleansed_obs: DataFrame, curated_stations: DataFrame) -> DataFr
     second aggregation merges the partials per full key, so a duplicated station id
     would still count exactly as the row-level join would.
     """
+    return merge_station_year(station_year_partials(cleansed_obs), curated_stations)
+
+
+def station_year_partials(cleansed_obs: DataFrame) -> DataFrame:
+    """Sums, counts and the minimum per (year, station) of the readings that passed QC; partials of disjoint readings add up."""
     v = normalized_value_sql("measure", "observation_value")
-    partial = (
+    return (
         cleansed_obs.filter("quality_flag IS NULL")
         .groupBy("observation_year", "station_id")
         .agg(
@@ -86,7 +91,11 @@ def station_year(cleansed_obs: DataFrame, curated_stations: DataFrame) -> DataFr
             F.expr("count(1) AS n"),
         )
     )
-    joined = lookup(partial, curated_stations, "station_id", "id", {"country_id": "country_id", "country_name": "country_name"})
+
+
+def merge_station_year(partials: DataFrame, curated_stations: DataFrame) -> DataFrame:
+    """The station-year fact from any number of partials per (year, station)."""
+    joined = lookup(partials, curated_stations, "station_id", "id", {"country_id": "country_id", "country_name": "country_name"})
     return joined.groupBy(*STATION_YEAR_KEYS).agg(
         F.expr("CASE WHEN sum(tmax_n) > 0 THEN sum(tmax_sum) / sum(tmax_n) END AS avg_tmax_celsius"),
         F.expr("CASE WHEN sum(tmin_n) > 0 THEN sum(tmin_sum) / sum(tmin_n) END AS avg_tmin_celsius"),
