@@ -272,6 +272,11 @@ ORACLE["src_orc"] = _with(RAW_OBS) + f"SELECT {RAW_OBS_COLS} FROM raw_obs"
 ORACLE["src_arrow"] = _with(RAW_OBS) + f"SELECT {RAW_OBS_COLS} FROM raw_obs"
 ORACLE["src_seed"] = _with(SEEDS) + "SELECT flag_type, id, description FROM seeds"
 
+ORACLE["src_rejects"] = """
+WITH c AS (SELECT c_mktsegment AS segment, count(*) AS records, count(*) FILTER (WHERE c_custkey % 7 = 0) AS rejected FROM customer GROUP BY 1)
+SELECT segment, records, rejected, nullif(rejected, 0) AS kept, CAST(sum(records) OVER () AS BIGINT) AS all_records,
+       CAST(sum(rejected) OVER () AS BIGINT) AS all_rejected FROM c"""
+
 # ---- loads and partitions ----------------------------------------------------------
 ORACLE["sink_full_refresh"] = ORACLE["cleansed_stations"]
 ORACLE["sink_full_refresh_schema"] = "SELECT o_orderkey, o_custkey FROM orders"

@@ -6,14 +6,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeweave.functions.paths import hive_path
 from lakeweave.operators.partitions import expected_keys, loaded_keys, missing_keys, run_keys
 from lakeweave.sinks.folders import Folders
 from lakeweave.sinks.tables import Lakehouse
-from lakeweave.sources.files import read_source
+from lakeweave.sources.files import read_source, rejected_records, skips_malformed
 from lakeweave.plans.api_pages import page_records
 from lakeweave.specs import ApiTableSpec, Source, SourceSpec
 
@@ -30,7 +30,9 @@ def ingest_table(
 
     Partitioned tables replace exactly the run's partition tuple (re-running a key is
     idempotent); others are fully refreshed. ``ingested_at`` is the run's launch time,
-    one value for every row of the run.
+    one value for every row of the run. Where the table skips malformed records, ``lh.counted`` has
+    the run's ``records`` and ``rejected`` from the load's own pass, and the rejected ones go to
+    ``raw.<source>_<table>_rejects`` with their files.
     """
     spec = source.table(table)
     if not isinstance(spec, SourceSpec):
@@ -43,11 +45,27 @@ def ingest_table(
         {**spec.settings, "use_hive_partitioning": "1"} if params else spec.settings,
         spec.partitions, spec.full_refresh, spec.description,
     )
-    df = read_source(lh.spark, leaf, base, params or None, ingested_at if spec.columns else None)
+    seen = Observation() if skips_malformed(spec) else None
+    df = read_source(lh.spark, leaf, base, params or None, ingested_at if spec.columns else None, seen)
     name = source.raw_table(spec.name)
+    out = lh.replace_partition("raw", name, df, params) if params else lh.full_refresh("raw", name, df)
+    if seen is not None:
+        lh.counted[f"raw.{name}"] = dict(seen.get)
+        _keep_rejects(lh, leaf, base, params, name, seen.get["rejected"])
+    return out
+
+
+def _keep_rejects(lh: Lakehouse, spec: SourceSpec, base: str, params: dict[str, str], name: str, rejected: int) -> None:
+    """Replace the run's rows of ``raw.<name>_rejects`` (file, record): a second pass over the files, only if there are any."""
+    table = f"{name}_rejects"
+    if not rejected and not lh.exists("raw", table):
+        return
+    rows = rejected_records(lh.spark, spec, base, params or None) if rejected else lh.spark.createDataFrame([], "file string, record string")
     if params:
-        return lh.replace_partition("raw", name, df, params)
-    return lh.full_refresh("raw", name, df)
+        rows = rows.select("*", *[F.lit(v).cast("string").alias(k) for k, v in params.items()])
+        lh.replace_partition("raw", table, rows, params)
+    else:
+        lh.full_refresh("raw", table, rows)
 
 
 @dataclass(frozen=True)

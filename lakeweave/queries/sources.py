@@ -10,13 +10,15 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from lakeweave.plans import bindings
+from lakeweave.plans.ingest import ingest_table
 from lakeweave.plans.layouts import CODE_NAME_REGEXP, STATION_LAYOUT
 from lakeweave.registry import register
 from lakeweave.session import fresh_dir
 from lakeweave.sinks.files import write_files
-from lakeweave.sources.files import read_source
+from lakeweave.sinks.tables import Lakehouse
+from lakeweave.sources.files import file_counts, read_source
 from lakeweave.sources.seeds import read_seed
-from lakeweave.specs import ColumnSpec, FileFormat, SourceSpec, TimePartition
+from lakeweave.specs import ColumnSpec, FileFormat, Source, SourceSpec, TimePartition
 
 # The run's launch time, stamped as ``ingested_at`` on every row of a declared-column
 # load; the checked queries pass this fixed value so their output is reproducible.
@@ -157,3 +159,29 @@ def src_prefix_recursive(spark, d):
     columns = (ColumnSpec("id", "bigint"), ColumnSpec("name"))
     spec = SourceSpec("people", FileFormat.CSV, "people/**", columns, full_refresh=True)
     return read_source(spark, spec, path, ingested_at=RUN_TS).drop("ingested_at")
+
+
+@register("src_rejects")
+def src_rejects(spark, d):
+    """Customer lines by segment, those of every seventh key cut short: records and rejected ones a file, as the load
+    counted them in all and as the table of rejects keeps them."""
+    root, lh = fresh_dir(spark, "src-rejects"), Lakehouse.scratch(spark)
+    line = "if(c_custkey % 7 = 0, concat('?', c_name), concat_ws('|', c_custkey, c_name)) AS line"
+    lines = bindings.table(spark, d, "customer").selectExpr(line, "c_mktsegment AS segment")
+    lines.write.partitionBy("segment").text(f"{root}/shop/people")
+    settings = {"format_regexp": "^([0-9]+)[|](.*)$", "format_regexp_skip_unmatched": "1"}
+    spec = SourceSpec("people", FileFormat.REGEXP, "", (ColumnSpec("id", "bigint"), ColumnSpec("name")), settings, full_refresh=True)
+    ingest_table(lh, Source("shop", "s3", (spec,)), "people", root, RUN_TS)
+    counted = lh.counted["raw.shop_people"]
+    kept = lh.table("raw", "shop_people_rejects").groupBy(_segment("file")).agg(F.count("*").alias("kept"))
+    files = file_counts(spark, spec, f"{root}/shop/people").groupBy(_segment("file"))
+    return (
+        files.agg(F.sum("records").alias("records"), F.sum("rejected").alias("rejected"))
+        .join(kept, "segment", "left")
+        .withColumn("all_records", F.lit(counted["records"]).cast("bigint"))
+        .withColumn("all_rejected", F.lit(counted["rejected"]).cast("bigint"))
+    )
+
+
+def _segment(file: str):
+    return F.url_decode(F.regexp_extract(file, "/segment=([^/]*)/", 1)).alias("segment")
