@@ -20,7 +20,8 @@ rows. Extra columns travel along. Of a very long text only the words are counted
 
 Scale: sizes and hashes are sorted by range, so a hot source spreads over all partitions;
 running sums use per-partition totals, to which the per-source figures are joined before the stream meets
-them. Fully equal rows are one entry for every ``CHUNK`` copies, so a row that is repeated very often is spread too.
+them. Fully equal rows are one entry for every ``CHUNK`` copies, so the draws of a row that is repeated very often are spread
+too; its one text meets them in a join that adaptive execution splits.
 The driver holds one row per source and the tree of sources x shards quotas, never documents; texts are
 shuffled only to join the draws. Blocks are made larger where there would be more than 10^9 of them.
 """
@@ -203,13 +204,11 @@ def _leading(text: pa.Array, words: pa.Array) -> pa.Array:
 
 
 def _shard_rows(docs: DataFrame, draws: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    """The rows of the mix, sorted by (shard, place) over range partitions: shard, place, entry (key and copy), pass and doc."""
-    key = [*_KEY, "chunk"]
-    drawn = draws.where("taken > 0").select(*key, "copy", "size", F.explode("draws").alias("d"))
-    drawn = drawn.groupBy(*key).agg(F.collect_list(F.struct("copy", "size", "d")).alias("takes"))  # CHUNK x MAX_PASSES at most
-    rows = docs.select(*_keys(docs, id_col, text_col, source_col, seed), F.struct("*").alias("doc"))
-    rows = rows.groupBy(*_KEY).agg(F.first("doc").alias("doc"), F.count("*").alias("copies")).withColumn("chunk", _chunks("copies"))
-    rows = rows.join(drawn, key).withColumn("take", F.explode("takes"))
+    """The rows of the mix: shard, place in it, entry (key and copy), pass and doc. Texts are shuffled once, by key."""
+    drawn = draws.where("taken > 0").select(*_KEY, "chunk", "copy", "size", F.explode("draws").alias("d"))
+    drawn = drawn.groupBy(*_KEY, "chunk").agg(F.collect_list(F.struct("copy", "size", "d")).alias("takes"))  # CHUNK x MAX_PASSES at most
+    rows = docs.select(*_keys(docs, id_col, text_col, source_col, seed), F.struct("*").alias("doc")).dropDuplicates(_KEY)
+    rows = rows.join(drawn, _KEY).withColumn("take", F.explode("takes"))
     rows = rows.select(
         F.col("take.d.shard").alias("shard"),
         F.xxhash64(F.lit(seed + 1), "place", "name", "row", "take.copy", "take.d.pass").alias("place"),
@@ -221,8 +220,7 @@ def _shard_rows(docs: DataFrame, draws: DataFrame, id_col: str, text_col: str, s
     )
     text = F.col(f"doc.{text_col}")
     short = _leading(F.when(F.col("cut"), text.cast("binary")), "words")
-    rows = rows.withColumn("doc", F.col("doc").withField(text_col, F.when(F.col("cut"), short).otherwise(text)))
-    return rows.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
+    return rows.withColumn("doc", F.col("doc").withField(text_col, F.when(F.col("cut"), short).otherwise(text)))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, **options) -> DataFrame:
@@ -233,6 +231,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     draws = draw(docs, id_col, text_col, source_col, seed=seed, **options)
     rows = _shard_rows(docs, draws, id_col, text_col, source_col, seed)
+    rows = rows.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
     return rows.select(F.col("shard").alias("_shard"), F.col("place").alias("_place"), "doc.*")
 
 
