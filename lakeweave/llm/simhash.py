@@ -15,7 +15,8 @@ emits a spanning forest of its links, never all pairs.
 
 Defined results: null text is empty; a text without words has fingerprint 0 and links like
 any other; fewer than ``shingle`` words form one shingle. Repeated rows each get a row.
-A null id never becomes a component id unless no member has an id. Extra columns are ignored.
+A null id never becomes a component id unless no member has an id. An empty table gives no rows. Extra columns are
+ignored. The words of one text are held at a time: a very long text takes about 30 times its size.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ SHINGLE = 4
 MAX_BITS = 4
 SEGMENTS = ((0, 21), (21, 21), (42, 22))  # (shift, bits); the first two are searched with radius 1
 BLOCK = 4096  # fingerprints of one bucket that meet in one unit of work, per side
-_HASHES = 1 << 16  # hashes held at a time, so that very long texts take bounded memory
+_HASHES = 1 << 16  # hashes held at a time
 
 
 def fingerprint_of(text: bytes, shingle: int = SHINGLE) -> int:

@@ -11,7 +11,8 @@ them, ``ends`` are the documents' ends inside the shard, ``codes`` is the binary
 
 Defined results: null text is empty, so its document is the end id alone; null ids come
 first; repeated rows each take their place next to each other (order among rows with one
-id: by text hash); extra columns are ignored. An empty table writes no shard.
+id: by text hash); extra columns are ignored. An empty table writes no shard. A very long text is one document of one
+shard and is held whole, with four bytes an id.
 
 Scale: one range shuffle of (id, text) gives the order; starts need only per-shard totals. A hot
 id is split over partitions by the text hash. A shard closes at ``SHARD_IDS`` ids or more,
