@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweave.plans.bindings import table
+from lakeweave.sinks.files import write_documents
 
 PAGE_SIZE = 1000
 RECORD_SCHEMA = "array<struct<id:bigint,date:string,value:double>>"
@@ -57,7 +58,7 @@ def land_pages(records: DataFrame, path: str) -> None:
         F.to_json(F.col("records")),
         F.lit("]"),
     )
-    pages.select("YEAR", "page", doc.alias("value")).write.mode("overwrite").partitionBy("YEAR", "page").text(path)
+    write_documents(pages.select("YEAR", "page", doc.alias("value")), path, ["YEAR", "page"])
 
 
 def _page_files(spark: SparkSession, path: str) -> DataFrame:

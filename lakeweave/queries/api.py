@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeweave.plans import api_pages
 from lakeweave.registry import register
 from lakeweave.session import fresh_dir
+from lakeweave.sinks.files import write_documents
 
 
 def _land(spark, d) -> str:
@@ -36,5 +37,5 @@ def src_api_unpartitioned(spark, d):
     path = fresh_dir(spark, "api-items")
     records = api_pages.api_records(spark, d)
     pages = records.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("id", "value"))).alias("items"))
-    pages.select("page", F.to_json(F.struct("items")).alias("value")).write.partitionBy("page").text(path)
+    write_documents(pages.select("page", F.to_json(F.struct("items")).alias("value")), path, ["page"])
     return api_pages.decode_pages(spark, path, "struct<id:bigint,value:double>", "items", None).drop("pages")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import uuid
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
+from lakeweave.functions.paths import hive_path
+from lakeweave.sinks.folders import Folders
 from lakeweave.sources import arrow
 from lakeweave.sources.files import NULL_MARKER
 from lakeweave.specs import FileFormat
@@ -37,3 +42,36 @@ def write_files(df: DataFrame, fmt: FileFormat, path: str, partition_by: Sequenc
     else:
         raise ValueError(f"cannot write {fmt}")
     return path
+
+
+def write_documents(docs: DataFrame, path: str, keys: Sequence[str], value: str = "value") -> str:
+    """Replace ``path`` by one text file per row: ``value`` and a line end, in the folder ``K1=v1/K2=v2`` of the row's ``keys``.
+
+    No two rows may have the same keys. On a mounted file system the tasks write the files themselves: Spark's writer
+    starts two ``chmod`` processes a file there (the file and its checksum), and the driver then moves
+    the folders one by one. A file is written under a hidden name and renamed, and its name depends on its
+    keys alone, so a task that runs again replaces its files. Elsewhere Spark's writer is used, whose tasks move their
+    own files. Either way ``_SUCCESS`` comes last, and a job that fails may leave files without it.
+    """
+    folders = Folders(docs.sparkSession)
+    top = folders.mounted(path)
+    if top is None:
+        w = docs.select(*keys, value).write.mode("overwrite").partitionBy(*keys)
+        w.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
+        return path
+    folders.delete(path)
+    rows = docs.select(F.col(value), *[F.col(k).cast("string") for k in keys])
+    rows.foreachPartition(lambda part: write_rows(part, top, keys))
+    folders.write_text(f"{path}/_SUCCESS", "")
+    return path
+
+
+def write_rows(rows: Iterable[Row], top: str, keys: Sequence[str]) -> None:
+    """Files of one task of ``write_documents``: rows of (value, key folders' values) below the local folder ``top``."""
+    for value, *own in rows:
+        folder = hive_path(top, keys=dict(zip(keys, own)))
+        os.makedirs(folder, exist_ok=True)
+        hidden = f"{folder}/.{uuid.uuid4().hex}"
+        with open(hidden, "w", encoding="utf-8", newline="") as out:
+            out.write(("" if value is None else value) + "\n")
+        os.replace(hidden, f"{folder}/part-0.txt")

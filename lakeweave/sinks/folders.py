@@ -25,6 +25,11 @@ class Folders:
         fs, at = self._open(path)
         return fs.exists(at)
 
+    def mounted(self, path: str) -> str | None:
+        """The path for Python's own file functions, if it lies on a file system that the machines mount (``file:``)."""
+        fs, at = self._open(path)
+        return fs.makeQualified(at).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
     def delete(self, path: str) -> None:
         """Delete a folder with all below it, or a file; nothing happens if it is missing."""
         fs, at = self._open(path)

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from lakeweave.plans import api_pages
 from lakeweave.plans import events as E
+from lakeweave.sinks.files import write_documents, write_rows
+from lakeweave.sinks.folders import Folders
 from lakeweave.sinks.tables import Lakehouse
 from lakeweave.streaming.incremental import incremental_partition_refresh
 
@@ -125,3 +127,64 @@ def test_completeness_of_unpartitioned_pages(spark, tmp_root, body, landed):
     rows = api_pages.completeness(spark, tmp_root, data_selector="items", total_path="meta.last").collect()
     assert [tuple(r) for r in rows] == [(2, landed, 2 - landed, landed == 2)]
     assert [tuple(r) for r in api_pages.landing_manifest(spark, tmp_root).collect()] == [(2, 2)]
+
+
+DOCS = "YEAR int, page int, value string"
+
+
+def _tree(root):
+    """Text of every file below a local folder that readers see, by its path there."""
+    from pathlib import Path
+
+    found = [p.relative_to(root) for p in Path(root).rglob("*") if p.is_file() and p.name[0] not in "._"]
+    return {str(p): (Path(root) / p).read_bytes().decode() for p in found}
+
+
+def test_a_page_is_one_file_without_a_checksum_beside_it(spark, tmp_root):
+    import os
+
+    docs = spark.createDataFrame([(2020, p, f"[{p}]\n[\u00e9]") for p in range(1, 60)] + [(None, 1, "null"), (2021, 7, None)], DOCS)
+    write_documents(docs.repartition(5), tmp_root, ["YEAR", "page"])
+    want = {f"YEAR=2020/page={p}/part-0.txt": f"[{p}]\n[\u00e9]\n" for p in range(1, 60)}
+    want |= {"YEAR=__HIVE_DEFAULT_PARTITION__/page=1/part-0.txt": "null\n", "YEAR=2021/page=7/part-0.txt": "\n"}
+    assert _tree(tmp_root) == want
+    assert os.listdir(f"{tmp_root}/YEAR=2020/page=3") == ["part-0.txt"]
+    assert os.path.exists(f"{tmp_root}/_SUCCESS")
+    write_documents(docs.filter("page = 7"), tmp_root, ["YEAR", "page"])  # replaces the landing
+    assert sorted(_tree(tmp_root)) == ["YEAR=2020/page=7/part-0.txt", "YEAR=2021/page=7/part-0.txt"]
+    write_documents(docs.filter("false"), tmp_root, ["YEAR", "page"])
+    assert _tree(tmp_root) == {} and os.path.exists(f"{tmp_root}/_SUCCESS")
+
+
+def test_a_landing_task_that_runs_again_leaves_one_file_a_page(tmp_path):
+    rows = [("[1]", "2020", "1"), ("[2]", "2020", "2")]
+    with pytest.raises(OSError, match="lost"):
+        write_rows(_broken_after(rows), str(tmp_path), ["YEAR", "page"])
+    write_rows(rows[::-1], str(tmp_path), ["YEAR", "page"])
+    assert _tree(tmp_path) == {"YEAR=2020/page=1/part-0.txt": "[1]\n", "YEAR=2020/page=2/part-0.txt": "[2]\n"}
+
+
+def test_land_pages_writes_the_page_alone(spark, tmp_root):
+    import os
+
+    records = spark.range(3).selectExpr("2020 AS YEAR", "cast(id as int) AS page", "id", "'2020' AS date", "1.5D AS value")
+    api_pages.land_pages(records, tmp_root)
+    assert [len(os.listdir(f"{tmp_root}/YEAR=2020/page={p}")) for p in range(3)] == [1, 1, 1]
+    assert _tree(tmp_root)["YEAR=2020/page=1/part-0.txt"] == '[{"page":1,"pages":2},[{"id":1,"date":"2020","value":1.5}]]\n'
+
+
+def _broken_after(rows):
+    yield from rows
+    raise OSError("executor lost")
+
+
+def test_spark_writes_the_same_documents_where_nothing_is_mounted(spark, tmp_root, monkeypatch):
+    rows = [(y, p, f"[{y}, {p}]") for y in ("2020", "a b/c=%d:e", None) for p in range(1, 4)]
+    docs = spark.createDataFrame(rows, DOCS.replace("YEAR int", "YEAR string"))
+    assert Folders(spark).mounted(f"file:{tmp_root}") == Folders(spark).mounted(tmp_root) == tmp_root
+    own, by_spark = f"{tmp_root}/own", f"{tmp_root}/spark"
+    write_documents(docs, own, ["YEAR", "page"])
+    monkeypatch.setattr(Folders, "mounted", lambda self, path: None)
+    write_documents(docs, by_spark, ["YEAR", "page"])
+    folders = [{p.rsplit("/", 1)[0]: text for p, text in _tree(at).items()} for at in (own, by_spark)]
+    assert folders[0] == folders[1] and len(folders[0]) == len(_tree(by_spark)) == 9
