@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from lakeweave.plans.bindings import table
 from lakeweave.sinks.files import write_documents
+from lakeweave.sinks.tables import session_conf
 
 PAGE_SIZE = 1000
+LISTING_TASKS = 64
 RECORD_SCHEMA = "array<struct<id:bigint,date:string,value:double>>"
 
 
@@ -61,10 +63,22 @@ def land_pages(records: DataFrame, path: str) -> None:
     write_documents(pages.select("YEAR", "page", doc.alias("value")), path, ["YEAR", "page"])
 
 
+def _listed(spark: SparkSession, path: str, fmt: str, **options) -> DataFrame:
+    """The files below ``path`` with their folder columns.
+
+    Spark lists a folder's subfolders with a task for each of up to 10,000; a page's folder holds one file, so
+    starting the tasks takes most of the time. Here there are a few tasks a core, and each lists many folders.
+    """
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    tasks = min(int(spark.conf.get(key)), max(LISTING_TASKS, 4 * spark.sparkContext.defaultParallelism))
+    with session_conf(spark, key, str(tasks)):
+        return spark.read.format(fmt).options(basePath=path, **options).load(path)
+
+
 def _page_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per landed page file (a response may be pretty-printed over many lines;
     a file is one page, so reading it whole is bounded by the page size)."""
-    return spark.read.option("basePath", path).text(path, wholetext=True)
+    return _listed(spark, path, "text", wholetext=True)
 
 
 def jsonpath(selector: str) -> str:

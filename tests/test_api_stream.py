@@ -188,3 +188,24 @@ def test_spark_writes_the_same_documents_where_nothing_is_mounted(spark, tmp_roo
     write_documents(docs, by_spark, ["YEAR", "page"])
     folders = [{p.rsplit("/", 1)[0]: text for p, text in _tree(at).items()} for at in (own, by_spark)]
     assert folders[0] == folders[1] and len(folders[0]) == len(_tree(by_spark)) == 9
+
+
+@pytest.mark.parametrize("read", [api_pages.completeness])
+def test_a_task_lists_many_page_folders(spark, tmp_root, read):
+    n = 300
+    doc = F.format_string('[{"page":%d,"pages":%d},[]]', F.col("id") + 1, F.lit(n))
+    write_documents(spark.range(n).select(F.lit(2020).alias("YEAR"), (F.col("id") + 1).alias("page"), doc.alias("value")), tmp_root, ["YEAR", "page"])
+    sc, group = spark.sparkContext, f"listing {tmp_root}"
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    sc.setJobGroup(group, "list")
+    try:
+        found = read(spark, tmp_root)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in sc.statusTracker().getJobIdsForGroup(group) for s in sc.statusTracker().getJobInfo(j).stageIds]
+    tasks = [sc.statusTracker().getStageInfo(s).numTasks for s in stages]
+    assert tasks and max(tasks) <= 100
+    assert spark.conf.get(key) == before
+    row = found.first()
+    assert row.YEAR == 2020 and (row.landed_pages if "landed_pages" in found.columns else row.files) == n
