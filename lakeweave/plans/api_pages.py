@@ -192,7 +192,7 @@ def completeness(
 def landing_manifest(spark: SparkSession, path: str, page_column: str = "page") -> DataFrame:
     """Files and pages landed per partition (the folder columns but the page's; one row
     if there are none); file bodies are never read."""
-    files = spark.read.format("binaryFile").option("basePath", path).load(path)
+    files = _listed(spark, path, "binaryFile")
     keys = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content", page_column)]
     return files.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("files"),

@@ -190,7 +190,7 @@ def test_spark_writes_the_same_documents_where_nothing_is_mounted(spark, tmp_roo
     assert folders[0] == folders[1] and len(folders[0]) == len(_tree(by_spark)) == 9
 
 
-@pytest.mark.parametrize("read", [api_pages.completeness])
+@pytest.mark.parametrize("read", [api_pages.completeness, api_pages.landing_manifest])
 def test_a_task_lists_many_page_folders(spark, tmp_root, read):
     n = 300
     doc = F.format_string('[{"page":%d,"pages":%d},[]]', F.col("id") + 1, F.lit(n))
